@@ -39,6 +39,20 @@ stats AS (
   FROM d GROUP BY fhours
 )"""
 
+_EV = "event_id, ts, user_id, event_type, value, props"
+
+
+def _enforce_sql(keys: str, extra: str = "") -> str:
+    return f"""
+SELECT {_EV}{extra} FROM (
+  SELECT *, row_number() OVER (PARTITION BY {keys}
+                               ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS rk
+  FROM (SELECT *{extra} FROM events)
+) WHERE rk = 1"""
+
+
+_DATE = ", strftime(ts, '%Y-%m-%d') AS date"
+
 ORACLE = {
     "forecast_skill": "WITH" + _EVENT_READINGS + """
 SELECT fhours, count,
@@ -47,4 +61,44 @@ SELECT fhours, count,
        round(wind_mphM, 6) AS wind_mphM, round(wind_mphSD, 6) AS wind_mphSD,
        round(feelslikeM, 6) AS feelslikeM, round(feelslikeSD, 6) AS feelslikeSD
 FROM stats""",
+    "forecast_bands": "WITH" + _EVENT_READINGS + """,
+newest AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rk
+    FROM events) WHERE rk = 1
+),
+fc AS (
+  SELECT user_id, CAST(l AS INTEGER) AS fhours,
+         epoch_ms(ts) // 1000 + l * 3600 AS fts,
+         CAST(trunc(value) AS INTEGER) AS temp,
+         CAST(trunc(CAST(props::JSON->>'$.k' AS DOUBLE)) AS INTEGER) AS humidity,
+         CAST(trunc(value / 10) AS INTEGER) AS wind_mph,
+         CAST(trunc(value) AS INTEGER) AS feelslike
+  FROM (SELECT *, unnest(generate_series(1, 24)) AS l FROM newest)
+)
+SELECT fc.user_id, fc.fhours, fc.fts,
+       strftime(epoch_ms(fc.fts * 1000), '%m/%d %H:00') AS label,
+       temp, humidity, wind_mph, feelslike,
+       round(tempSD, 6) AS tempSD,
+       round(temp - 1.96 * tempSD, 6) AS temp_lower,
+       round(temp + 1.96 * tempSD, 6) AS temp_upper,
+       round(humiditySD, 6) AS humiditySD,
+       round(greatest(0.0, humidity - 1.96 * humiditySD), 6) AS humidity_lower,
+       round(least(100.0, humidity + 1.96 * humiditySD), 6) AS humidity_upper,
+       round(wind_mphSD, 6) AS wind_mphSD,
+       round(greatest(0.0, wind_mph - 1.96 * wind_mphSD), 6) AS wind_mph_lower,
+       round(wind_mph + 1.96 * wind_mphSD, 6) AS wind_mph_upper,
+       round(feelslikeSD, 6) AS feelslikeSD,
+       round(feelslike - 1.96 * feelslikeSD, 6) AS feelslike_lower,
+       round(feelslike + 1.96 * feelslikeSD, 6) AS feelslike_upper
+FROM fc JOIN stats s ON fc.fhours = s.fhours""",
+    "latest_per_key": _enforce_sql("user_id"),
+    "top_n_per_key": f"""
+SELECT {_EV}, CAST(rk AS INTEGER) AS rk FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rk
+  FROM events
+) WHERE rk <= 20""",
+    "enforce_keys_1": _enforce_sql("user_id"),
+    "enforce_keys_2": _enforce_sql("user_id, event_type"),
+    "enforce_keys_3": _enforce_sql("user_id, event_type, date", _DATE),
 }

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isobar.functions import clean, clock
-from isobar.operators import verify
+from isobar.operators import bands, keys, verify
 from isobar.sources.tables import read_table
 
 ROUND = 6  # doubles are compared at 6 decimal places
@@ -74,6 +74,73 @@ def forecast_skill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select(*out)
 
 
+EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+def latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's newest event (ts, then event_id, descending)."""
+    return keys.latest(_events(spark, sf_dir), ["user_id"], ["ts"], tiebreak=["event_id"])
+
+
+def top_n_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's 20 newest events, with their rank."""
+    return keys.top_n(_events(spark, sf_dir), ["user_id"], 20, desc=["ts"],
+                      tiebreak=["event_id"], rank_col="rk")
+
+
+def _enforce(spark, sf_dir, key_cols):
+    ev = _events(spark, sf_dir)
+    if "date" in key_cols:
+        ev = ev.withColumn("date", F.to_date("ts").cast("string"))
+    return keys.enforce(ev, key_cols, version="ts", tiebreak=["event_id"])
+
+
+def enforce_keys_1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 on key (user): newest version (ts) wins, event_id breaks ties."""
+    return _enforce(spark, sf_dir, ["user_id"])
+
+
+def enforce_keys_2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 on key (user, event_type)."""
+    return _enforce(spark, sf_dir, ["user_id", "event_type"])
+
+
+def enforce_keys_3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 on key (user, event_type, date)."""
+    return _enforce(spark, sf_dir, ["user_id", "event_type", "date"])
+
+
+def event_forecasts(ev: DataFrame, max_lead: int = 24) -> DataFrame:
+    """The newest issue per user as a 1..max_lead hour point forecast."""
+    newest = keys.latest(ev, ["user_id"], ["ts"], tiebreak=["event_id"])
+    _, predicted = _event_measures()
+    return (newest
+            .withColumn("fhours", F.explode(F.sequence(F.lit(1), F.lit(max_lead))))
+            .select("user_id", "fhours",
+                    (clock.ts_epoch("ts") + F.col("fhours") * clock.HOUR).alias("fts"),
+                    *[predicted[m].alias(m) for m in verify.WEATHER_MEASURES]))
+
+
+def forecast_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest forecast per user with 95 % bands from the
+    skill table, plus its ``MM/dd HH:00`` hour label."""
+    stats = event_skill(spark, sf_dir)
+    fc = event_forecasts(_events(spark, sf_dir))
+    b = bands.bands(fc, stats)
+    out = ["user_id", "fhours", "fts", clock.hour_label("fts").alias("label"),
+           *verify.WEATHER_MEASURES]
+    for m in verify.WEATHER_MEASURES:
+        out += [_r(F.col(f"{m}SD"), f"{m}SD"), _r(F.col(f"{m}_lower"), f"{m}_lower"),
+                _r(F.col(f"{m}_upper"), f"{m}_upper")]
+    return b.select(*out)
+
+
 QUERIES = {
     "forecast_skill": forecast_skill,
+    "forecast_bands": forecast_bands,
+    "latest_per_key": latest_per_key,
+    "top_n_per_key": top_n_per_key,
+    "enforce_keys_1": enforce_keys_1,
+    "enforce_keys_2": enforce_keys_2,
+    "enforce_keys_3": enforce_keys_3,
 }
