@@ -51,6 +51,11 @@ SELECT {_EV}{extra} FROM (
 ) WHERE rk = 1"""
 
 
+def _hm(ts: str) -> str:
+    return (f"CAST(hour({ts}) AS VARCHAR) || ':' || "
+            f"lpad(CAST(minute({ts}) AS VARCHAR), 2, '0')")
+
+
 _DATE = ", strftime(ts, '%Y-%m-%d') AS date"
 
 ORACLE = {
@@ -101,4 +106,103 @@ SELECT {_EV}, CAST(rk AS INTEGER) AS rk FROM (
     "enforce_keys_1": _enforce_sql("user_id"),
     "enforce_keys_2": _enforce_sql("user_id, event_type"),
     "enforce_keys_3": _enforce_sql("user_id, event_type, date", _DATE),
+    "zip_explode": """
+SELECT doc_id, lang, CAST(i AS INTEGER) AS pos, w[i] AS word, w[i + 1] AS next_word
+FROM (SELECT doc_id, lang, w, unnest(generate_series(1, len(w) - 1)) AS i
+      FROM (SELECT doc_id, lang, string_split(text, ' ') AS w FROM documents))""",
+    "nearby_union": """
+SELECT DISTINCT p_brand, nearby FROM (
+  SELECT p_brand, unnest(string_split(p_name, ' ')) AS nearby FROM part
+  UNION ALL
+  SELECT p_brand, unnest(string_split(p_type, ' ')) AS nearby FROM part
+) WHERE nearby <> ''""",
+    "nested_project": """
+SELECT event_id, user_id, event_type, props::JSON->>'$.k' AS k FROM events""",
+    "nonblank_filter": """
+SELECT doc_id, source, n_chars, lang FROM (
+  SELECT doc_id, source, n_chars,
+         CASE WHEN lang = 'de' THEN '' WHEN lang = 'es' THEN NULL ELSE lang END AS lang
+  FROM documents
+) WHERE lang <> ''""",
+    "distinct_rows": "SELECT DISTINCT c_nationkey, c_mktsegment FROM customer",
+    "anti_new": """
+SELECT doc_id, lang, source FROM documents d
+WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
+ORDER BY doc_id LIMIT 100""",
+    "union_all": """
+SELECT * FROM orders WHERE o_orderstatus = 'F'
+UNION ALL
+SELECT * FROM orders WHERE o_orderstatus <> 'F' OR o_orderstatus IS NULL""",
+    "local_clock": """
+SELECT event_id, "offset",
+       strftime(epoch_ms((es + secs) * 1000), '%Y-%m-%d') AS date,
+       strftime(epoch_ms((es + secs) * 1000), '%H:%M') AS time
+FROM (
+  SELECT event_id, epoch_ms(ts) // 1000 AS es,
+         CASE user_id % 4 WHEN 0 THEN '-0600' WHEN 1 THEN '+0530'
+                          WHEN 2 THEN '-0330' ELSE '+0000' END AS "offset",
+         CASE user_id % 4 WHEN 0 THEN -21600 WHEN 1 THEN 19800
+                          WHEN 2 THEN -12600 ELSE 0 END AS secs
+  FROM events)""",
+    "hour_lead": """
+WITH f AS (SELECT user_id, min(ts) AS t0 FROM events GROUP BY user_id)
+SELECT e.event_id,
+       CAST(epoch(date_trunc('minute', e.ts)) AS BIGINT) AS "epoch",
+       CAST(epoch(date_trunc('hour', e.ts)) AS BIGINT) AS epoch_hour,
+       CAST((epoch(date_trunc('hour', e.ts)) - epoch(date_trunc('hour', f.t0))) / 3600
+            AS INTEGER) AS "lead"
+FROM events e JOIN f ON e.user_id = f.user_id""",
+    "hour_label": "SELECT event_id, strftime(ts, '%m/%d %H:00') AS label FROM events",
+    "pct_clean": """
+SELECT l_orderkey, l_linenumber,
+       CAST(CAST(round(l_discount * 100) AS INTEGER) AS VARCHAR) || '%' AS pct_text,
+       CAST(round(l_discount * 100) AS INTEGER) AS pct
+FROM lineitem""",
+    "trunc_cast": "SELECT c_custkey, CAST(trunc(c_acctbal) AS INTEGER) AS acct FROM customer",
+    "card_unpivot": """
+SELECT c_custkey, 'C Name' AS label, c_name AS value FROM customer
+UNION ALL SELECT c_custkey, 'C Nationkey', CAST(c_nationkey AS VARCHAR) FROM customer
+UNION ALL SELECT c_custkey, 'C Mktsegment', c_mktsegment FROM customer""",
+    "hist_stack": """
+WITH a AS (
+  SELECT p_brand, min(p_size) AS nl, min(p_retailprice) AS rl, min(p_partkey) AS rly,
+         max(p_size) AS nh, max(p_retailprice) AS rh, max(p_partkey) AS rhy
+  FROM part GROUP BY p_brand)
+SELECT p_brand, 'Low' AS label, nl AS normal, rl AS record, rly AS record_year FROM a
+UNION ALL
+SELECT p_brand, 'High', nh, rh, rhy FROM a""",
+    "hhmm_label": f"""
+SELECT event_id, 'Sun' AS label, {_hm("ts")} AS "Rise",
+       {_hm("ts + INTERVAL 12 HOUR")} AS "Set" FROM events
+UNION ALL
+SELECT event_id, 'Moon', {_hm("ts + INTERVAL 6 HOUR")},
+       CASE WHEN value < 5 THEN '' ELSE {_hm("ts + INTERVAL 18 HOUR")} END FROM events""",
+    "slug_index": """
+SELECT n_name, lower(replace(n_name, ' ', '')) AS slug, customers
+FROM nation n JOIN (SELECT c_nationkey, count(*) AS customers FROM customer GROUP BY 1) c
+  ON n.n_nationkey = c.c_nationkey""",
+    "source_key": """
+SELECT event_id,
+       strftime(ts, '%Y/%m/%d/%H') || '/weather-1-' || CAST(event_id AS VARCHAR) AS path,
+       CAST(strftime(ts, '%Y%m%d%H') AS BIGINT) AS source
+FROM events""",
+    "keyed_patch": """
+WITH u AS (
+  SELECT user_id, value FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rk
+    FROM events) WHERE rk = 1)
+SELECT p.page_id,
+       CASE WHEN u.user_id IS NULL THEN p.html
+            ELSE regexp_replace(p.html, '<title>[^<]*</title>',
+                   '<title>' || CAST(CAST(round(u.value) AS INTEGER) AS VARCHAR) || '&deg;F</title>',
+                   'g') END AS html
+FROM pages p LEFT JOIN u ON p.page_id = u.user_id""",
+    "order_limit": "SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey ASC LIMIT 100",
+    "parquet_roundtrip": "SELECT * FROM orders",
+    "stream_latest": """
+SELECT user_id, ts, event_id, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rk
+  FROM events WHERE value IS NOT NULL AND user_id IS NOT NULL
+) WHERE rk = 1""",
+    "stream_ingest_once": "SELECT * FROM events",
 }

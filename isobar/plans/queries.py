@@ -14,7 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isobar.functions import clean, clock
-from isobar.operators import bands, keys, verify
+from isobar.operators import bands, ingest, keys, normalize, reshape, speed, verify
+from isobar.session import scratch_path
+from isobar.sources import sinks
+from isobar.sources.raw import source_from_path
+from isobar.streaming import ingest as stream_ingest
+from isobar.streaming.latest import latest_state
+from isobar.streaming.upsert import upsert_fn
 from isobar.sources.tables import read_table
 
 ROUND = 6  # doubles are compared at 6 decimal places
@@ -135,6 +141,236 @@ def forecast_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.select(*out)
 
 
+def zip_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's word array zipped with the array of the words
+    that follow them (one shorter), so the zip stops at the shortest: one
+    row per (doc, position) with the scalars repeated."""
+    docs = read_table(spark, sf_dir, "documents")
+    words = F.split(F.col("text"), " ")
+    return normalize.zip_arrays(
+        docs, ["doc_id", "lang"],
+        {"word": words, "next_word": F.slice(words, 2, F.size(words))}, pos="pos")
+
+
+def nearby_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per brand, the words of part names UNION DISTINCT the words
+    of part types, blanks dropped."""
+    part = read_table(spark, sf_dir, "part")
+    return normalize.explode_union(
+        part, ["p_brand"], [F.split("p_name", " "), F.split("p_type", " ")], "nearby")
+
+
+def nested_project(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON text parsed with a fixed schema into a nested record,
+    then projected by dotted paths (last part = name)."""
+    ev = _events(spark, sf_dir).select(
+        F.struct(F.struct("event_id", "user_id").alias("id"),
+                 F.struct("event_type", F.from_json("props", "k STRING").alias("props"))
+                 .alias("body")).alias("rec"))
+    return normalize.project_paths(ev, ["rec.id.event_id", "rec.id.user_id",
+                                        "rec.body.event_type", "rec.body.props.k"])
+
+
+def nonblank_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose language tag is neither blank nor NULL, after
+    blanking 'de' to '' and 'es' to NULL."""
+    docs = read_table(spark, sf_dir, "documents").select(
+        "doc_id", "source", "n_chars",
+        F.when(F.col("lang") == "de", F.lit(""))
+         .when(F.col("lang") == "es", F.lit(None).cast("string"))
+         .otherwise(F.col("lang")).alias("lang"))
+    return normalize.nonblank(docs, "lang")
+
+
+def distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: whole-row DISTINCT of customer (nation, segment)."""
+    return read_table(spark, sf_dir, "customer").select("c_nationkey", "c_mktsegment").distinct()
+
+
+def anti_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents not yet in the labels ledger (NOT EXISTS), the
+    first 100 by id -- the bounded batch of one ingest run."""
+    listing = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    ledger = read_table(spark, sf_dir, "labels")
+    return ingest.next_batch(ingest.new_files(listing, ledger, "doc_id"), 100, "doc_id")
+
+
+def union_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders split into 'F' and the rest, appended back by name."""
+    o = read_table(spark, sf_dir, "orders")
+    done = o.filter(F.col("o_orderstatus") == "F")
+    rest = o.filter((F.col("o_orderstatus") != "F") | F.col("o_orderstatus").isNull())
+    return ingest.append(done, rest.select(*reversed(rest.columns)))
+
+
+# Offsets assigned to users in local_clock (user_id mod 4).
+OFFSETS = ("-0600", "+0530", "-0330", "+0000")
+
+
+def local_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 F2: event epoch + a signed HHMM offset -> local date and time."""
+    ev = _events(spark, sf_dir)
+    off = F.element_at(F.array(*[F.lit(o) for o in OFFSETS]),
+                       (F.pmod(F.col("user_id"), F.lit(4)) + 1).cast("int"))
+    e = clock.ts_epoch("ts")
+    return ev.select("event_id", off.alias("offset"),
+                     clock.local_date(e, off).alias("date"),
+                     clock.local_time(e, off).alias("time"))
+
+
+def hour_lead(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event against its user's first event, both as
+    (date, time) strings: epoch, hour epoch and whole hours between."""
+    ev = _events(spark, sf_dir)
+    first = ev.groupBy("user_id").agg(F.min("ts").alias("t0"))
+    j = ev.join(first, "user_id")
+    d, t = F.date_format("ts", "yyyy-MM-dd"), F.date_format("ts", "HH:mm")
+    d0, t0 = F.date_format("t0", "yyyy-MM-dd"), F.date_format("t0", "HH:mm")
+    return j.select("event_id", clock.epoch(d, t).alias("epoch"),
+                    clock.epoch_hour(d, t).alias("epoch_hour"),
+                    clock.lead_hours(d0, t0, d, t).alias("lead"))
+
+
+def hour_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """epoch -> ``MM/dd HH:00``."""
+    return _events(spark, sf_dir).select(
+        "event_id", clock.hour_label(clock.ts_epoch("ts")).alias("label"))
+
+
+def pct_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ``'7%'`` style text built from the discount, stripped and
+    cast back to int."""
+    li = read_table(spark, sf_dir, "lineitem")
+    txt = F.concat(F.round(F.col("l_discount") * 100).cast("int").cast("string"), F.lit("%"))
+    return li.select("l_orderkey", "l_linenumber", txt.alias("pct_text"),
+                     clean.to_int(clean.percent(txt)).alias("pct"))
+
+
+def trunc_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """account balance as text -> int, truncating toward zero."""
+    c = read_table(spark, sf_dir, "customer")
+    return c.select("c_custkey", clean.to_int(F.col("c_acctbal").cast("string")).alias("acct"))
+
+
+def card_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer columns -> (key, prettified label, text value)."""
+    c = read_table(spark, sf_dir, "customer")
+    return reshape.card(c, "c_custkey", ["c_name", "c_nationkey", "c_mktsegment"])
+
+
+def hist_stack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per brand, a Low and a High row of (normal, record, record_year)
+    from min / max of size, price and part key."""
+    p = read_table(spark, sf_dir, "part")
+    agg = p.groupBy("p_brand").agg(
+        F.min("p_size").alias("normal_low"), F.min("p_retailprice").alias("record_low"),
+        F.min("p_partkey").alias("record_low_year"),
+        F.max("p_size").alias("normal_high"), F.max("p_retailprice").alias("record_high"),
+        F.max("p_partkey").alias("record_high_year"))
+    return reshape.history(agg, ["p_brand"],
+                           ["normal_low", "record_low", "record_low_year"],
+                           ["normal_high", "record_high", "record_high_year"])
+
+
+def _hm(ts_col, blank=None):
+    h = F.hour(ts_col).cast("string")
+    m = F.lpad(F.minute(ts_col).cast("string"), 2, "0")
+    if blank is not None:
+        h = F.when(blank, F.lit("")).otherwise(h)
+        m = F.when(blank, F.lit("")).otherwise(m)
+    return h, m
+
+
+def hhmm_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sun / Moon rows with Rise / Set ``h:mm`` labels per event
+    (sunrise = ts, sunset = ts+12h, moonrise = ts+6h, moonset = ts+18h with
+    both parts blanked when value < 5, which shows as '')."""
+    ev = _events(spark, sf_dir)
+    cols = {}
+    for name, hours in (("sunrise", 0), ("sunset", 12), ("moonrise", 6), ("moonset", 18)):
+        t = F.col("ts") + F.make_interval(hours=F.lit(hours))
+        h, m = _hm(t, (F.col("value") < 5) if name == "moonset" else None)
+        cols[f"{name}_hour"], cols[f"{name}_minute"] = h, m
+    return reshape.sun_moon(ev.select("event_id", *[v.alias(k) for k, v in cols.items()]),
+                            ["event_id"])
+
+
+def slug_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nation name, slug and its customer count, in name order."""
+    n = read_table(spark, sf_dir, "nation")
+    counts = (read_table(spark, sf_dir, "customer").groupBy("c_nationkey")
+              .agg(F.count(F.lit(1)).alias("customers"))
+              .withColumnRenamed("c_nationkey", "n_nationkey"))
+    cur = n.join(counts, "n_nationkey").select("n_name", "customers")
+    return reshape.index(n, cur, key="n_name", reading="customers")
+
+
+def source_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landing path ``yyyy/MM/dd/HH/weather-1-<id>`` per event and
+    the YYYYMMDDHH version parsed back from it."""
+    ev = _events(spark, sf_dir)
+    path = F.concat(F.date_format("ts", "yyyy/MM/dd/HH"), F.lit("/weather-1-"),
+                    F.col("event_id").cast("string"))
+    return ev.select("event_id", path.alias("path"), source_from_path(path).alias("source"))
+
+
+def keyed_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's ``<title>`` is rewritten with the newest reading
+    of the user whose id is the page id; pages without one are unchanged."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "html")
+    newest = keys.latest(_events(spark, sf_dir).select("user_id", "ts", "event_id", "value"),
+                         ["user_id"], ["ts"], tiebreak=["event_id"])
+    upd = newest.select(F.col("user_id").alias("page_id"),
+                        F.round("value").cast("int").cast("string").alias("reading"))
+    return speed.patch(
+        pages, upd, "page_id", "html",
+        pattern=F.when(F.col("reading").isNotNull(), F.lit("<title>[^<]*</title>")),
+        replacement=F.concat(F.lit("<title>"), clean.replacement_literal(F.col("reading")),
+                             F.lit("&deg;F</title>")))
+
+
+def order_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O2 O3: the 100 most expensive orders, order key breaking ties."""
+    o = read_table(spark, sf_dir, "orders")
+    return o.orderBy(F.col("o_totalprice").desc(), F.col("o_orderkey").asc()).limit(100)
+
+
+def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders published as a new table version in the shared folder
+    and read back from it."""
+    root = scratch_path(spark, "roundtrip")
+    sinks.write_table(read_table(spark, sf_dir, "orders"), root, "orders")
+    return sinks.read_latest(spark, root, "orders")
+
+
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = _events(spark, sf_dir).schema
+    return stream_ingest.read_files(spark, sf_dir, schema, fmt="parquet",
+                                    glob="events.parquet", max_files=100)
+
+
+def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST2 P11: newest reading per user as streaming state (update mode),
+    each micro-batch of changed keys upserted into a table."""
+    work = scratch_path(spark, "stream_latest")
+    readings = speed.current(_event_stream(spark, sf_dir), key="user_id", reading="value")
+    state = latest_state(readings, "user_id", "ts", ["value"], tiebreak=["event_id"])
+    stream_ingest.run_available_now(
+        state, f"{work}/checkpoint", output_mode="update",
+        batch_fn=upsert_fn(f"{work}/table", ["user_id"], version="ts", tiebreak=["event_id"]))
+    return spark.read.parquet(f"{work}/table")
+
+
+def stream_ingest_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST1: the events file streamed into a Parquet table twice with one
+    checkpoint; the second run finds nothing new, so every row lands once."""
+    work = scratch_path(spark, "stream_ingest")
+    for _ in range(2):
+        stream_ingest.run_available_now(_event_stream(spark, sf_dir), f"{work}/checkpoint",
+                                        sink_path=f"{work}/table")
+    return spark.read.parquet(f"{work}/table")
+
+
 QUERIES = {
     "forecast_skill": forecast_skill,
     "forecast_bands": forecast_bands,
@@ -143,4 +379,26 @@ QUERIES = {
     "enforce_keys_1": enforce_keys_1,
     "enforce_keys_2": enforce_keys_2,
     "enforce_keys_3": enforce_keys_3,
+    "zip_explode": zip_explode,
+    "nearby_union": nearby_union,
+    "nested_project": nested_project,
+    "nonblank_filter": nonblank_filter,
+    "distinct_rows": distinct_rows,
+    "anti_new": anti_new,
+    "union_all": union_all,
+    "local_clock": local_clock,
+    "hour_lead": hour_lead,
+    "hour_label": hour_label,
+    "pct_clean": pct_clean,
+    "trunc_cast": trunc_cast,
+    "card_unpivot": card_unpivot,
+    "hist_stack": hist_stack,
+    "hhmm_label": hhmm_label,
+    "slug_index": slug_index,
+    "source_key": source_key,
+    "keyed_patch": keyed_patch,
+    "order_limit": order_limit,
+    "parquet_roundtrip": parquet_roundtrip,
+    "stream_latest": stream_latest,
+    "stream_ingest_once": stream_ingest_once,
 }
