@@ -80,11 +80,13 @@ def merge_into(new: DataFrame, path: str, keys, version: str = "source",
             w = w.partitionBy(partition_by)
         w.parquet(path)
         return
-    current = spark.read.parquet(path)
+    # Read with the incoming schema: keeps partition values typed as written
+    # and works for a table that so far holds no rows.
+    current = spark.read.schema(new.schema).parquet(path).select(*new.columns)
     if partition_by:
         touched = new.select(partition_by).distinct()
         current = current.join(touched, partition_by, "left_semi")
-    merged = enforce(current.unionByName(new.select(*current.columns)), keys, version, tiebreak)
+    merged = enforce(current.unionByName(new), keys, version, tiebreak)
     merged = merged.checkpoint(eager=True)
     w = merged.write.mode("overwrite")
     if partition_by:
