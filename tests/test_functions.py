@@ -1,0 +1,114 @@
+"""Clock and cleaning expressions, including the semantic traps."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from isobar.functions import clean, clock
+from isobar.plans import views
+
+
+def one(spark, *cols):
+    return spark.range(1).select(*cols).first()
+
+
+@pytest.mark.parametrize("offset,secs", [("-0600", -21600), ("+0530", 19800),
+                                         ("-0330", -12600), ("+0000", 0), ("0", 0),
+                                         ("junk", None), (None, None)])
+def test_offset_seconds(spark, offset, secs):
+    assert one(spark, clock.offset_seconds(F.lit(offset).cast("string")))[0] == secs
+
+
+@pytest.mark.parametrize("epoch,offset", [(1489006920, "-0600"), (1489006920, "+0530"),
+                                          (1489006920, "-0330"), (0, "-0600"),
+                                          (1489302000, "-0600"), (-86401, "+0100")])
+def test_local_date_time_match_python(spark, epoch, offset):
+    sign = -1 if offset.startswith("-") else 1
+    secs = sign * (int(offset[1:3]) * 3600 + int(offset[3:5]) * 60)
+    want = dt.datetime(1970, 1, 1) + dt.timedelta(seconds=epoch + secs)
+    r = one(spark, clock.local_date(F.lit(epoch), F.lit(offset)).alias("d"),
+            clock.local_time(F.lit(epoch), F.lit(offset)).alias("t"))
+    assert (r["d"], r["t"]) == (want.strftime("%Y-%m-%d"), want.strftime("%H:%M"))
+
+
+def test_null_in_null_out(spark):
+    r = one(spark, clock.local_date(F.lit(None).cast("bigint"), F.lit("-0600")),
+            clock.local_time(F.lit(1), F.lit(None).cast("string")),
+            clock.epoch(F.lit(None).cast("string"), F.lit("10:00")),
+            clean.percent(F.lit(None).cast("string")),
+            clean.hhmm(F.lit(None).cast("string"), F.lit("5")))
+    assert all(v is None for v in r)
+
+
+def test_epoch_hour_and_lead(spark):
+    r = one(spark, clock.epoch(F.lit("2017-03-08"), F.lit("14:59")).alias("e"),
+            clock.epoch_hour(F.lit("2017-03-08"), F.lit("14:59")).alias("h"),
+            clock.lead_hours(F.lit("2017-03-08"), F.lit("11:00"),
+                             F.lit("2017-03-08"), F.lit("14:00")).alias("l"),
+            clock.lead_hours(F.lit("2017-03-08"), F.lit("23:59"),
+                             F.lit("2017-03-09"), F.lit("00:01")).alias("l2"),
+            clock.epoch(F.lit("2017-02-30"), F.lit("10:00")).alias("bad"))
+    assert r["e"] == 1488985140 and r["h"] == 1488985140 - 59 * 60
+    assert r["l"] == 3 and r["l2"] == 1 and r["bad"] is None
+
+
+def test_dst_day_keeps_issue_offset(spark):
+    """Targets across 2017-03-12 use the offset in force at issue time, so
+    02:00 (skipped by DST) exists on the local clock."""
+    e = 1489302000  # 2017-03-12 07:00 UTC
+    r = one(spark, clock.local_time(F.lit(e), F.lit("-0600")))
+    assert r[0] == "01:00"
+    r = one(spark, clock.local_time(F.lit(e + 3600), F.lit("-0600")))
+    assert r[0] == "02:00"
+
+
+def test_results_do_not_depend_on_session_zone(spark):
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Chicago")
+        r = one(spark, clock.local_time(F.lit(1489006920), F.lit("-0600")),
+                clock.hour_label(F.lit(1488992400)),
+                clock.epoch(F.lit("2017-03-08"), F.lit("17:00")))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    assert tuple(r) == ("15:02", "03/08 17:00", 1488992400)
+
+
+@pytest.mark.parametrize("text,want", [("49.3", 49), ("-0.7", 0), ("-7.9", -7), ("50", 50),
+                                       (" 12 ", 12), ("NA", None), ("", None),
+                                       ("1e12", None), (None, None)])
+def test_to_int_truncates_and_never_raises(spark, text, want):
+    assert one(spark, clean.to_int(F.lit(text).cast("string")))[0] == want
+
+
+def test_labels(spark):
+    r = one(spark, clean.percent(F.lit("23%")), clean.slug(F.lit("Salt Lake City")),
+            clean.prettify(F.lit("local_tz_offset")), clean.hhmm(F.lit(""), F.lit("")),
+            clean.hhmm(F.lit("6"), F.lit("14")), clean.hhmm(F.lit(""), F.lit(""), False),
+            clock.hour_label(F.lit(1488992400)))
+    assert tuple(r) == ("23", "saltlakecity", "Local Tz Offset", "", "6:14", ":", "03/08 17:00")
+
+
+def test_sql_functions_equal_column_functions(spark):
+    views.register_functions(spark)
+    df = spark.createDataFrame(
+        [(1489006920, "-0600", "2017-03-08", "14:59", "23%", "49.3", "Salt Lake"),
+         (1489006920, "+0530", "2017-03-12", "02:00", None, "-0.7", "Avon"),
+         (None, "junk", "bad", "x:y", "7%", "NA", None)],
+        "e bigint, o string, d string, t string, h string, n string, c string")
+    sql = df.selectExpr("local_date(e, o)", "local_time(e, o)", "epoch_of(d, t)",
+                        "epoch_hour(d, t)", "lead_hours(d, t, '2017-03-13', '00:00')",
+                        "percent(h)", "to_int(n)", "slug(c)", "offset_seconds(o)")
+    col = df.select(clock.local_date("e", "o"), clock.local_time("e", "o"),
+                    clock.epoch("d", "t"), clock.epoch_hour("d", "t"),
+                    clock.lead_hours("d", "t", F.lit("2017-03-13"), F.lit("00:00")),
+                    clean.percent("h"), clean.to_int("n"), clean.slug("c"),
+                    clock.offset_seconds("o"))
+    assert [tuple(r) for r in sql.collect()] == [tuple(r) for r in col.collect()]
+
+
+def test_regex_escapes(spark):
+    r = one(spark, F.regexp_replace(F.lit("a.b$c"), clean.regex_literal(F.lit(".b$")),
+                                    clean.replacement_literal(F.lit("$1\\x"))))
+    assert r[0] == "a$1\\xc"
