@@ -21,7 +21,7 @@ from isobar.sources.raw import source_from_path
 from isobar.streaming import ingest as stream_ingest
 from isobar.streaming.latest import latest_state
 from isobar.streaming.upsert import upsert_fn
-from isobar.sources.tables import read_table
+from isobar.sources.tables import read_table, spread
 
 ROUND = 6  # doubles are compared at 6 decimal places
 
@@ -145,7 +145,7 @@ def zip_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document's word array zipped with the array of the words
     that follow them (one shorter), so the zip stops at the shortest: one
     row per (doc, position) with the scalars repeated."""
-    docs = read_table(spark, sf_dir, "documents")
+    docs = spread(read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
     words = F.split(F.col("text"), " ")
     return normalize.zip_arrays(
         docs, ["doc_id", "lang"],
