@@ -69,3 +69,45 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
            tiebreak: Sequence[str] | None = None) -> DataFrame:
     """The newest row per key by ``order`` (descending)."""
     return top_n(df, keys, 1, desc=order, tiebreak=tiebreak)
+
+
+def recent_partitions(df: DataFrame, keys: Sequence[str], part: str,
+                      needed: DataFrame | None = None) -> DataFrame:
+    """Prune ``df`` (partitioned by ``part``) to the partitions that can hold
+    each key's newest rows.
+
+    ``needed`` lists, per key, the ``part`` values whose rows are wanted
+    (default: each key's maximum ``part``). Its minimum becomes a runtime
+    partition filter (a scalar subquery on the partition column), so the
+    files of older partitions are never opened. Exact as long as the
+    ordering used afterwards agrees with ``part`` (newer rows never sit in
+    an older partition); rows with a NULL ``part`` are always kept.
+    """
+    if needed is None:
+        needed = df.groupBy(*keys).agg(F.max(part).alias(part))
+    cutoff = needed.agg(F.min(part)).scalar()
+    return df.filter((F.col(part) >= cutoff) | F.col(part).isNull())
+
+
+def top_n_by_group(df: DataFrame, keys: Sequence[str], group: Sequence[str],
+                   group_order: Column, n: int, part: str | None = None,
+                   asc: Sequence[str | Column] = ()) -> DataFrame:
+    """W4 over groups of rows (e.g. forecast issues): the first ``n`` rows
+    per key taking whole groups newest first (``group_order`` descending),
+    spilling into older groups when the newest is short, rows inside a group
+    in ``asc`` order.
+
+    The groups needed are found from a per-group row count (narrow columns,
+    partial aggregate) with a running sum over each key's groups; with
+    ``part`` the scan of ``df`` is then pruned to the partitions holding
+    them (see :func:`recent_partitions`).
+    """
+    counted = (df.groupBy(*keys, *group).agg(F.count(F.lit(1)).alias("_n"))
+               .withColumn("_g", group_order))
+    newer = (Window.partitionBy(*keys).orderBy(F.col("_g").desc_nulls_last())
+             .rowsBetween(Window.unboundedPreceding, -1))
+    needed = counted.withColumn("_before", F.coalesce(F.sum("_n").over(newer), F.lit(0))) \
+                    .filter(F.col("_before") < n)
+    src = recent_partitions(df, keys, part, needed) if part else df
+    return top_n(src.withColumn("_g", group_order), keys, n, desc=["_g"], asc=asc,
+                 tiebreak=[]).drop("_g")

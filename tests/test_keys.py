@@ -43,3 +43,24 @@ def test_window_group_limit_is_partial_before_the_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 7).alias("k"), F.col("id").alias("v"))
     plan = keys.top_n(df, ["k"], 3, desc=["v"])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_top_n_by_group_prunes_and_matches_plain_top_n(spark, workdir):
+    import random
+    rnd = random.Random(5)
+    rows = []
+    for city in ("a", "b", "c"):
+        for day in range(1, 6):
+            for hour in (0, 12):
+                if rnd.random() < 0.8:
+                    size = rnd.choice([1, 3, 5])
+                    rows += [(city, f"2017-03-0{day}", f"{hour:02d}:00", t) for t in range(size)]
+    spark.createDataFrame(rows, "city string, date string, time string, fts int") \
+        .write.partitionBy("date").parquet(workdir + "/f")
+    df = spark.read.schema("city string, time string, fts int, date string").parquet(workdir + "/f")
+    order = F.concat("date", "time")
+    got = keys.top_n_by_group(df, ["city"], ["date", "time"], order, 7, part="date", asc=["fts"])
+    want = keys.top_n(df.withColumn("_g", order), ["city"], 7, desc=["_g"], asc=["fts"],
+                      tiebreak=[]).drop("_g")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert "Subquery" in got._jdf.queryExecution().executedPlan().toString()
