@@ -205,4 +205,44 @@ SELECT user_id, ts, event_id, value FROM (
   FROM events WHERE value IS NOT NULL AND user_id IS NOT NULL
 ) WHERE rk = 1""",
     "stream_ingest_once": "SELECT * FROM events",
+    "landed_skill": """
+WITH ev AS (
+  SELECT user_id, value, props::JSON->>'$.k' AS ktxt,
+         CAST(strftime(ts, '%Y%m%d%H') AS BIGINT) AS source,
+         (epoch_ms(ts) // 1000 + CASE user_id % 4 WHEN 0 THEN -21600 WHEN 1 THEN 19800
+                                 WHEN 2 THEN -12600 ELSE 0 END) // 60 AS lmin
+  FROM events
+),
+w AS (
+  SELECT user_id, lmin, value AS a_temp,
+         CAST(trunc(CAST(ktxt AS DOUBLE)) AS INTEGER) AS a_humidity,
+         value / 10 AS a_wind_mph, CAST(trunc(value) AS INTEGER) AS a_feelslike
+  FROM (SELECT *, row_number() OVER (PARTITION BY user_id, lmin
+                                     ORDER BY source DESC, value DESC, ktxt || '%' DESC) AS rk
+        FROM ev) WHERE rk = 1
+),
+f AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (
+             PARTITION BY user_id, lmin, l
+             ORDER BY source DESC, CAST(CAST(trunc(value) AS INTEGER) AS VARCHAR) DESC,
+                      ktxt DESC, CAST(CAST(trunc(value / 10) AS INTEGER) AS VARCHAR) DESC) AS rk
+    FROM (SELECT *, unnest(generate_series(1, 24)) AS l FROM ev)
+  ) WHERE rk = 1
+),
+d AS (
+  SELECT CAST(f.l AS INTEGER) AS fhours,
+         w.a_temp - CAST(trunc(f.value) AS INTEGER) AS tempD,
+         w.a_humidity - CAST(trunc(CAST(f.ktxt AS DOUBLE)) AS INTEGER) AS humidityD,
+         w.a_wind_mph - CAST(trunc(f.value / 10) AS INTEGER) AS wind_mphD,
+         w.a_feelslike - CAST(trunc(f.value) AS INTEGER) AS feelslikeD
+  FROM f JOIN w ON f.user_id = w.user_id
+               AND (f.lmin // 60) * 60 + f.l * 60 = (w.lmin // 60) * 60
+)
+SELECT fhours, count(*) AS count,
+       round(avg(tempD), 6) AS tempM, round(stddev_samp(tempD), 6) AS tempSD,
+       round(avg(humidityD), 6) AS humidityM, round(stddev_samp(humidityD), 6) AS humiditySD,
+       round(avg(wind_mphD), 6) AS wind_mphM, round(stddev_samp(wind_mphD), 6) AS wind_mphSD,
+       round(avg(feelslikeD), 6) AS feelslikeM, round(stddev_samp(feelslikeD), 6) AS feelslikeSD
+FROM d GROUP BY fhours""",
 }

@@ -20,24 +20,21 @@ SQL_FUNCTIONS = {
              "CASE WHEN concat(h, ':', m) = ':' THEN '' ELSE concat(h, ':', m) END"),
     "offset_seconds": (
         "(o STRING) RETURNS BIGINT RETURN "
-        "CAST(signum(try_cast(try_cast(o AS DOUBLE) AS INT)) AS BIGINT) * "
-        "(CAST(abs(try_cast(try_cast(o AS DOUBLE) AS INT)) / 100 AS BIGINT) * 3600 + "
-        "CAST(abs(try_cast(try_cast(o AS DOUBLE) AS INT)) % 100 AS BIGINT) * 60)"),
+        "CAST(try_cast(try_cast(o AS DOUBLE) AS INT) / 100 AS BIGINT) * 3600 + "
+        "CAST(try_cast(try_cast(o AS DOUBLE) AS INT) % 100 AS BIGINT) * 60"),
     "local_date": (
         "(e BIGINT, o STRING) RETURNS STRING RETURN "
         "CAST(date_from_unix_date(CAST(floor((e + offset_seconds(o)) / 86400) AS INT)) AS STRING)"),
     "local_time": (
         "(e BIGINT, o STRING) RETURNS STRING RETURN "
-        "CASE WHEN e + offset_seconds(o) IS NOT NULL THEN format_string('%02d:%02d', "
-        "CAST(pmod(e + offset_seconds(o), 86400) / 3600 AS INT), "
-        "CAST(pmod(e + offset_seconds(o), 86400) % 3600 / 60 AS INT)) END"),
+        "concat(lpad(CAST(CAST(floor(pmod(e + offset_seconds(o), 86400) / 60) / 60 AS INT) "
+        "AS STRING), 2, '0'), ':', lpad(CAST(CAST(floor(pmod(e + offset_seconds(o), 86400) "
+        "/ 60) % 60 AS INT) AS STRING), 2, '0'))"),
     "epoch_of": (
         "(d STRING, t STRING) RETURNS BIGINT RETURN "
-        "CAST(unix_date(try_to_date(d, 'yyyy-MM-dd')) AS BIGINT) * 86400 + "
-        "try_cast(try_cast(split(t, ':')[0] AS DOUBLE) AS INT) * 3600 + "
-        "try_cast(try_cast(split(t, ':')[1] AS DOUBLE) AS INT) * 60"),
+        "unix_seconds(try_to_timestamp(concat(d, 'T', t, 'Z'), 'yyyy-MM-dd''T''H:mX'))"),
     "epoch_hour": "(d STRING, t STRING) RETURNS BIGINT RETURN "
-                  "epoch_of(d, t) - pmod(epoch_of(d, t), 3600)",
+                  "floor(epoch_of(d, t) / 3600) * 3600",
     "lead_hours": ("(d STRING, t STRING, fd STRING, ft STRING) RETURNS INT RETURN "
                    "CAST((epoch_hour(fd, ft) - epoch_hour(d, t)) / 3600 AS INT)"),
 }

@@ -50,9 +50,17 @@ def read_latest(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     return spark.read.parquet(v) if v else None
 
 
-def land_json(df: DataFrame, path: str) -> None:
-    """Records as newline-delimited JSON (one object per row)."""
-    df.write.mode("append").json(path)
+def land_json(df: DataFrame, path: str, partition_by=None) -> None:
+    """Records as newline-delimited JSON (one object per row).
+
+    With ``partition_by`` (e.g. the hour folders of a landing area) rows are
+    first clustered by those columns, so each folder gets its files from
+    one task instead of one small file per task per folder.
+    """
+    if partition_by:
+        df.repartition(*partition_by).write.mode("append").partitionBy(*partition_by).json(path)
+    else:
+        df.write.mode("append").json(path)
 
 
 def merge_into(new: DataFrame, path: str, keys, version: str = "source",

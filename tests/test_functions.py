@@ -112,3 +112,21 @@ def test_regex_escapes(spark):
     r = one(spark, F.regexp_replace(F.lit("a.b$c"), clean.regex_literal(F.lit(".b$")),
                                     clean.replacement_literal(F.lit("$1\\x"))))
     assert r[0] == "a$1\\xc"
+
+
+def test_epoch_accepts_single_digit_parts(spark):
+    r = one(spark, clock.epoch(F.lit("2017-03-08"), F.lit("7:05")),
+            clock.epoch(F.lit("2017-03-08"), F.lit("25:00")))
+    assert tuple(r) == (1488956700, None)
+
+
+def test_pushed_filter_on_derived_clock_stays_cheap(spark):
+    """A filter on an hour derived from derived date/time strings must not
+    blow up: the expanded filter expression stays small."""
+    df = spark.range(10).select((F.col("id") * 4000 + 1489006920).alias("e"),
+                                F.lit("-0330").alias("o"))
+    d, t = clock.local_date("e", "o"), clock.local_time("e", "o")
+    plan = df.select(d.alias("d"), t.alias("t")).filter(
+        clock.epoch_hour("d", "t").isNotNull())._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_to_timestamp") + plan.count("gettimestamp") <= 2
+    assert len(plan) < 6000
