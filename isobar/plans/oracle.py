@@ -245,4 +245,32 @@ SELECT fhours, count(*) AS count,
        round(avg(wind_mphD), 6) AS wind_mphM, round(stddev_samp(wind_mphD), 6) AS wind_mphSD,
        round(avg(feelslikeD), 6) AS feelslikeM, round(stddev_samp(feelslikeD), 6) AS feelslikeSD
 FROM d GROUP BY fhours""",
+    "sql_functions": """
+SELECT event_id, "offset",
+       strftime(epoch_ms((es + secs) * 1000), '%Y-%m-%d') AS date,
+       strftime(epoch_ms((es + secs) * 1000), '%H:%M') AS time,
+       ((es + secs) // 3600) * 3600 AS local_hour,
+       CAST(trunc(CAST(props::JSON->>'$.k' AS DOUBLE)) AS INTEGER) AS humidity,
+       lower(replace(event_type || ' ' || CAST(user_id AS VARCHAR), ' ', '')) AS slug
+FROM (
+  SELECT event_id, event_type, user_id, props, epoch_ms(ts) // 1000 AS es,
+         CASE user_id % 4 WHEN 0 THEN '-0600' WHEN 1 THEN '+0530'
+                          WHEN 2 THEN '-0330' ELSE '+0000' END AS "offset",
+         CASE user_id % 4 WHEN 0 THEN -21600 WHEN 1 THEN 19800
+                          WHEN 2 THEN -12600 ELSE 0 END AS secs
+  FROM events)""",
+    "landing_listing": """
+WITH h AS (SELECT DISTINCT CAST(strftime(ts, '%Y%m%d%H') AS BIGINT) AS source FROM events)
+SELECT source FROM h
+WHERE source // 100 <> (SELECT min(source) // 100 FROM h)
+ORDER BY source LIMIT 100""",
+    "write_metrics": """
+SELECT name, value FROM (
+  SELECT 'rows' AS name, count(*) AS value FROM orders
+  UNION ALL SELECT 'max_key', max(o_orderkey) FROM orders
+  UNION ALL SELECT 'status_F', count(*) FILTER (WHERE o_orderstatus = 'F') FROM orders
+  UNION ALL SELECT 'status_O', count(*) FILTER (WHERE o_orderstatus = 'O') FROM orders
+  UNION ALL SELECT 'status_P', count(*) FILTER (WHERE o_orderstatus = 'P') FROM orders)""",
 }
+
+ORACLE["stream_patch"] = ORACLE["keyed_patch"]

@@ -15,12 +15,14 @@ from pyspark.sql import functions as F
 
 from isobar.functions import clean, clock
 from isobar.operators import bands, ingest, keys, normalize, reshape, speed, verify
-from isobar.plans import jobs
+from isobar.operators import metrics
+from isobar.plans import jobs, views
 from isobar.session import scratch_path
 from isobar.sources import sinks
-from isobar.sources.raw import read_landing, source_from_path
+from isobar.sources.raw import list_files, read_landing, source_from_path
 from isobar.streaming import ingest as stream_ingest
 from isobar.streaming.latest import latest_state
+from isobar.streaming.patch import patch_fn
 from isobar.streaming.upsert import upsert_fn
 from isobar.sources.tables import read_table, spread
 
@@ -427,6 +429,76 @@ def landed_skill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select(*out)
 
 
+def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The helpers as SQL functions over a temp view, through
+    ``spark.sql`` (inlined into the plan like any built-in)."""
+    views.register_functions(spark)
+    views.register_views({"isobar_events": _events(spark, sf_dir)})
+    offs = ", ".join(f"'{o}'" for o in OFFSETS)
+    return spark.sql(f"""
+        SELECT event_id, off AS offset,
+               local_date(unix_timestamp(ts), off) AS date,
+               local_time(unix_timestamp(ts), off) AS time,
+               epoch_hour(local_date(unix_timestamp(ts), off),
+                          local_time(unix_timestamp(ts), off)) AS local_hour,
+               to_int(percent(concat(get_json_object(props, '$.k'), '%'))) AS humidity,
+               slug(concat(event_type, ' ', CAST(user_id AS STRING))) AS slug
+        FROM (SELECT *, element_at(array({offs}), CAST(pmod(user_id, 4) + 1 AS INT)) AS off
+              FROM isobar_events)""")
+
+
+def stream_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST4 (ST2 P11 J4 F16 in a stream): the pages are published as a table
+    version; the newest reading per user is kept as streaming state and
+    each micro-batch of changed users rewrites the ``<title>`` of the page
+    with the same id into a new version."""
+    work = scratch_path(spark, "stream_patch")
+    sinks.write_table(read_table(spark, sf_dir, "pages").select("page_id", "html"),
+                      work, "pages")
+    readings = speed.current(_event_stream(spark, sf_dir), key="user_id", reading="value")
+    state = latest_state(readings, "user_id", "ts", ["value"], tiebreak=["event_id"])
+    updates = state.select(F.col("user_id").alias("page_id"),
+                           F.round("value").cast("int").cast("string").alias("reading"))
+    fn = patch_fn(spark, work, "pages", key="page_id", text_col="html", reading="reading",
+                  pattern=lambda: F.lit("<title>[^<]*</title>"),
+                  replacement=lambda r: F.concat(F.lit("<title>"), clean.replacement_literal(r),
+                                                 F.lit("&deg;F</title>")))
+    stream_ingest.run_available_now(updates, f"{work}/checkpoint", output_mode="update",
+                                    batch_fn=fn)
+    return sinks.read_latest(spark, work, "pages")
+
+
+def landing_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S10 S2 S5 S3 S4 J3 on real files: events are landed as JSON, one
+    folder per UTC hour; the landing folder is listed as a table, files of
+    the first day are taken as already ingested (the ledger), and the next
+    bounded batch of at most 100 new files is reported with the version
+    parsed from each path."""
+    landing = scratch_path(spark, "listing") + "/weather-1"
+    ev = _events(spark, sf_dir).select(
+        "event_id", "user_id", "ts", "value",
+        *[F.date_format("ts", f).alias(n) for n, f in (("y", "yyyy"), ("m", "MM"),
+                                                       ("d", "dd"), ("h", "HH"))])
+    sinks.land_json(ev, landing, partition_by=["y", "m", "d", "h"])
+    listing = list_files(spark, landing).withColumn("source", source_from_path("path"))
+    first_day = listing.agg((F.min("source") / 100).cast("bigint").alias("d")).scalar()
+    ledger = listing.filter((F.col("source") / 100).cast("bigint") == first_day)
+    batch = ingest.next_batch(ingest.new_files(listing, ledger), 100)
+    return batch.select("source")
+
+
+def write_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters observed while a table is written (rows, largest key,
+    rows per status) as a (name, value) table."""
+    o = read_table(spark, sf_dir, "orders")
+    statuses = ("F", "O", "P")
+    o, obs = metrics.observed(
+        o, "orders_write", max_key=F.max("o_orderkey"),
+        **{f"status_{s}": F.count(F.when(F.col("o_orderstatus") == s, 1)) for s in statuses})
+    sinks.write_table(o, scratch_path(spark, "metrics"), "orders")
+    return metrics.as_table(spark, {k: int(v) for k, v in obs.get.items()})
+
+
 QUERIES = {
     "forecast_skill": forecast_skill,
     "forecast_bands": forecast_bands,
@@ -458,4 +530,8 @@ QUERIES = {
     "stream_latest": stream_latest,
     "stream_ingest_once": stream_ingest_once,
     "landed_skill": landed_skill,
+    "sql_functions": sql_functions,
+    "stream_patch": stream_patch,
+    "landing_listing": landing_listing,
+    "write_metrics": write_metrics,
 }
