@@ -13,6 +13,7 @@ import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from isobar.sources import fs
 
@@ -71,9 +72,11 @@ def merge_into(new: DataFrame, path: str, keys, version: str = "source",
 
     With ``partition_by`` (a column that is part of every key, e.g. the
     date) only the partitions the new rows touch are read and rewritten:
-    the current table is semi-joined to the new rows' partition values,
-    which Spark turns into partition pruning, and the result replaces just
-    those partitions (dynamic partition overwrite). The merged rows are
+    the scan of the current table is limited to the range of the new rows'
+    partition values (two scalar subqueries, which Spark evaluates before
+    the scan and uses to skip partitions), then semi-joined to the exact
+    values, and the result replaces just those partitions (dynamic
+    partition overwrite). The merged rows are
     checkpointed to the shared checkpoint folder first, so the write never
     reads the files it replaces and a lost executor recomputes from the
     checkpoint, not from the half-replaced table.
@@ -93,7 +96,11 @@ def merge_into(new: DataFrame, path: str, keys, version: str = "source",
     current = spark.read.schema(new.schema).parquet(path).select(*new.columns)
     if partition_by:
         touched = new.select(partition_by).distinct()
-        current = current.join(touched, partition_by, "left_semi")
+        lo = touched.agg(F.min(partition_by)).scalar()
+        hi = touched.agg(F.max(partition_by)).scalar()
+        part = F.col(partition_by)
+        current = (current.filter((part.between(lo, hi)) | part.isNull())
+                   .join(touched, partition_by, "left_semi"))
     merged = enforce(current.unionByName(new), keys, version, tiebreak)
     merged = merged.checkpoint(eager=True)
     w = merged.write.mode("overwrite")

@@ -129,3 +129,25 @@ def test_max_files_bounds_a_run(spark, workdir):
     assert jobs.normalize_job(spark, landing, st, max_files=2)["files"] == 1
     assert jobs.normalize_job(spark, landing, st, max_files=2)["files"] == 0
     assert jobs.load_tables(spark, st)["weather"].count() == 3
+
+
+def test_merge_reads_only_touched_partitions(spark, workdir):
+    from pyspark.sql import functions as F
+    from isobar.sources import sinks
+    path = workdir + "/t"
+    base = spark.range(300).select((F.col("id") % 30).cast("string").alias("date"),
+                                   (F.col("id") % 7).alias("k"), F.lit(1).alias("source"), "id")
+    sinks.merge_into(base, path, ["date", "k"], "source", partition_by="date")
+    new = spark.createDataFrame([("3", 1, 2, 999), ("4", 100, 1, 5)],
+                                "date string, k long, source int, id long")
+    spark.sparkContext.setJobGroup("merge", "merge")
+    sinks.merge_into(new, path, ["date", "k"], "source", partition_by="date")
+    out = spark.read.schema(new.schema).parquet(path)
+    assert out.count() == 30 * 7 + 1
+    got = out.filter("date = '3' and k = 1").collect()
+    assert [(r["source"], r["id"]) for r in got] == [(2, 999)]
+    assert out.filter("date = '5'").count() == 7
+    cur = spark.read.schema(new.schema).parquet(path)
+    lo = new.agg(F.min("date")).scalar()
+    plan = cur.filter(F.col("date") >= lo)._jdf.queryExecution().executedPlan().toString()
+    assert "Subquery" in plan.split("PartitionFilters")[1].split("]")[0]
