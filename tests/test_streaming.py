@@ -74,3 +74,29 @@ def test_latest_state_and_page_patch(spark, workdir):
     got = dict(map(tuple, sinks.read_latest(spark, pages_root, "pages").collect()))
     assert got["avon"] == "<html><h1>Avon</h1><h2>47.0&deg;F</h2></html>"
     assert got["vail"] == "<h2>1.0&deg;F</h2>"
+
+
+def test_stream_normalize_job_equals_batch(spark, workdir):
+    landing = os.path.join(workdir, "landing")
+    st = os.path.join(workdir, "stream-store")
+    for only in ([FILE_B], [FILE_C, FILE_A]):
+        write_avon(landing, only=only)
+        jobs.stream_normalize_job(spark, landing, st, os.path.join(workdir, "ck"), max_files=1)
+    st_batch = os.path.join(workdir, "batch-store")
+    jobs.normalize_job(spark, write_avon(os.path.join(workdir, "land2")), st_batch)
+    a, b = jobs.load_tables(spark, st), jobs.load_tables(spark, st_batch)
+    for name in a:
+        ra = sorted(map(tuple, a[name].collect()), key=str)
+        rb = sorted(map(tuple, b[name].collect()), key=str)
+        assert ra == rb, name
+
+
+def test_speed_job_patches_pages(spark, workdir):
+    landing = write_avon(os.path.join(workdir, "landing"), only=[FILE_A, FILE_B])
+    root = os.path.join(workdir, "pages")
+    sinks.write_table(spark.createDataFrame(
+        [("avon", "<h2>-1.5&deg;F</h2>|49.9&deg;F&nbsp;&nbsp;<a href=\"avon.html\">")],
+        "slug string, html string"), root, "pages")
+    jobs.speed_job(spark, landing, root, os.path.join(workdir, "ck"))
+    html = sinks.read_latest(spark, root, "pages").first()["html"]
+    assert html.startswith("<h2>52.5&deg;F</h2>")
