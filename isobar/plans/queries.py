@@ -304,8 +304,7 @@ def slug_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = (read_table(spark, sf_dir, "customer").groupBy("c_nationkey")
               .agg(F.count(F.lit(1)).alias("customers"))
               .withColumnRenamed("c_nationkey", "n_nationkey"))
-    cur = n.join(counts, "n_nationkey").select("n_name", "customers")
-    return reshape.index(n, cur, key="n_name", reading="customers")
+    return reshape.index(n.join(counts, "n_nationkey"), key="n_name", reading="customers")
 
 
 def source_key(spark: SparkSession, sf_dir: str) -> DataFrame:
