@@ -417,8 +417,15 @@ def landed_skill(spark: SparkSession, sf_dir: str) -> DataFrame:
     and SD per lead hour."""
     work = scratch_path(spark, "landed")
     landing, store = f"{work}/weather-1", f"{work}/store"
-    sinks.land_json(events_as_raw(spread(_events(spark, sf_dir))), landing,
-                    partition_by=["y", "m", "d", "h"])
+    # Cluster the (small) events by landing hour first; the nested records
+    # are then built after the shuffle and each hour folder is one file. The
+    # partition count is explicit so AQE does not coalesce this small
+    # shuffle into a few tasks: the work after it grows 24-fold.
+    ev = _events(spark, sf_dir)
+    ev = ev.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                        F.date_trunc("hour", "ts"))
+    sinks.land_json(events_as_raw(ev), landing, partition_by=["y", "m", "d", "h"],
+                    clustered=True)
     jobs.rebuild_job(spark, landing, store)
     t = jobs.load_tables(spark, store)
     s = verify.weather_skill(t["forecast"], t["weather"])

@@ -51,17 +51,22 @@ def read_latest(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     return spark.read.parquet(v) if v else None
 
 
-def land_json(df: DataFrame, path: str, partition_by=None) -> None:
+def land_json(df: DataFrame, path: str, partition_by=None, clustered: bool = False) -> None:
     """Records as newline-delimited JSON (one object per row).
 
     With ``partition_by`` (e.g. the hour folders of a landing area) rows are
     first clustered by those columns, so each folder gets its files from
-    one task instead of one small file per task per folder.
+    one task instead of one small file per task per folder. ``clustered``
+    says the caller already did that (e.g. on the small input rows, before
+    building large records from them).
     """
+    w = df
+    if partition_by and not clustered:
+        w = w.repartition(*partition_by)
+    w = w.write.mode("append")
     if partition_by:
-        df.repartition(*partition_by).write.mode("append").partitionBy(*partition_by).json(path)
-    else:
-        df.write.mode("append").json(path)
+        w = w.partitionBy(*partition_by)
+    w.json(path)
 
 
 def merge_into(new: DataFrame, path: str, keys, version: str = "source",
