@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # remove checkpoint files once the checkpointed data is out of scope
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -60,8 +62,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A fresh, unique path under the shared folder."""
-    return "/".join([shared_dir(spark), "isobar", *parts, uuid.uuid4().hex])
+    """A fresh, unique path under the shared folder for ``parts``.
+
+    Scratch outputs of one name are kept until the next scratch path of the
+    same name is taken *by the same application*: at that point the older
+    ones of this application are removed, so repeated runs do not pile up.
+    Other applications' folders are never touched.
+    """
+    from isobar.sources import fs
+
+    app = spark.sparkContext.applicationId
+    base = "/".join([shared_dir(spark), "isobar", *parts])
+    for old in fs.list_dirs(spark, base):
+        if old.rstrip("/").rsplit("/", 1)[-1].startswith(app + "-"):
+            fs.delete(spark, old)
+    return f"{base}/{app}-{uuid.uuid4().hex}"
 
 
 def local_path(path: str) -> str:
