@@ -106,3 +106,31 @@ def test_replayed_micro_batch_is_harmless(spark, workdir):
     fn(batch, 0)  # replay after a failure
     assert sorted(map(tuple, spark.read.parquet(path).collect())) == first == \
         [("a", 2, "y"), ("b", 1, "z")]
+
+
+def test_band_properties(spark):
+    from hypothesis import given, settings, strategies as st
+
+    rows_st = st.lists(st.tuples(st.integers(-60, 120), st.integers(0, 100), st.integers(0, 80)),
+                       min_size=1, max_size=30)
+    sd_st = st.one_of(st.none(), st.floats(0, 40))
+
+    @settings(max_examples=10, deadline=None)
+    @given(rows_st, sd_st)
+    def check(rows, sd):
+        fc = spark.createDataFrame([(1, t, h, w, t) for t, h, w in rows],
+                                   "fhours int, temp int, humidity int, wind_mph int, feelslike int")
+        st_df = spark.createDataFrame([(1, sd, sd, sd, sd)],
+                                      "fhours int, tempSD double, humiditySD double, "
+                                      "wind_mphSD double, feelslikeSD double")
+        for r in bands.bands(fc, st_df).collect():
+            for m in ("temp", "feelslike"):
+                if sd is None:
+                    assert r[f"{m}_lower"] is None and r[f"{m}_upper"] is None
+                else:
+                    assert r[f"{m}_lower"] <= r[m] <= r[f"{m}_upper"]
+            assert 0.0 <= r["humidity_lower"] and r["humidity_upper"] <= 100.0
+            assert r["wind_mph_lower"] >= 0.0
+            if sd is not None:
+                assert r["humidity_lower"] <= r["humidity"] <= r["humidity_upper"]
+    check()
