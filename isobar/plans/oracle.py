@@ -51,6 +51,51 @@ SELECT {_EV}{extra} FROM (
 ) WHERE rk = 1"""
 
 
+# Events as landed weather records, normalised and key-enforced, scored.
+_LANDED = """
+ev AS (
+  SELECT user_id, value, props::JSON->>'$.k' AS ktxt,
+         CAST(strftime(ts, '%Y%m%d%H') AS BIGINT) AS source,
+         (epoch_ms(ts) // 1000 + CASE user_id % 4 WHEN 0 THEN -21600 WHEN 1 THEN 19800
+                                 WHEN 2 THEN -12600 ELSE 0 END) // 60 AS lmin
+  FROM events
+),
+w AS (
+  SELECT user_id, lmin, value AS a_temp,
+         CAST(trunc(CAST(ktxt AS DOUBLE)) AS INTEGER) AS a_humidity,
+         value / 10 AS a_wind_mph, CAST(trunc(value) AS INTEGER) AS a_feelslike
+  FROM (SELECT *, row_number() OVER (PARTITION BY user_id, lmin
+                                     ORDER BY source DESC, value DESC, ktxt || '%' DESC) AS rk
+        FROM ev) WHERE rk = 1
+),
+f AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (
+             PARTITION BY user_id, lmin, l
+             ORDER BY source DESC, CAST(CAST(trunc(value) AS INTEGER) AS VARCHAR) DESC,
+                      ktxt DESC, CAST(CAST(trunc(value / 10) AS INTEGER) AS VARCHAR) DESC) AS rk
+    FROM (SELECT *, unnest(generate_series(1, 24)) AS l FROM ev)
+  ) WHERE rk = 1
+),
+d AS (
+  SELECT CAST(f.l AS INTEGER) AS fhours,
+         w.a_temp - CAST(trunc(f.value) AS INTEGER) AS tempD,
+         w.a_humidity - CAST(trunc(CAST(f.ktxt AS DOUBLE)) AS INTEGER) AS humidityD,
+         w.a_wind_mph - CAST(trunc(f.value / 10) AS INTEGER) AS wind_mphD,
+         w.a_feelslike - CAST(trunc(f.value) AS INTEGER) AS feelslikeD
+  FROM f JOIN w ON f.user_id = w.user_id
+               AND (f.lmin // 60) * 60 + f.l * 60 = (w.lmin // 60) * 60
+),
+stats AS (
+  SELECT fhours, count(*) AS count,
+         avg(tempD) AS tempM, stddev_samp(tempD) AS tempSD,
+         avg(humidityD) AS humidityM, stddev_samp(humidityD) AS humiditySD,
+         avg(wind_mphD) AS wind_mphM, stddev_samp(wind_mphD) AS wind_mphSD,
+         avg(feelslikeD) AS feelslikeM, stddev_samp(feelslikeD) AS feelslikeSD
+  FROM d GROUP BY fhours
+)"""
+
+
 def _hm(ts: str) -> str:
     return (f"CAST(hour({ts}) AS VARCHAR) || ':' || "
             f"lpad(CAST(minute({ts}) AS VARCHAR), 2, '0')")
@@ -205,46 +250,13 @@ SELECT user_id, ts, event_id, value FROM (
   FROM events WHERE value IS NOT NULL AND user_id IS NOT NULL
 ) WHERE rk = 1""",
     "stream_ingest_once": "SELECT * FROM events",
-    "landed_skill": """
-WITH ev AS (
-  SELECT user_id, value, props::JSON->>'$.k' AS ktxt,
-         CAST(strftime(ts, '%Y%m%d%H') AS BIGINT) AS source,
-         (epoch_ms(ts) // 1000 + CASE user_id % 4 WHEN 0 THEN -21600 WHEN 1 THEN 19800
-                                 WHEN 2 THEN -12600 ELSE 0 END) // 60 AS lmin
-  FROM events
-),
-w AS (
-  SELECT user_id, lmin, value AS a_temp,
-         CAST(trunc(CAST(ktxt AS DOUBLE)) AS INTEGER) AS a_humidity,
-         value / 10 AS a_wind_mph, CAST(trunc(value) AS INTEGER) AS a_feelslike
-  FROM (SELECT *, row_number() OVER (PARTITION BY user_id, lmin
-                                     ORDER BY source DESC, value DESC, ktxt || '%' DESC) AS rk
-        FROM ev) WHERE rk = 1
-),
-f AS (
-  SELECT * FROM (
-    SELECT *, row_number() OVER (
-             PARTITION BY user_id, lmin, l
-             ORDER BY source DESC, CAST(CAST(trunc(value) AS INTEGER) AS VARCHAR) DESC,
-                      ktxt DESC, CAST(CAST(trunc(value / 10) AS INTEGER) AS VARCHAR) DESC) AS rk
-    FROM (SELECT *, unnest(generate_series(1, 24)) AS l FROM ev)
-  ) WHERE rk = 1
-),
-d AS (
-  SELECT CAST(f.l AS INTEGER) AS fhours,
-         w.a_temp - CAST(trunc(f.value) AS INTEGER) AS tempD,
-         w.a_humidity - CAST(trunc(CAST(f.ktxt AS DOUBLE)) AS INTEGER) AS humidityD,
-         w.a_wind_mph - CAST(trunc(f.value / 10) AS INTEGER) AS wind_mphD,
-         w.a_feelslike - CAST(trunc(f.value) AS INTEGER) AS feelslikeD
-  FROM f JOIN w ON f.user_id = w.user_id
-               AND (f.lmin // 60) * 60 + f.l * 60 = (w.lmin // 60) * 60
-)
-SELECT fhours, count(*) AS count,
-       round(avg(tempD), 6) AS tempM, round(stddev_samp(tempD), 6) AS tempSD,
-       round(avg(humidityD), 6) AS humidityM, round(stddev_samp(humidityD), 6) AS humiditySD,
-       round(avg(wind_mphD), 6) AS wind_mphM, round(stddev_samp(wind_mphD), 6) AS wind_mphSD,
-       round(avg(feelslikeD), 6) AS feelslikeM, round(stddev_samp(feelslikeD), 6) AS feelslikeSD
-FROM d GROUP BY fhours""",
+    "landed_skill": "WITH" + _LANDED + """
+SELECT fhours, count,
+       round(tempM, 6) AS tempM, round(tempSD, 6) AS tempSD,
+       round(humidityM, 6) AS humidityM, round(humiditySD, 6) AS humiditySD,
+       round(wind_mphM, 6) AS wind_mphM, round(wind_mphSD, 6) AS wind_mphSD,
+       round(feelslikeM, 6) AS feelslikeM, round(feelslikeSD, 6) AS feelslikeSD
+FROM stats""",
     "sql_functions": """
 SELECT event_id, "offset",
        strftime(epoch_ms((es + secs) * 1000), '%Y-%m-%d') AS date,
@@ -274,3 +286,34 @@ SELECT name, value FROM (
 }
 
 ORACLE["stream_patch"] = ORACLE["keyed_patch"]
+
+ORACLE["report_bands"] = "WITH" + _LANDED + """,
+top AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY lmin DESC, l ASC) AS top_rk
+    FROM f
+  ) WHERE top_rk <= 240
+),
+fc AS (
+  SELECT 'u' || CAST(user_id AS VARCHAR) AS city, (lmin + 60 * l) * 60 AS fts,
+         CAST(l AS INTEGER) AS fhours,
+         CAST(trunc(value) AS INTEGER) AS temp,
+         CAST(trunc(CAST(ktxt AS DOUBLE)) AS INTEGER) AS humidity,
+         CAST(trunc(value / 10) AS INTEGER) AS wind_mph,
+         CAST(trunc(value) AS INTEGER) AS feelslike
+  FROM top
+)
+SELECT city, fts, fc.fhours, temp, humidity, wind_mph, feelslike,
+       round(tempSD, 6) AS tempSD,
+       round(temp - 1.96 * tempSD, 6) AS temp_lower,
+       round(temp + 1.96 * tempSD, 6) AS temp_upper,
+       round(humiditySD, 6) AS humiditySD,
+       round(greatest(0.0, humidity - 1.96 * humiditySD), 6) AS humidity_lower,
+       round(least(100.0, humidity + 1.96 * humiditySD), 6) AS humidity_upper,
+       round(wind_mphSD, 6) AS wind_mphSD,
+       round(greatest(0.0, wind_mph - 1.96 * wind_mphSD), 6) AS wind_mph_lower,
+       round(wind_mph + 1.96 * wind_mphSD, 6) AS wind_mph_upper,
+       round(feelslikeSD, 6) AS feelslikeSD,
+       round(feelslike - 1.96 * feelslikeSD, 6) AS feelslike_lower,
+       round(feelslike + 1.96 * feelslikeSD, 6) AS feelslike_upper
+FROM fc JOIN stats s ON fc.fhours = s.fhours"""
