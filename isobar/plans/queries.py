@@ -450,7 +450,11 @@ def report_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = events_as_raw(ev).withColumn("source", F.concat("y", "m", "d", "h").cast("bigint"))
     raw = normalize.clean_raw(raw)
     weather = keys.enforce(normalize.weather(raw), normalize.TABLE_KEYS["weather"], "source")
-    forecast = keys.enforce(normalize.forecast(raw), normalize.TABLE_KEYS["forecast"], "source")
+    # The forecast table feeds both the error model and the newest issues:
+    # it is materialised once in the shared checkpoint folder (as the jobs
+    # store it once), instead of being rebuilt by each branch.
+    forecast = keys.enforce(normalize.forecast(raw), normalize.TABLE_KEYS["forecast"],
+                            "source").checkpoint(eager=True)
     stats = verify.weather_skill(forecast, weather)
     b = bands.bands(jobs.latest_forecasts(forecast), stats)
     out = ["city", "fts", "fhours", *verify.WEATHER_MEASURES]
