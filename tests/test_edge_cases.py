@@ -134,3 +134,16 @@ def test_band_properties(spark):
             if sd is not None:
                 assert r["humidity_lower"] <= r["humidity"] <= r["humidity_upper"]
     check()
+
+
+def test_null_in_ledger_does_not_hide_new_files(spark):
+    from isobar.operators import ingest
+    listing = spark.createDataFrame([("a",), ("b",), ("c",)], "path string")
+    ledger = spark.createDataFrame([("a",), (None,)], "path string")
+    got = sorted(r["path"] for r in ingest.new_files(listing, ledger).collect())
+    assert got == ["b", "c"]
+    listing.createOrReplaceTempView("_l")
+    ledger.createOrReplaceTempView("_g")
+    # what SQL NOT IN would have done
+    assert spark.sql("select path from _l where path not in (select path from _g)").count() == 0
+    assert [r["path"] for r in ingest.next_batch(ingest.new_files(listing, ledger), 1).collect()] == ["b"]
