@@ -456,7 +456,7 @@ def report_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     forecast = keys.enforce(normalize.forecast(raw), normalize.TABLE_KEYS["forecast"],
                             "source").checkpoint(eager=True)
     stats = verify.weather_skill(forecast, weather)
-    b = bands.bands(jobs.latest_forecasts(forecast), stats)
+    b = bands.bands(jobs.latest_forecasts(forecast, part=None), stats)
     out = ["city", "fts", "fhours", *verify.WEATHER_MEASURES]
     for m in verify.WEATHER_MEASURES:
         out += [_r(F.col(f"{m}SD"), f"{m}SD"), _r(F.col(f"{m}_lower"), f"{m}_lower"),
