@@ -166,3 +166,33 @@ def test_report_job_publishes_versions_and_for_key(spark, store, workdir):
     assert reshape.for_key(card, "city", "Avon").count() == 7
     assert reshape.for_key(card, "city", "Vail").count() == 0
     assert sinks.read_latest(spark, out, "bands").count() == 3
+
+
+def test_incremental_analyze_equals_full(spark, workdir):
+    """Runs that each ingest one file and re-score only the touched dates
+    give the statistics of a full re-score."""
+    from tests.weather_fixture import record, write_file
+    files = {}
+    base = 1489006920
+    for i in range(6):   # six hourly deliveries across a day boundary (local clock)
+        e = base + i * 3 * 3600
+        fc = [(e + 3600 * k, 50 + (i + k) % 5, 48, 30 + k, 10 + i % 3) for k in range(1, 12)]
+        files[f"2017/03/0{8 + i // 3}/{(15 + 3 * i) % 24:02d}/weather-1-{i}"] = [
+            record("Avon", e, str(49.0 + i), str(47.0 + i), f"{20 + i}%", str(9.0 + i), fc),
+            record("Vail", e + 60, str(39.0 - i), str(37.0), f"{40 - i}%", str(4.0 + i), fc[:5])]
+    inc_store = workdir + "/inc"
+    for rel, recs in reversed(list(files.items())):   # newest first: late data for old dates
+        land = write_file(workdir + "/land-" + rel.rsplit("-", 1)[-1], rel, recs)
+        root = land[: land.index("/2017/")]
+        m = jobs.normalize_job(spark, root, inc_store)
+        assert m["touched_dates"]
+        jobs.analyze_job(spark, inc_store, dates=m["touched_dates"])
+    inc = {r["fhours"]: r for r in jobs.analyze_job(spark, inc_store, dates=[]).collect()}
+    full = {r["fhours"]: r for r in jobs.analyze_job(spark, inc_store).collect()}
+    assert set(inc) == set(full) and len(full) >= 3
+    for k, f in full.items():
+        for c, v in f.asDict().items():
+            if v is None:
+                assert inc[k][c] is None, (k, c)
+            else:
+                assert inc[k][c] == pytest.approx(v, abs=1e-9), (k, c)
