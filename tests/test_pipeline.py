@@ -196,3 +196,17 @@ def test_incremental_analyze_equals_full(spark, workdir):
                 assert inc[k][c] is None, (k, c)
             else:
                 assert inc[k][c] == pytest.approx(v, abs=1e-9), (k, c)
+
+
+def test_hourly_run_cycle(spark, workdir):
+    from isobar.sources import sinks
+    from tests.weather_fixture import FILE_A, FILE_B, FILE_C
+    landing, store, out = workdir + "/landing", workdir + "/store", workdir + "/out"
+    for only in ([FILE_A], [FILE_B], [FILE_C]):
+        write_avon(landing, only=only)
+        jobs.hourly_run(spark, landing, store, out)
+    # the report of the last cycle used the stats of the cycle before
+    assert sinks.read_latest(spark, out, "bands").count() >= 1
+    stats = {r["fhours"]: r for r in sinks.read_latest(spark, store, "stats").collect()}
+    assert stats[1]["count"] == 2 and stats[2]["count"] == 1
+    assert stats[1]["tempSD"] == pytest.approx(1.767767, abs=1e-6)
