@@ -29,9 +29,12 @@ def upsert_fn(path: str, keys: Sequence[str], version: str = "source",
 def upsert_tables(path_of: Callable[[str], str], tables: dict[str, Sequence[str]],
                   builders: dict[str, Callable[[DataFrame], DataFrame]],
                   version: str = "source",
-                  partition_of: dict[str, str] | None = None) -> Callable[[DataFrame, int], None]:
+                  partition_of: dict[str, str] | None = None,
+                  after: Callable[[DataFrame, int], None] | None = None
+                  ) -> Callable[[DataFrame, int], None]:
     """One ``foreachBatch`` that normalises a raw micro-batch into several
-    keyed tables (the streaming form of the normalise job)."""
+    keyed tables (the streaming form of the normalise job); ``after`` runs
+    on the same cached batch once the tables are merged."""
     partition_of = partition_of or {}
 
     def _merge(batch: DataFrame, batch_id: int) -> None:
@@ -42,6 +45,8 @@ def upsert_tables(path_of: Callable[[str], str], tables: dict[str, Sequence[str]
             for name, key_cols in tables.items():
                 merge_into(builders[name](raw), path_of(name), list(key_cols), version,
                            partition_of.get(name))
+            if after is not None:
+                after(raw, batch_id)
         finally:
             raw.unpersist()
     return _merge

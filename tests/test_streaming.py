@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from isobar.operators import normalize
@@ -100,3 +102,20 @@ def test_speed_job_patches_pages(spark, workdir):
     jobs.speed_job(spark, landing, root, os.path.join(workdir, "ck"))
     html = sinks.read_latest(spark, root, "pages").first()["html"]
     assert html.startswith("<h2>52.5&deg;F</h2>")
+
+
+def test_stream_then_incremental_analyze_equals_full(spark, workdir):
+    landing = os.path.join(workdir, "landing")
+    st = os.path.join(workdir, "store")
+    ck = os.path.join(workdir, "ck")
+    write_avon(landing, only=[FILE_A])
+    jobs.stream_normalize_job(spark, landing, st, ck, max_files=1)
+    jobs.analyze_job(spark, st)                       # first, full
+    write_avon(landing, only=[FILE_B, FILE_C])
+    jobs.stream_normalize_job(spark, landing, st, ck, max_files=1)
+    inc = {r["fhours"]: tuple(r) for r in jobs.analyze_pending(spark, st).collect()}
+    again = {r["fhours"]: tuple(r) for r in jobs.analyze_pending(spark, st).collect()}
+    full = {r["fhours"]: tuple(r) for r in jobs.analyze_job(spark, st).collect()}
+    assert set(inc) == set(full) == {1, 2}
+    for k in full:
+        assert inc[k] == pytest.approx(full[k]) and again[k] == pytest.approx(full[k])
