@@ -17,6 +17,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The size check behind every broadcast: no join is hinted; a side is
+    # broadcast only when Spark's estimate (or AQE's runtime size) is below
+    # this bound, otherwise the join shuffles.
+    "spark.sql.autoBroadcastJoinThreshold": "10MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.ui.enabled": "false",
     # remove checkpoint files once the checkpointed data is out of scope
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
