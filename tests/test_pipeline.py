@@ -210,3 +210,13 @@ def test_hourly_run_cycle(spark, workdir):
     stats = {r["fhours"]: r for r in sinks.read_latest(spark, store, "stats").collect()}
     assert stats[1]["count"] == 2 and stats[2]["count"] == 1
     assert stats[1]["tempSD"] == pytest.approx(1.767767, abs=1e-6)
+
+
+def test_command_line(spark, workdir):
+    from isobar.__main__ import main
+    landing = write_avon(workdir + "/landing")
+    st, out = workdir + "/store", workdir + "/out"
+    assert main(["normalize", "--landing", landing, "--store", st], spark=spark)["files"] == 3
+    assert main(["analyze", "--store", st], spark=spark)["stats_rows"] == 2
+    paths = main(["report", "--store", st, "--out", out], spark=spark)
+    assert "bands" in paths
