@@ -1,6 +1,7 @@
 """Command line for the jobs, e.g. under spark-submit:
 
-    spark-submit --py-files isobar.zip -m isobar hourly --landing L --store S --out O
+    spark-submit --py-files isobar.zip isobar/__main__.py hourly --landing L --store S --out O
+    python -m isobar hourly --landing L --store S --out O        # local
 
 Subcommands: normalize, rebuild, analyze, report, hourly, stream-normalize,
 analyze-pending, speed. The session comes from spark-submit (master, shuffle
