@@ -224,7 +224,13 @@ def local_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hour_lead(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event against its user's first event, both as
-    (date, time) strings: epoch, hour epoch and whole hours between."""
+    (date, time) strings: epoch, hour epoch and whole hours between.
+
+    The first event per user is a partial aggregate joined back, not a
+    per-user window: a user holding a third of the events would be one
+    window task, while the join is broadcast when the per-user table is
+    small (size-checked) and otherwise has its skewed partition split by
+    AQE."""
     ev = _events(spark, sf_dir)
     first = ev.groupBy("user_id").agg(F.min("ts").alias("t0"))
     j = ev.join(first, "user_id")
@@ -319,7 +325,11 @@ def source_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keyed_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's ``<title>`` is rewritten with the newest reading
-    of the user whose id is the page id; pages without one are unchanged."""
+    of the user whose id is the page id; pages without one are unchanged.
+
+    The newest reading per user is a top-1 with a partial limit before the
+    shuffle; the pages (with their whole html) are joined to it, which is
+    broadcast only under the size threshold."""
     pages = read_table(spark, sf_dir, "pages").select("page_id", "html")
     newest = keys.latest(_events(spark, sf_dir).select("user_id", "ts", "event_id", "value"),
                          ["user_id"], ["ts"], tiebreak=["event_id"])
