@@ -104,8 +104,11 @@ def merge_into(new: DataFrame, path: str, keys, version: str = "source",
         lo = touched.agg(F.min(partition_by)).scalar()
         hi = touched.agg(F.max(partition_by)).scalar()
         part = F.col(partition_by)
+        # null-safe: rows of the NULL partition must survive when the new
+        # rows touch it too (it is overwritten as a whole)
+        t = touched.select(F.col(partition_by).alias("_touched"))
         current = (current.filter((part.between(lo, hi)) | part.isNull())
-                   .join(touched, partition_by, "left_semi"))
+                   .join(t, part.eqNullSafe(F.col("_touched")), "left_semi"))
     merged = enforce(current.unionByName(new), keys, version, tiebreak)
     merged = merged.checkpoint(eager=True)
     w = merged.write.mode("overwrite")
