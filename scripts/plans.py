@@ -27,13 +27,18 @@ OPS = ["Exchange hashpartitioning", "Exchange rangepartitioning", "Exchange Roun
 def summarise(plan: str) -> tuple[dict, list[str]]:
     counts = {op.strip(): plan.count(op) for op in OPS if plan.count(op)}
     scans = []
-    for m in re.finditer(r"FileScan (\w+) \[[^\]]*\].*?Location: \w+\([^)]*\)\[(.*?)[\],]"
-                         r".*?(?:PartitionFilters: (\[[^\]]*\]), )?PushedFilters: (\[[^\]]*\]), "
-                         r"ReadSchema: (struct<[^\n]*?>)(?:\n|$)", plan):
-        fmt, loc, pf, pushed, schema = m.groups()
-        name = loc.rstrip("/. ").rsplit("/", 1)[-1]
-        scans.append(f"{fmt} `{name}` read `{schema[:140]}` pushed `{pushed[:100]}`"
-                     + (f" partition `{pf[:80]}`" if pf and pf != "[]" else ""))
+    for line in plan.split("\n"):
+        if "FileScan" not in line:
+            continue
+        fmt = re.search(r"FileScan (\w+)", line).group(1)
+        loc = re.search(r"Location: \w+\([^)]*\)\[([^\],]*)", line)
+        name = loc.group(1).rstrip("/. ").rsplit("/", 1)[-1] if loc else "?"
+        pf = re.search(r"PartitionFilters: (\[[^\]]*\])", line)
+        pushed = re.search(r"PushedFilters: (\[[^\]]*\])", line)
+        schema = re.search(r"ReadSchema: (struct<.*>)", line)
+        scans.append(f"{fmt} `{name}` read `{schema.group(1)[:140] if schema else '?'}` "
+                     f"pushed `{pushed.group(1)[:100] if pushed else '[]'}`"
+                     + (f" partition `{pf.group(1)[:100]}`" if pf and pf.group(1) != "[]" else ""))
     return counts, scans
 
 
