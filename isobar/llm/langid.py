@@ -134,10 +134,11 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def train(segments: list[bytes], langs: list[str], hidden: int = HIDDEN, steps: int = STEPS,
+def train(segments: list[bytes], langs: list[str], hidden: int = HIDDEN, steps: int | None = None,
           batch: int = BATCH, rate: float = 0.02, seed: int = 5) -> Network | None:
     """Fit a network to labelled segments with Adam; languages are drawn
-    equally often. None without segments."""
+    equally often, for ``steps`` (``STEPS``) batches. None without segments."""
+    steps = steps or STEPS
     names = sorted(set(langs))
     if not names:
         return None

@@ -156,7 +156,7 @@ def site_priors(evidence: DataFrame) -> tuple[DataFrame, float]:
     hosts = staged(paths.groupBy("host").agg(F.sum("n").alias("hn"), F.sum("s").alias("hs")), "quality-hosts")
     total = hosts.agg(F.sum("hn").alias("n"), F.sum("hs").alias("s")).first()
     if not total.n:
-        return paths.select("host", "path", F.lit(0.5).alias("prior")), 0.5
+        return paths.select("host", "path", F.lit(0.5).alias("host_prior"), F.lit(0.5).alias("prior")), 0.5
     mean = float(np.clip(total.s / total.n, 1e-4, 1 - 1e-4))
 
     def strength(rows: DataFrame, n: str, m: Column, around: Column, size: float) -> float:

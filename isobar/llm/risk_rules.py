@@ -128,9 +128,12 @@ def cutoffs(rows: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: flo
     lab = labels.filter("doc_id is not null and quality is not null").select(
         F.col("doc_id").alias("_id"), (F.col("quality") > 0).alias("good"))
     held = rows.filter(~F.col("base_failed")).join(lab, F.col("doc_id") == F.col("_id"))
-    steps = [F.struct(F.lit(r).alias("rule"),  # the first step of the ladder that rejects the document
-                      F.size(F.filter(F.array(*map(F.lit, LADDERS[r])), lambda c, v=v: c >= v)).alias("step"))
-             for r, v in values().items()]
+
+    def first_step(rule: str, value: Column) -> Column:
+        """The first step of the ladder that rejects the document."""
+        return F.size(F.filter(F.array(*map(F.lit, LADDERS[rule])), lambda c: c >= value))
+
+    steps = [F.struct(F.lit(r).alias("rule"), first_step(r, v).alias("step")) for r, v in values().items()]
     tally = (held.select("stratum", "good", F.explode(F.array(*steps)).alias("x"))
              .groupBy("stratum", "x.rule", "x.step", "good").agg(F.count(F.lit(1)).alias("n"))
              .groupBy("stratum", "rule").agg(F.collect_list(F.struct("step", "good", "n")).alias("t")))

@@ -1,0 +1,97 @@
+from collections import defaultdict
+
+import pytest
+
+from isobar.llm import mixing
+
+
+def goals(sizes, cap=3.0):
+    """Targets by sharing again and again."""
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
+    w = {s: i % 3 + 1 for i, s in enumerate(names)}
+    goal = dict.fromkeys(names, 0.0)
+    left, free = float(sum(sizes.values())), set(names)
+    while left > 1e-9 and free:
+        total = sum(w[s] for s in free)
+        more = {s: left * w[s] / total for s in free}
+        left = 0.0
+        for s in list(free):
+            goal[s] += more[s]
+            if goal[s] >= cap * sizes[s]:
+                left += goal[s] - cap * sizes[s]
+                goal[s] = cap * sizes[s]
+                free.discard(s)
+    return goal
+
+
+def check(rows, documents, slack):
+    words = lambda t: len((t or "").encode().split())
+    assert sorted(((r.doc_id, r.size) for r in rows), key=str) == sorted(
+        ((d.doc_id, words(d.text)) for d in documents), key=str)
+    sizes = defaultdict(int)
+    for d in documents:
+        sizes[d.source] += words(d.text)
+    goal = goals(sizes)
+    by_id = defaultdict(set)
+    for d in documents:
+        by_id[d.doc_id].add(d.source)
+    taken = defaultdict(int)
+    for r in rows:
+        assert 0 <= r.taken <= 3 * r.size and r.taken == r.size * r.copies
+        if len(by_id[r.doc_id]) == 1:
+            s = next(iter(by_id[r.doc_id]))
+            assert r.source_size == sizes[s] and r.target == pytest.approx(goal[s])
+            taken[s] += r.taken
+    for s in taken:
+        assert abs(taken[s] - goal[s]) <= slack(s)
+
+
+def test_targets_and_words_taken(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = documents.collect()
+    big = defaultdict(int)
+    for r in rows:
+        big[r.source] = max(big[r.source], len(r.text.split()))
+    got = mixing.mix_report(documents).collect()
+    check(got, rows, lambda s: big[s])
+    again = mixing.mix_report(documents.repartition(5)).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, again))
+
+
+def test_capped_sources_share_their_excess(spark):
+    sizes = {"a": 10, "b": 1000, "c": 10, "d": 500, None: 5}
+    df = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    got = {r.source: r.target for r in mixing.targets(df).collect()}
+    want = goals(sizes)
+    assert got == pytest.approx(want) and got["c"] == 30 and got[None] == 15
+    assert sum(got.values()) == pytest.approx(sum(sizes.values()))
+
+
+def test_edge_cases(edge, empty):
+    check(mixing.mix_report(edge).collect(), edge.collect(), lambda s: 1e9)
+    assert mixing.mix_report(empty).count() == 0 and mixing.mixed(empty).count() == 0
+
+
+def test_mixed_emits_copies(docs, edge):
+    for df in (docs, edge):
+        want = defaultdict(int)
+        for r in mixing.mix_report(df).collect():
+            want[r.doc_id] += r.copies
+        out = mixing.mixed(df)
+        assert out.columns == df.columns
+        got = defaultdict(int)
+        for r in out.collect():
+            got[r.doc_id] += 1
+        assert got == {k: v for k, v in want.items() if v}
+
+
+def test_systematic_counts(spark):
+    """Copies of a source are the rate rounded down or up and add up to rate x documents."""
+    df = spark.createDataFrame([(i, "a" if i % 4 else "b", "w " * (i % 50 + 1)) for i in range(800)],
+                               "doc_id long, source string, text string")
+    by = defaultdict(list)
+    for r in mixing.mix_report(df).collect():
+        by[r.target / r.source_size].append(r.copies)
+    for rate, copies in by.items():
+        assert set(copies) <= {int(rate), int(rate) + 1}
+        assert abs(sum(copies) - rate * len(copies)) <= 1

@@ -1,0 +1,82 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from isobar.llm import multi_index as mi
+
+
+def brute(rows, every=20, k=20):
+    ids = np.array([r[0] for r in rows])
+    x = np.array([r[1] for r in rows], float)
+    out = {}
+    for i in np.flatnonzero(ids % every == 0):
+        s = (x * x[i]).sum(1)
+        ok = ids != ids[i]
+        order = np.lexsort((ids[ok], -s[ok]))[:k]
+        out[int(ids[i])] = (ids[ok][order].tolist(), s[ok][order])
+    return out
+
+
+def check(got, want, recall):
+    by = {}
+    for r in sorted(got, key=lambda r: (r.query_id, r["rank"])):
+        by.setdefault(r.query_id, []).append(r)
+    assert by.keys() == want.keys()
+    hit = total = 0
+    for q, (ids, scores) in want.items():
+        rows = by[q]
+        assert [r["rank"] for r in rows] == list(range(1, len(rows) + 1)) and len(rows) == len(ids)
+        assert all((-a.score, a.vec_id) < (-b.score, b.vec_id) for a, b in zip(rows, rows[1:]))
+        hit += len({r.vec_id for r in rows} & set(ids))
+        total += len(ids)
+        true = dict(zip(ids, scores))
+        assert all(abs(r.score - true[r.vec_id]) < 1e-12 for r in rows if r.vec_id in true)
+    assert hit >= recall * total
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.1"])
+def test_recall(spark, sf):
+    df = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet")
+    want = brute([(r.vec_id, r.embedding) for r in df.collect()])
+    check(mi.nearest(df).collect(), want, 0.9)
+
+
+def test_heap_order_against_sorting():
+    rng = np.random.default_rng(2)
+    books = (rng.standard_normal((7, 3)), rng.standard_normal((5, 2)))
+    counts = rng.integers(0, 4, (7, 5))
+    index = mi.Index(books, counts, 10)
+    q = rng.standard_normal(5)
+    s = (books[0] @ q[:3])[:, None] + (books[1] @ q[3:])[None, :]
+    want = [divmod(int(c), 5) for c in np.argsort(-s.ravel(), kind="stable") if counts.ravel()[c]]
+    got = list(index.visit(q))
+    assert [(a, b) for a, b, _ in got] == want
+    assert [n for _, _, n in got] == np.concatenate(([0], np.cumsum([counts[c] for c in want])))[:-1].tolist()
+
+
+def test_edge_cases(spark):
+    rows = [(0, [1.0, 0.0, 2.0]), (20, [0.0, 0.0, 0.0]), (40, None), (60, [1.0, None, 2.0]), (80, [float("nan"), 1.0, 1.0]),
+            (100, [float("inf"), 1.0, 1.0]), (120, [1.0, 0.0, 2.0]), (7, [1.0, 0.0, 2.0]), (3, [-1.0, 0.5, 0.0]),
+            (None, [1.0, 1.0, 1.0]), (140, []), (160, [1.0, 2.0])]
+    df = spark.createDataFrame([(*r, 1, "x") for r in rows],
+                               "vec_id long, embedding array<float>, id int, v string")
+    got = mi.nearest(df).collect()
+    want = brute([r for r in rows if r[0] in (0, 120, 7, 3)])
+    check(got, want, 1.0)
+    assert mi.nearest(df.filter("false")).count() == 0
+    assert mi.nearest(df.filter("vec_id = 0")).count() == 0
+    assert mi.nearest(df.filter("vec_id = 7")).count() == 0
+
+
+def test_copies_of_one_vector_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(mi, "BLOCK", 64)
+    rng = np.random.default_rng(4)
+    rows = [(i, [1.0, 2.0, 3.0, 4.0] if i % 3 else rng.standard_normal(4).tolist()) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = mi.nearest(df).collect()
+    want = brute(rows)
+    for q, (ids, _) in want.items():
+        if q % 3:  # ties go to the smaller ids
+            assert [r.vec_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] == ids
+    check(got, want, 0.9)
+    assert mi.nearest(df.withColumn("embedding", F.expr("cast(embedding as array<float>)"))).count() == 600

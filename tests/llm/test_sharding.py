@@ -1,0 +1,73 @@
+import zlib
+from collections import defaultdict
+
+from isobar.llm import sharding
+
+
+def check(rows, documents, n=24):
+    got = [(r.doc_id, r.size, r.text_crc32) for r in rows]
+    want = [(d.doc_id, len((d.text or "").encode()) + 8, zlib.crc32((d.text or "").encode()))
+            for d in documents.collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    by = defaultdict(list)
+    for r in rows:
+        by[r.shard].append(r.slot)
+        assert 0 <= r.shard < n and r.law == "bytes" and r.grown_shard is None
+    for slots in by.values():
+        assert sorted(slots) == list(range(len(slots)))
+
+
+def test_assign(docs):
+    rows = sharding.assign(docs).collect()
+    check(rows, docs)
+    load = defaultdict(int)
+    for r in rows:
+        load[r.shard] += r.size
+    assert len(load) == 24
+    mean = sum(load.values()) / 24
+    slots = defaultdict(int)
+    for r in rows:
+        slots[r.virtual_slot] += r.size
+    assert max(load.values()) <= mean + max(slots.values())
+    again = sharding.assign(docs.repartition(7)).collect()
+    assert sorted(map(tuple, rows), key=str) == sorted(map(tuple, again), key=str)
+
+
+def test_edge_cases(edge, empty):
+    check(sharding.assign(edge, n_shards=3).collect(), edge, 3)
+    assert sharding.assign(empty).count() == 0
+
+
+def test_rebalance_moves_whole_slots_and_versions(spark, docs, workdir):
+    first = sharding.first_map(spark, 4, 64)
+    sizes = sharding.slot_bytes(sharding.records(docs, 64))
+    second = sharding.rebalance(first, sizes, 4)
+    a, b = ({r.virtual_slot: r.shard for r in m.collect()} for m in (first, second))
+    held = {r.virtual_slot: r.bytes for r in sizes.collect()}
+    assert a.keys() == b.keys() == set(range(64))
+
+    def loads(m):
+        return [sum(held.get(s, 0) for s, x in m.items() if x == k) for k in range(4)]
+
+    assert max(loads(b)) - min(loads(b)) <= max(loads(a)) - min(loads(a))
+    assert any(a[s] != b[s] for s in a) and any(a[s] == b[s] for s in a)
+    # growing moves slots into the new shard, shrinking empties the old one
+    grown = {r.virtual_slot: r.shard for r in sharding.rebalance(second, sizes, 5).collect()}
+    assert loads(grown)[0] > 0 and any(x == 4 for x in grown.values())
+    small = {r.virtual_slot: r.shard for r in sharding.rebalance(second, sizes, 3).collect()}
+    assert set(small.values()) == {0, 1, 2}
+    path = workdir + "/map"
+    sharding.save_map(first, path)
+    sharding.save_map(second, path)
+    stored = sharding.load_map(spark, path)
+    assert {r.virtual_slot: r.shard for r in stored.collect()} == b
+    assert {r.version for r in stored.collect()} == {2}
+    assert {r.virtual_slot: r.shard for r in sharding.load_map(spark, path, 1).collect()} == a
+
+
+def test_documents_follow_the_map(spark, edge):
+    m = sharding.first_map(spark, 5)
+    got = sharding.shards(edge, m)
+    assert got.count() == edge.count() and dict(got.dtypes)["shard"] == "int"
+    assert sorted(r.shard for r in got.collect()) == sorted(
+        r.shard for r in sharding.assign(edge, m, 5).collect())
