@@ -219,30 +219,30 @@ def fit(documents: DataFrame) -> Network | None:
     return train(*sample(documents))
 
 
-def predict(rows: DataFrame, net: Network | None, keep_text: bool = False) -> DataFrame:
-    """Add ``lang_pred`` and ``score`` to rows with ``text``.
-
-    ``und`` with score 0 where the text is NULL or has no letter, or where
-    nothing could be learned.
-    """
+def _scored(net: Network | None, texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """Language and score of each text: ``und`` and 0 where the text is NULL or
+    has no letter, or where nothing could be learned."""
+    pred, score = np.full(len(texts), "und", object), np.zeros(len(texts))
+    ok = np.array([t is not None and next(filter(str.isalpha, t), None) is not None for t in texts], bool)
+    if net is not None and ok.any():
+        p = probabilities(net, list(texts[ok]))
+        pred[ok] = np.array(net.langs, object)[p.argmax(1)]
+        score[ok] = np.clip(p.max(1), 0, 1)
+    return pred, score
+
+
+def predict(rows: DataFrame, net: Network | None) -> DataFrame:
+    """``rows`` without their ``text``, with ``lang_pred`` and ``score``."""
     spark = rows.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(net)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        net = shared.value
         for b in batches:
-            pred, score = np.full(len(b), "und", object), np.zeros(len(b))
-            ok = np.array([t is not None and next(filter(str.isalpha, t), None) is not None for t in b["text"]],
-                          bool)
-            if net is not None and ok.any():
-                p = probabilities(net, list(b["text"][ok]))
-                pred[ok] = np.array(net.langs, object)[p.argmax(1)]
-                score[ok] = np.clip(p.max(1), 0, 1)
-            b["lang_pred"], b["score"] = pred, score
-            yield b if keep_text else b.drop(columns="text")
-
-    kept = [f for f in rows.schema.fields if keep_text or f.name != "text"]
+            b["lang_pred"], b["score"] = _scored(shared.value, b["text"])
+            yield b.drop(columns="text")
+
+    kept = [f for f in rows.schema.fields if f.name != "text"]
     schema = T.StructType([*kept, T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType())])
     return rows.mapInPandas(run, schema)
@@ -258,8 +258,14 @@ def report(documents: DataFrame) -> DataFrame:
 
 def identified(documents: DataFrame, min_score: float = 0.35) -> DataFrame:
     """The documents with a language: not ``und``, and scored at least
-    ``min_score``. All columns are kept as they are."""
-    net = fit(documents)
-    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
-    scored = predict(documents.select(row.alias("row"), "text"), net)
-    return (scored.filter((F.col("lang_pred") != "und") & (F.col("score") >= min_score)).select("row.*"))
+    ``min_score``. All columns are kept as they are; only the text goes to Python."""
+    spark = documents.sparkSession
+    small_batches(spark)
+    shared = spark.sparkContext.broadcast(fit(documents))
+
+    @F.pandas_udf("boolean")
+    def recognised(texts: pd.Series) -> pd.Series:
+        pred, score = _scored(shared.value, texts)
+        return pd.Series((pred != "und") & (score >= min_score))
+
+    return documents.filter(recognised(F.col("text")))

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isobar.llm.common import small_batches, staged
@@ -119,20 +119,17 @@ def fit(documents: DataFrame, labels: DataFrame, target: str = "quality",
     return fit_logistic(x, np.array([r.good for r in rows], float))
 
 
-def with_evidence(rows: DataFrame, model: Classifier, text: str = "text", out: str = "doc_logit",
-                  keep_text: bool = True) -> DataFrame:
-    """``rows`` with the classifier's log odds of a good document in ``out``."""
-    small_batches(rows.sparkSession)
-    spark_schema = [f for f in rows.schema.fields if keep_text or f.name != text]
+def evidence(spark: SparkSession, model: Classifier, text: str = "text") -> Column:
+    """The classifier's log odds of a good document; only the text goes to Python."""
+    small_batches(spark)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            x = np.array([features(t) for t in b[text]]) if len(model.weights) > 1 else np.zeros((len(b), 1))
-            b[out] = model.logits(x) if len(b) else np.zeros(0)
-            yield b if keep_text else b.drop(columns=text)
+    @F.pandas_udf("double")
+    def logit(texts: pd.Series) -> pd.Series:
+        if len(model.weights) == 1 or not len(texts):  # nothing was learned
+            return pd.Series(np.zeros(len(texts)))
+        return pd.Series(model.logits(np.array([features(t) for t in texts])))
 
-    from pyspark.sql.types import DoubleType, StructField, StructType
-    return rows.mapInPandas(run, StructType([*spark_schema, StructField(out, DoubleType())]))
+    return logit(F.col(text))
 
 
 def _strength(mean: float, spread: float, noise: float) -> float:
@@ -142,16 +139,16 @@ def _strength(mean: float, spread: float, noise: float) -> float:
     return float(np.clip(mean * (1 - mean) / true - 1, 2.0, 1e6))
 
 
-def site_priors(evidence: DataFrame) -> tuple[DataFrame, float]:
+def site_priors(scores: DataFrame) -> tuple[DataFrame, float]:
     """``(host, path, prior)`` -- posterior mean quality of each path -- and the
-    global mean. ``evidence`` has ``host, path, p`` for all documents.
+    global mean. ``scores`` has ``host, path, p`` for all documents.
 
     Two grouped sums (documents to paths to hosts), each with partial
     aggregation, so a host with a third of all rows costs no more than
     another. NULL hosts and paths are groups of their own. Only five
     scalars per level reach the driver.
     """
-    paths = staged(evidence.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("p").alias("s")),
+    paths = staged(scores.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("p").alias("s")),
                    "quality-paths")
     hosts = staged(paths.groupBy("host").agg(F.sum("n").alias("hn"), F.sum("s").alias("hs")), "quality-hosts")
     total = hosts.agg(F.sum("hn").alias("n"), F.sum("hs").alias("s")).first()
@@ -195,11 +192,11 @@ def url_site(url) -> tuple[Column, Column]:
 def _model_and_priors(documents: DataFrame, labels: DataFrame, host: Column, path: Column):
     model = fit(documents, labels)
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), host.alias("host"),
-                            path.alias("path"), "text")
-    evidence = staged(with_evidence(rows, model, keep_text=False), "quality-evidence")
+                            path.alias("path"), evidence(documents.sparkSession, model).alias("doc_logit"))
+    rows = staged(rows, "quality-evidence")
     p = 1 / (1 + F.exp(-F.col("doc_logit")))
-    priors, mean = site_priors(evidence.select("host", "path", p.alias("p")))
-    return model, evidence, priors, mean
+    priors, mean = site_priors(rows.select("host", "path", p.alias("p")))
+    return model, rows, priors, mean
 
 
 def classify(documents: DataFrame, labels: DataFrame, host: Column, path: Column,
@@ -212,8 +209,8 @@ def classify(documents: DataFrame, labels: DataFrame, host: Column, path: Column
     other columns do not matter. With no labels every document has the same
     evidence and is kept.
     """
-    _, evidence, priors, mean = _model_and_priors(documents, labels, host, path)
-    return (posterior(evidence, priors, mean)
+    _, rows, priors, mean = _model_and_priors(documents, labels, host, path)
+    return (posterior(rows, priors, mean)
             .select("doc_id", "host", "path", "doc_logit", "host_prior",
                     F.col("prior").alias("path_prior"), "quality",
                     (F.col("quality") >= threshold).alias("kept")))
@@ -228,6 +225,7 @@ def good(documents: DataFrame, labels: DataFrame, host: Column, path: Column,
     """
     model, _, priors, mean = _model_and_priors(documents, labels, host, path)
     row = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
-    rows = documents.select(row.alias("row"), host.alias("host"), path.alias("path"), "text")
-    scored = posterior(with_evidence(rows, model, keep_text=False), priors, mean)
+    rows = documents.select(row.alias("row"), host.alias("host"), path.alias("path"),
+                            evidence(documents.sparkSession, model).alias("doc_logit"))
+    scored = posterior(rows, priors, mean)
     return scored.filter(F.col("quality") >= threshold).select("row.*")
