@@ -1,7 +1,9 @@
 """Command line for the jobs, e.g. under spark-submit:
 
-    spark-submit --py-files isobar.zip isobar/__main__.py hourly --landing L --store S --out O
-    python -m isobar hourly --landing L --store S --out O        # local
+    spark-submit --py-files isobar.zip isobar/__main__.py hourly --landing L --store S --out O --token T
+    python -m isobar hourly --landing L --store S --out O --token T      # local
+
+``--token`` (repeatable) names the files to ingest: their path contains one of them.
 
 Subcommands: normalize, rebuild, analyze, report, hourly, stream-normalize,
 analyze-pending, speed. The session comes from spark-submit (master, shuffle
@@ -23,16 +25,19 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     for name in ("normalize", "rebuild", "hourly", "stream-normalize", "speed"):
         s = sub.add_parser(name)
         s.add_argument("--landing", required=True)
+        s.add_argument("--token", action="append", required=True, dest="tokens")
         if name != "speed":
             s.add_argument("--store", required=True)
-        if name in ("normalize", "hourly", "stream-normalize", "speed"):
+        if name in ("normalize", "hourly"):  # all new files unless bounded
+            s.add_argument("--max-files", type=int, default=None)
+        if name in ("stream-normalize", "speed"):  # per micro-batch
             s.add_argument("--max-files", type=int, default=100)
         if name == "hourly":
             s.add_argument("--out", required=True)
         if name in ("stream-normalize", "speed"):
             s.add_argument("--checkpoint", required=True)
         if name == "speed":
-            s.add_argument("--pages", required=True)
+            s.add_argument("--out", required=True, help="where report publishes its texts")
     for name in ("analyze", "analyze-pending", "report"):
         s = sub.add_parser(name)
         s.add_argument("--store", required=True)
@@ -44,17 +49,17 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     spark = spark or get_session(app=f"isobar-{a.job}")
 
     if a.job == "normalize":
-        res = jobs.normalize_job(spark, a.landing, a.store, max_files=a.max_files)
+        res = jobs.normalize_job(spark, a.landing, a.store, a.tokens, max_files=a.max_files)
     elif a.job == "rebuild":
-        res = jobs.rebuild_job(spark, a.landing, a.store)
+        res = jobs.rebuild_job(spark, a.landing, a.store, a.tokens)
     elif a.job == "hourly":
-        res = jobs.hourly_run(spark, a.landing, a.store, a.out, max_files=a.max_files)
+        res = jobs.hourly_run(spark, a.landing, a.store, a.out, a.tokens, max_files=a.max_files)
     elif a.job == "stream-normalize":
-        jobs.stream_normalize_job(spark, a.landing, a.store, a.checkpoint, a.max_files)
+        jobs.stream_normalize_job(spark, a.landing, a.store, a.checkpoint, a.tokens, a.max_files)
         res = {"stream": "drained"}
     elif a.job == "speed":
-        jobs.speed_job(spark, a.landing, a.pages, a.checkpoint, a.max_files)
-        res = {"stream": "drained"}
+        res = {"stream": "drained", "updated": jobs.speed_job(
+            spark, a.landing, a.out, a.checkpoint, a.tokens, a.max_files)}
     elif a.job == "analyze":
         res = {"stats_rows": jobs.analyze_job(spark, a.store, dates=a.dates).count()}
     elif a.job == "analyze-pending":

@@ -24,9 +24,18 @@ def to_int(x) -> Column:
     return _c(x).try_cast("double").try_cast("int")
 
 
+def to_long(x) -> Column:
+    """Text or number -> bigint, truncating toward zero; junk -> NULL. Epochs
+    are bigint: an int ends in 2038. Whole numbers keep all their digits."""
+    c = _c(x)
+    return F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
+
+
 def to_double(x) -> Column:
-    """Text or number -> double; junk -> NULL."""
-    return _c(x).try_cast("double")
+    """Text or number -> double; junk, NaN and infinity -> NULL (one such
+    value would make every sum it enters useless)."""
+    d = _c(x).try_cast("double")
+    return F.when(F.abs(d) < float("inf"), d)
 
 
 def hhmm(hour, minute, blank_empty: bool = True) -> Column:

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from isobar.session import staged
+
 RANK_COL = "_rk"
 
 
@@ -71,43 +73,40 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
     return top_n(df, keys, 1, desc=order, tiebreak=tiebreak)
 
 
-def recent_partitions(df: DataFrame, keys: Sequence[str], part: str,
-                      needed: DataFrame | None = None) -> DataFrame:
-    """Prune ``df`` (partitioned by ``part``) to the partitions that can hold
-    each key's newest rows.
-
-    ``needed`` lists, per key, the ``part`` values whose rows are wanted
-    (default: each key's maximum ``part``). Its minimum becomes a runtime
-    partition filter (a scalar subquery on the partition column), so the
-    files of older partitions are never opened. Exact as long as the
-    ordering used afterwards agrees with ``part`` (newer rows never sit in
-    an older partition); rows with a NULL ``part`` are always kept.
-    """
-    if needed is None:
-        needed = df.groupBy(*keys).agg(F.max(part).alias(part))
-    cutoff = needed.agg(F.min(part)).scalar()
-    return df.filter((F.col(part) >= cutoff) | F.col(part).isNull())
-
-
-def top_n_by_group(df: DataFrame, keys: Sequence[str], group: Sequence[str],
-                   group_order: Column, n: int, part: str | None = None,
+def top_n_by_group(df: DataFrame, keys: Sequence[str], group_order: Column, n: int,
                    asc: Sequence[str | Column] = ()) -> DataFrame:
     """W4 over groups of rows (e.g. forecast issues): the first ``n`` rows
     per key taking whole groups newest first (``group_order`` descending),
     spilling into older groups when the newest is short, rows inside a group
-    in ``asc`` order.
+    in ``asc`` order."""
+    return top_n(df.withColumn("_g", group_order), keys, n, desc=["_g"], asc=asc,
+                 tiebreak=[]).drop("_g")
 
-    The groups needed are found from a per-group row count (narrow columns,
-    partial aggregate) with a running sum over each key's groups; with
-    ``part`` the scan of ``df`` is then pruned to the partitions holding
-    them (see :func:`recent_partitions`).
-    """
-    counted = (df.groupBy(*keys, *group).agg(F.count(F.lit(1)).alias("_n"))
-               .withColumn("_g", group_order))
+
+def needed_groups(counted: DataFrame, keys: Sequence[str], group_order: Column, n: int,
+                  count: str = "n") -> DataFrame:
+    """The groups that :func:`top_n_by_group` takes rows from, given ``counted``
+    rows (several per group, with their ``count``): all those with fewer
+    than ``n`` rows in newer groups of the key."""
     newer = (Window.partitionBy(*keys).orderBy(F.col("_g").desc_nulls_last())
-             .rowsBetween(Window.unboundedPreceding, -1))
-    needed = counted.withColumn("_before", F.coalesce(F.sum("_n").over(newer), F.lit(0))) \
-                    .filter(F.col("_before") < n)
-    src = recent_partitions(df, keys, part, needed) if part else df
-    return top_n(src.withColumn("_g", group_order), keys, n, desc=["_g"], asc=asc,
-                 tiebreak=[]).drop("_g")
+             .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    own = Window.partitionBy(*keys, "_g")
+    before = F.sum(count).over(newer) - F.sum(count).over(own)
+    return (counted.withColumn("_g", group_order).withColumn("_before", before)
+            .filter(F.col("_before") < n).drop("_g", "_before"))
+
+
+def number_rows(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """Number all rows from 0 without gaps in the order of the columns
+    ``order``: one range-partitioned sort, staged; only one count per
+    partition is added up in one place."""
+    s = staged(df.repartitionByRange(*order).sortWithinPartitions(*order)
+               .withColumn("_id", F.monotonically_increasing_id()), "number-rows")
+    # the id is the partition in the upper bits, the place in it in the lower 33
+    s = s.withColumn("_p", F.shiftright("_id", 33))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (s.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+              .select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
+    place = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return (s.join(starts, "_p").withColumn(name, F.col("_start") + place)
+            .drop("_start", "_id", "_p"))

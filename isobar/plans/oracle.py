@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-# Shared CTE: events as weather readings (see queries._event_measures).
+# Shared CTE: events as station readings (see queries._event_measures).
 _EVENT_READINGS = """
 e AS (
   SELECT user_id,
@@ -51,7 +51,7 @@ SELECT {_EV}{extra} FROM (
 ) WHERE rk = 1"""
 
 
-# Events as landed weather records, normalised and key-enforced, scored.
+# Events as landed feed records, normalised and key-enforced, scored.
 _LANDED = """
 ev AS (
   SELECT user_id, value, props::JSON->>'$.k' AS ktxt,
@@ -171,9 +171,9 @@ SELECT doc_id, source, n_chars, lang FROM (
 ) WHERE lang <> ''""",
     "distinct_rows": "SELECT DISTINCT c_nationkey, c_mktsegment FROM customer",
     "anti_new": """
-SELECT doc_id, lang, source FROM documents d
-WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
-ORDER BY doc_id LIMIT 100""",
+SELECT doc_id, lang, source, (row_number() OVER (ORDER BY doc_id) - 1) // 100 + 1 AS batch
+FROM documents d
+WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
     "union_all": """
 SELECT * FROM orders WHERE o_orderstatus = 'F'
 UNION ALL
@@ -223,12 +223,13 @@ UNION ALL
 SELECT event_id, 'Moon', {_hm("ts + INTERVAL 6 HOUR")},
        CASE WHEN value < 5 THEN '' ELSE {_hm("ts + INTERVAL 18 HOUR")} END FROM events""",
     "slug_index": """
-SELECT n_name, lower(replace(n_name, ' ', '')) AS slug, customers
+SELECT n_name, lower(replace(n_name, ' ', '')) AS slug, customers,
+       row_number() OVER (ORDER BY n_name) - 1 AS position
 FROM nation n JOIN (SELECT c_nationkey, count(*) AS customers FROM customer GROUP BY 1) c
   ON n.n_nationkey = c.c_nationkey""",
     "source_key": """
 SELECT event_id,
-       strftime(ts, '%Y/%m/%d/%H') || '/weather-1-' || CAST(event_id AS VARCHAR) AS path,
+       strftime(ts, '%Y/%m/%d/%H') || '/feed-1-' || CAST(event_id AS VARCHAR) AS path,
        CAST(strftime(ts, '%Y%m%d%H') AS BIGINT) AS source
 FROM events""",
     "keyed_patch": """
@@ -242,7 +243,9 @@ SELECT p.page_id,
                    '<title>' || CAST(CAST(round(u.value) AS INTEGER) AS VARCHAR) || '&deg;F</title>',
                    'g') END AS html
 FROM pages p LEFT JOIN u ON p.page_id = u.user_id""",
-    "order_limit": "SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey ASC LIMIT 100",
+    "order_limit": """
+SELECT *, CAST(row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey ASC) AS INTEGER) AS position
+FROM orders ORDER BY o_totalprice DESC, o_orderkey ASC LIMIT 100""",
     "parquet_roundtrip": "SELECT * FROM orders",
     "stream_latest": """
 SELECT user_id, ts, event_id, value FROM (
@@ -274,8 +277,7 @@ FROM (
     "landing_listing": """
 WITH h AS (SELECT DISTINCT CAST(strftime(ts, '%Y%m%d%H') AS BIGINT) AS source FROM events)
 SELECT source FROM h
-WHERE source // 100 <> (SELECT min(source) // 100 FROM h)
-ORDER BY source LIMIT 100""",
+WHERE source // 100 <> (SELECT min(source) // 100 FROM h)""",
     "write_metrics": """
 SELECT name, value FROM (
   SELECT 'rows' AS name, count(*) AS value FROM orders
@@ -317,3 +319,76 @@ SELECT city, fts, fc.fhours, temp, humidity, wind_mph, feelslike,
        round(feelslike - 1.96 * feelslikeSD, 6) AS feelslike_lower,
        round(feelslike + 1.96 * feelslikeSD, 6) AS feelslike_upper
 FROM fc JOIN stats s ON fc.fhours = s.fhours"""
+
+
+_STATS = """
+SELECT fhours, count,
+       round(tempM, 6) AS tempM, round(tempSD, 6) AS tempSD,
+       round(humidityM, 6) AS humidityM, round(humiditySD, 6) AS humiditySD,
+       round(wind_mphM, 6) AS wind_mphM, round(wind_mphSD, 6) AS wind_mphSD,
+       round(feelslikeM, 6) AS feelslikeM, round(feelslikeSD, 6) AS feelslikeSD
+FROM stats"""
+
+# delivered in the folder of each day's first hour
+_LANDED_BY_DAY = _LANDED.replace("'%Y%m%d%H'", "'%Y%m%d00'")
+# the full join over all deliveries, leads up to 14 days
+ORACLE["incremental_skill"] = ("WITH" + _LANDED_BY_DAY.replace("generate_series(1, 24)",
+                                                               "generate_series(8, 336, 8)") + _STATS)
+ORACLE["stream_normalised"] = ORACLE["landed_skill"]
+ORACLE["stream_upsert_late"] = _enforce_sql("user_id, event_type, date", _DATE)
+ORACLE["hourly_cycle"] = "WITH" + _LANDED_BY_DAY + """
+SELECT city, date, time, temp, fhours, count, round(tempM, 6) AS tempM, round(tempSD, 6) AS tempSD
+FROM (
+  SELECT 'u' || CAST(user_id AS VARCHAR) AS city,
+         strftime(epoch_ms(lmin * 60000), '%Y-%m-%d') AS date,
+         strftime(epoch_ms(lmin * 60000), '%H:%M') AS time,
+         round(a_temp, 6) AS temp,
+         CAST(hour(epoch_ms(lmin * 60000)) + 1 AS INTEGER) AS fhours,
+         row_number() OVER (PARTITION BY user_id ORDER BY lmin DESC) AS rk
+  FROM w)
+JOIN stats USING (fhours) WHERE rk = 1"""
+ORACLE["report_forecast_table"] = "WITH" + _EVENT_READINGS + """,
+newest AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rk
+    FROM events) WHERE rk = 1
+),
+fc AS (
+  SELECT user_id AS city, CAST(l AS INTEGER) AS fhours, epoch_ms(ts) // 1000 + l * 3600 AS fts,
+         CAST(trunc(value) AS INTEGER) AS temp,
+         CAST(trunc(CAST(props::JSON->>'$.k' AS DOUBLE)) AS INTEGER) AS humidity,
+         CAST(trunc(value / 10) AS INTEGER) AS wind_mph,
+         CAST(trunc(value) AS INTEGER) AS feelslike
+  FROM (SELECT *, unnest(generate_series(1, 24)) AS l FROM newest)
+)
+SELECT city, fts, strftime(epoch_ms(fts * 1000), '%m/%d %H:00') AS hour,
+       temp, humidity, wind_mph, feelslike,
+       CAST(row_number() OVER (PARTITION BY city ORDER BY fts) AS INTEGER) AS position
+FROM fc WHERE fhours IN (SELECT fhours FROM stats)"""
+ORACLE["card_for_key"] = """
+WITH top AS (SELECT c_nationkey FROM customer GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+SELECT c_nationkey, c_custkey, 'C Name' AS label, c_name AS value
+FROM customer WHERE c_nationkey = (FROM top)
+UNION ALL
+SELECT c_nationkey, c_custkey, 'C Mktsegment', c_mktsegment
+FROM customer WHERE c_nationkey = (FROM top)"""
+ORACLE["error_rows"] = """
+WITH ev AS (
+  SELECT *, CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS h FROM events
+),
+a AS (
+  SELECT user_id, h, count(*) AS n_obs, avg(value) AS t, avg(value / 10) AS w
+  FROM ev GROUP BY user_id, h
+),
+f AS (SELECT *, CAST(l AS INTEGER) AS fhours
+      FROM (SELECT *, unnest(generate_series(1, 3)) AS l FROM ev))
+SELECT f.event_id, f.fhours, a.n_obs,
+       round(a.t - CAST(trunc(f.value) AS INTEGER), 6) AS "tempD",
+       round(a.w - CAST(trunc(f.value / 10) AS INTEGER), 6) AS "wind_mphD"
+FROM f JOIN a ON a.user_id = f.user_id AND a.h = f.h + f.l * 3600"""
+ORACLE["index_patch"] = """
+SELECT slug, '&nbsp;&nbsp;' || CAST(round(CAST(value AS DECIMAL(18, 2)), 1) AS VARCHAR)
+       || '&deg;F&nbsp;&nbsp;<a href="' || slug || '.html">' || slug || '</a><br>' AS html
+FROM (SELECT *, 'u' || CAST(user_id AS VARCHAR) AS slug,
+             row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rk
+      FROM events) WHERE rk = 1"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every isobar job relies on. AQE re-plans joins from runtime sizes
 # (the size check behind any broadcast), coalesces small shuffle partitions
@@ -53,40 +53,44 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder shared by all executors for staged tables and checkpoints.
 
     Taken from ``spark.checkpoint.dir`` (or the context's checkpoint dir).
-    Only when neither is set -- a local test session -- a fresh local folder
-    is created and registered as the checkpoint dir.
+    Only a local session without one gets a fresh local folder; on a
+    cluster the setting is required, since executors do not share disks.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="isobar-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
         spark.conf.set("spark.checkpoint.dir", d)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A fresh, unique path under the shared folder for ``parts``.
+    """A fresh, unique path under the shared folder for ``parts``. Nothing
+    else is touched: an earlier result may still be read."""
+    app = spark.sparkContext.applicationId
+    return "/".join([shared_dir(spark), "isobar", app, *parts, uuid.uuid4().hex])
 
-    Scratch outputs of one name are kept until the next scratch path of the
-    same name is taken *by the same application*: at that point the older
-    ones of this application are removed, so repeated runs do not pile up.
-    Other applications' folders are never touched.
-    """
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove this application's scratch folders; call it when no result that
+    reads them is needed any more."""
     from isobar.sources import fs
 
-    app = spark.sparkContext.applicationId
-    base = "/".join([shared_dir(spark), "isobar", *parts])
-    for old in fs.list_dirs(spark, base):
-        if old.rstrip("/").rsplit("/", 1)[-1].startswith(app + "-"):
-            fs.delete(spark, old)
-    return f"{base}/{app}-{uuid.uuid4().hex}"
+    fs.delete(spark, f"{shared_dir(spark)}/isobar/{spark.sparkContext.applicationId}")
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local-filesystem helpers in tests."""
-    return path[5:] if path.startswith("file:") else path
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet to a scratch path and read back: cuts the
+    lineage, and later passes read only the columns they use."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-__all__ = ["get_session", "shared_dir", "scratch_path", "local_path"]
+__all__ = ["get_session", "shared_dir", "scratch_path", "clear_scratch", "staged"]

@@ -1,22 +1,43 @@
-"""Table sinks: staged, versioned Parquet publish (S7), landing JSON.
+"""Table sinks: versioned publish (S7), committed keyed tables, landing JSON.
 
-A table lives in ``<root>/<name>/`` as immutable version folders
-``v<epoch-ms>-<id>``; a version is complete once Spark's ``_SUCCESS`` marker
-is in it. Readers take the newest complete version, so a run never
-overwrites the data it reads, a failed run leaves the previous version in
-place, and readers never see a half-written table.
+Two kinds of tables, both immutable files made visible by one small commit:
+
+* *versions* (``write_table`` / ``read_latest``): ``<root>/<name>/v<ms>-<id>``,
+  complete once Spark's ``_SUCCESS`` marker is in it;
+* *committed tables* (``merge_into`` / ``replace_parts`` / ``read_table``): each
+  write adds folders ``<part>=<value>/ver=<id>`` (or ``ver=<id>``) and then one
+  file under ``_commits`` that names the current folder of every part.
+
+Readers take the newest commit, so they never see half a write, a crash
+before the commit changes nothing, and nothing that is being read is ever
+overwritten or removed. Old files go only when :func:`vacuum` is called.
+One writer per table at a time.
 """
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
+from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from isobar.sources import fs
 
+COMMITS = "_commits"
+VERSION = "ver"  # folder level (and hidden partition column) of a write
+NULL_PART = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's folder name for NULL
+
+
+def stamp() -> str:
+    return f"{time.time_ns() // 1000:020d}-{uuid.uuid4().hex[:8]}"
+
+
+# -------------------------------------------------------------------- versions
 
 def _versions(spark: SparkSession, table_dir: str) -> list[str]:
     return sorted(d for d in fs.list_dirs(spark, table_dir)
@@ -29,19 +50,14 @@ def latest_version(spark: SparkSession, root: str, name: str) -> str | None:
     return v[-1] if v else None
 
 
-def write_table(df: DataFrame, root: str, name: str, partition_by=None,
-                keep: int = 2) -> str:
+def write_table(df: DataFrame, root: str, name: str, partition_by=None) -> str:
     """Write ``df`` as a new version of table ``name`` and return its
-    path; older versions beyond ``keep`` are removed afterwards."""
-    spark = df.sparkSession
-    table_dir = f"{root.rstrip('/')}/{name}"
-    path = f"{table_dir}/v{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
+    path. Older versions stay (see :func:`vacuum`)."""
+    path = f"{root.rstrip('/')}/{name}/v{stamp()}"
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     w.parquet(path)
-    for old in _versions(spark, table_dir)[:-keep]:
-        fs.delete(spark, old)
     return path
 
 
@@ -51,67 +67,149 @@ def read_latest(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     return spark.read.parquet(v) if v else None
 
 
-def land_json(df: DataFrame, path: str, partition_by=None, clustered: bool = False) -> None:
-    """Records as newline-delimited JSON (one object per row).
+# ------------------------------------------------------------ committed tables
+
+def commits(spark: SparkSession, path: str) -> list[str]:
+    return sorted(n for n in fs.list_names(spark, f"{path}/{COMMITS}")
+                  if n.startswith("v") and n.endswith(".json"))
+
+
+def manifest(spark: SparkSession, path: str) -> dict | None:
+    """The newest commit: ``schema``, ``partition_by`` and ``parts``, a list of
+    ``[value, folder]``; None if nothing was ever committed."""
+    c = commits(spark, path)
+    return json.loads(fs.read_text(spark, f"{path}/{COMMITS}/{c[-1]}")) if c else None
+
+
+def intact(spark: SparkSession, path: str) -> bool:
+    """Whether the table was committed and all folders of the commit are there."""
+    m = manifest(spark, path)
+    if m is None:
+        return False
+    there = set(fs.glob_names(spark, path, "*/*" if m["partition_by"] else "*"))
+    return all(folder in there for _, folder in m["parts"])
+
 
-    With ``partition_by`` (e.g. the hour folders of a landing area) rows are
-    first clustered by those columns, so each folder gets its files from
-    one task instead of one small file per task per folder. ``clustered``
-    says the caller already did that (e.g. on the small input rows, before
-    building large records from them).
+def read_parts(spark: SparkSession, path: str, parts: Sequence | None = None) -> DataFrame | None:
+    """S6 on a committed table, typed as written; None if there is none.
+
+    ``parts`` lists the partition values wanted (None among them is the NULL
+    partition): only their folders are listed and opened.
     """
-    w = df
-    if partition_by and not clustered:
-        w = w.repartition(*partition_by)
-    w = w.write.mode("append")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.json(path)
+    m = manifest(spark, path)
+    if m is None:
+        return None
+    schema = StructType.fromJson(m["schema"])
+    folders = [f for v, f in m["parts"] if parts is None or v in set(parts)]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    df = spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/{f}" for f in folders])
+    return df.select(*schema.fieldNames())
+
+
+def _commit(spark: SparkSession, path: str, schema: StructType, partition_by: str | None,
+            parts: dict) -> None:
+    fs.write_text(spark, f"{path}/{COMMITS}/v{stamp()}.json", json.dumps(
+        {"schema": schema.jsonValue(), "partition_by": partition_by, "parts": list(parts.items())}))
+
+
+def rebalanced(df: DataFrame, *cols: str) -> DataFrame:
+    """Rows of equal ``cols`` side by side, but no more than AQE's advisory size in a
+    task: small groups share a task, a hot one is split."""
+    names = ", ".join(f"`{c}`" for c in cols)
+    return df.sparkSession.sql(f"SELECT /*+ REBALANCE({names}) */ * FROM {{df}}", df=df)
+
+
+def _write(df: DataFrame, path: str, partition_by: str | None) -> dict:
+    """Write a new folder per part; returns part value -> folder."""
+    spark, ver = df.sparkSession, stamp()
+    out = (rebalanced(df, partition_by) if partition_by else df).withColumn(VERSION, F.lit(ver))
+    by = [partition_by, VERSION] if partition_by else [VERSION]
+    out.write.mode("append").partitionBy(*by).parquet(path)
+    if not partition_by:
+        return {None: f"{VERSION}={ver}"} if fs.exists(spark, f"{path}/{VERSION}={ver}") else {}
+    parts = {}
+    for folder in fs.glob_names(spark, path, f"{partition_by}=*/{VERSION}={ver}"):
+        value = folder.split("/")[0].partition("=")[2]
+        parts[None if value == NULL_PART else unquote(value)] = folder
+    return parts
+
+
+def write_parts(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+    """Replace the whole committed table by ``df``."""
+    _commit(df.sparkSession, path, df.schema, partition_by, _write(df, path, partition_by))
+
+
+def replace_parts(df: DataFrame, path: str, partition_by: str, values: Sequence) -> None:
+    """Replace the parts ``values`` by the rows of ``df``, which are all in them; a
+    part without rows goes."""
+    m = manifest(df.sparkSession, path)
+    old = {} if m is None else {v: f for v, f in m["parts"] if v not in set(values)}
+    _commit(df.sparkSession, path, df.schema, partition_by, {**old, **_write(df, path, partition_by)})
 
 
 def merge_into(new: DataFrame, path: str, keys, version: str = "source",
-               partition_by: str | None = None, tiebreak=None) -> None:
-    """Keyed upsert of ``new`` into the Parquet table at ``path``: per key
+               partition_by: str | None = None, tiebreak=None) -> list:
+    """Keyed upsert of ``new`` into the committed table at ``path``: per key
     the row with the highest ``version`` wins (W1), whatever the arrival
-    order.
-
-    With ``partition_by`` (a column that is part of every key, e.g. the
-    date) only the partitions the new rows touch are read and rewritten:
-    the scan of the current table is limited to the range of the new rows'
-    partition values (two scalar subqueries, which Spark evaluates before
-    the scan and uses to skip partitions), then semi-joined to the exact
-    values, and the result replaces just those partitions (dynamic
-    partition overwrite). The merged rows are
-    checkpointed to the shared checkpoint folder first, so the write never
-    reads the files it replaces and a lost executor recomputes from the
-    checkpoint, not from the half-replaced table.
+    order, so that repeating a merge changes nothing. Returns the partition
+    values touched.
+
+    With ``partition_by`` (a column of every key, e.g. the date) only the
+    parts that the new rows touch are opened and rewritten. Their values are
+    the one thing the driver collects: as many as a batch has dates. ``new``
+    is read twice, so cache or stage it when it is dear.
     """
     from isobar.operators.keys import enforce
 
     spark = new.sparkSession
-    if not fs.exists(spark, path):
-        out = enforce(new, keys, version, tiebreak)
-        w = out.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(partition_by)
-        w.parquet(path)
-        return
-    # Read with the incoming schema: keeps partition values typed as written
-    # and works for a table that so far holds no rows.
-    current = spark.read.schema(new.schema).parquet(path).select(*new.columns)
+    touched = None
     if partition_by:
-        touched = new.select(partition_by).distinct()
-        lo = touched.agg(F.min(partition_by)).scalar()
-        hi = touched.agg(F.max(partition_by)).scalar()
-        part = F.col(partition_by)
-        # null-safe: rows of the NULL partition must survive when the new
-        # rows touch it too (it is overwritten as a whole)
-        t = touched.select(F.col(partition_by).alias("_touched"))
-        current = (current.filter((part.between(lo, hi)) | part.isNull())
-                   .join(t, part.eqNullSafe(F.col("_touched")), "left_semi"))
-    merged = enforce(current.unionByName(new), keys, version, tiebreak)
-    merged = merged.checkpoint(eager=True)
-    w = merged.write.mode("overwrite")
+        touched = [r[0] for r in new.select(partition_by).distinct().collect()]
+    current = read_parts(spark, path, touched)
+    rows = new if current is None else current.select(*new.columns).unionByName(new)
+    merged = enforce(rows, keys, version, tiebreak)
     if partition_by:
-        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(partition_by)
-    w.parquet(path)
+        replace_parts(merged, path, partition_by, touched)
+    else:
+        write_parts(merged, path)
+    return touched or []
+
+
+def vacuum(spark: SparkSession, path: str, older_than_s: float = 7 * 86400) -> int:
+    """Remove what is superseded since ``older_than_s`` seconds: versions, commits and
+    the folders that only those commits name. The newest state always stays.
+    Never run by the jobs; call it when nothing older is being read."""
+    limit = f"v{int((time.time() - older_than_s) * 1e6):020d}"
+    removed = 0
+    for d in _versions(spark, path)[:-1]:
+        if d.rsplit("/", 1)[-1] < limit:
+            fs.delete(spark, d)
+            removed += 1
+    names = commits(spark, path)
+    # a commit is superseded when the next one is made
+    gone = [a for a, b in zip(names, names[1:]) if b < limit]
+
+    def folders(commit):
+        return {f for _, f in json.loads(fs.read_text(spark, f"{path}/{COMMITS}/{commit}"))["parts"]}
+
+    keep = set().union(*[folders(n) for n in names if n not in gone]) if names else set()
+    for n in gone:
+        for f in folders(n) - keep:
+            fs.delete(spark, f"{path}/{f}")
+            removed += 1
+        fs.delete(spark, f"{path}/{COMMITS}/{n}")
+    return removed
+
+
+# --------------------------------------------------------------------- landing
+
+def land_json(df: DataFrame, path: str, partition_by=None) -> None:
+    """Records as newline-delimited JSON (one object per row). With
+    ``partition_by`` (the hour folders of a landing area) rows of one folder
+    are written by few tasks, and a hot hour by as many as its size needs."""
+    w = rebalanced(df, *partition_by) if partition_by else df
+    w = w.write.mode("append")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.json(path)

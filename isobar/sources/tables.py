@@ -12,15 +12,3 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     callers simply select / filter what they need.
     """
     return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the cluster's cores when its scan has fewer
-    splits than cores (e.g. one large Parquet row group), so per-row heavy
-    work that follows is not stuck in one task. A no-op on real-size input,
-    where the scan already has far more splits than cores."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)

@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 
+from isobar.session import staged
 from isobar.sources.sinks import merge_into
 
 
@@ -20,33 +21,7 @@ def upsert_fn(path: str, keys: Sequence[str], version: str = "source",
               tiebreak: Sequence[str] | None = None) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function merging each micro-batch into ``path``."""
     def _merge(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        merge_into(batch, path, list(keys), version, partition_by, tiebreak)
-    return _merge
-
-
-def upsert_tables(path_of: Callable[[str], str], tables: dict[str, Sequence[str]],
-                  builders: dict[str, Callable[[DataFrame], DataFrame]],
-                  version: str = "source",
-                  partition_of: dict[str, str] | None = None,
-                  after: Callable[[DataFrame, int], None] | None = None
-                  ) -> Callable[[DataFrame, int], None]:
-    """One ``foreachBatch`` that normalises a raw micro-batch into several
-    keyed tables (the streaming form of the normalise job); ``after`` runs
-    on the same cached batch once the tables are merged."""
-    partition_of = partition_of or {}
-
-    def _merge(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        raw = batch.persist()
-        try:
-            for name, key_cols in tables.items():
-                merge_into(builders[name](raw), path_of(name), list(key_cols), version,
-                           partition_of.get(name))
-            if after is not None:
-                after(raw, batch_id)
-        finally:
-            raw.unpersist()
+        rows = staged(batch, "upsert")  # a stateful batch must not be computed twice
+        if not rows.isEmpty():
+            merge_into(rows, path, list(keys), version, partition_by, tiebreak)
     return _merge

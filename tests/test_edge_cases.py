@@ -12,27 +12,27 @@ from isobar.sources import sinks
 from isobar.sources.raw import read_raw
 from isobar.operators import normalize
 from isobar.streaming.upsert import upsert_fn
-from tests.weather_fixture import record, write_file
+from tests.feed_fixture import TOKENS, record, write_file
 
 
 def load(spark, root, files):
     for rel, recs in files.items():
         write_file(root, rel, recs)
     store = os.path.join(root, "_store")
-    jobs.normalize_job(spark, root, store)
+    jobs.normalize_job(spark, root, store, TOKENS)
     return store, jobs.load_tables(spark, store)
 
 
 def test_offsets_negative_temps_and_number_or_string(spark, workdir):
     files = {
-        "2018/12/31/23/weather-1-x": [
+        "2018/12/31/23/feed-1-x": [
             record("Delhi", 1546300740, -3.5, "-7.2", "40%", "2.0",
                    [(1546304400, -4, -8, 41, 3)], offset="+0530"),
             record("St Johns", 1546300740, "-12.0", "-20.1", "80%", "30.0",
                    [(1546304400, -13, -21, 81, 31)], offset="-0330"),
         ]}
     _, t = load(spark, workdir, files)
-    w = {r["city"]: r for r in t["weather"].collect()}
+    w = {r["city"]: r for r in t["observation"].collect()}
     assert (w["Delhi"]["date"], w["Delhi"]["time"], w["Delhi"]["temp"]) == ("2019-01-01", "05:29", -3.5)
     assert (w["St Johns"]["date"], w["St Johns"]["time"]) == ("2018-12-31", "20:29")
     assert w["St Johns"]["source"] == 2018123123  # year taken from the path
@@ -44,7 +44,7 @@ def test_offsets_negative_temps_and_number_or_string(spark, workdir):
 def test_dst_targets_keep_issue_offset(spark, workdir):
     issue = 1489302000  # 2017-03-12 01:00 -0600 (07:00 UTC)
     fc = [(issue + 3600 * k, 30, 30, 50, 5) for k in range(1, 4)]
-    _, t = load(spark, workdir, {"2017/03/12/07/weather-1-a": [
+    _, t = load(spark, workdir, {"2017/03/12/07/feed-1-a": [
         record("Avon", issue, "30.0", "30.0", "50%", "5.0", fc)]})
     assert sorted(r["ftime"] for r in t["forecast"].collect()) == ["02:00", "03:00", "04:00"]
 
@@ -53,14 +53,14 @@ def test_null_humidity_null_forecast_and_zero_temperature(spark, workdir):
     a = record("Avon", 1489006920, "0.0", "0.0", None, "1.0", [])
     a["hourly_forecast"] = None
     b = record("Vail", 1489006920, "5.0", "5.0", "10%", "1.0", [(1489010400, 5, 5, None, 1)])
-    store, t = load(spark, workdir, {"2017/03/08/15/weather-1-a": [a, b]})
+    store, t = load(spark, workdir, {"2017/03/08/15/feed-1-a": [a, b]})
     assert t["forecast"].filter("city = 'Avon'").count() == 0
     assert [r["humidity"] for r in t["forecast"].collect()] == [None]
-    w = {r["city"]: r for r in t["weather"].collect()}
+    w = {r["city"]: r for r in t["observation"].collect()}
     assert w["Avon"]["humidity"] is None and w["Avon"]["temp"] == 0.0
-    cur = speed.current(t["weather"], "city", "temp")
+    cur = speed.current(t["observation"], "city", "temp")
     assert cur.count() == 2
-    assert speed.current(t["weather"], "city", "temp", drop_zero=True).count() == 1
+    assert speed.current(t["observation"], "city", "temp", drop_zero=True).count() == 1
 
 
 def test_two_observations_in_one_hour_fan_out(spark, workdir):
@@ -68,9 +68,9 @@ def test_two_observations_in_one_hour_fan_out(spark, workdir):
     a = record("Avon", 1489006920, "50.0", "50.0", "20%", "10.0", [(1489010400, 51, 50, 25, 12)])
     b = record("Avon", 1489010580, "52.0", "52.0", "28%", "9.0", [])
     c = record("Avon", 1489012200, "54.0", "54.0", "30%", "8.0", [])   # 16:30 same hour as b
-    store, t = load(spark, workdir, {"2017/03/08/15/weather-1-a": [a],
-                                     "2017/03/08/16/weather-1-b": [b, c]})
-    s = verify.weather_skill(t["forecast"], t["weather"]).collect()
+    store, t = load(spark, workdir, {"2017/03/08/15/feed-1-a": [a],
+                                     "2017/03/08/16/feed-1-b": [b, c]})
+    s = verify.feed_skill(t["forecast"], t["observation"]).collect()
     assert len(s) == 1 and s[0]["count"] == 2
     assert s[0]["tempM"] == pytest.approx(((52 - 51) + (54 - 51)) / 2)
 
@@ -78,8 +78,8 @@ def test_two_observations_in_one_hour_fan_out(spark, workdir):
 def test_two_files_with_one_source(spark, workdir):
     a = record("Avon", 1489006920, "50.0", "50.0", "20%", "10.0", [])
     b = record("Avon", 1489006920, "51.0", "50.0", "20%", "10.0", [])
-    _, t = load(spark, workdir, {"2017/03/08/15/weather-1-a": [a], "2017/03/08/15/weather3-4-b": [b]})
-    rows = t["weather"].collect()
+    _, t = load(spark, workdir, {"2017/03/08/15/feed-1-a": [a], "2017/03/08/15/feed3-4-b": [b]})
+    rows = t["observation"].collect()
     assert len(rows) == 1 and rows[0]["temp"] == 51.0  # tie on source: deterministic tiebreak
 
 
@@ -102,9 +102,9 @@ def test_replayed_micro_batch_is_harmless(spark, workdir):
     batch = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z")],
                                   "k string, v int, s string")
     fn(batch, 0)
-    first = sorted(map(tuple, spark.read.parquet(path).collect()))
+    first = sorted(map(tuple, sinks.read_parts(spark, path).collect()))
     fn(batch, 0)  # replay after a failure
-    assert sorted(map(tuple, spark.read.parquet(path).collect())) == first == \
+    assert sorted(map(tuple, sinks.read_parts(spark, path).collect())) == first == \
         [("a", 2, "y"), ("b", 1, "z")]
 
 
@@ -147,3 +147,24 @@ def test_null_in_ledger_does_not_hide_new_files(spark):
     # what SQL NOT IN would have done
     assert spark.sql("select path from _l where path not in (select path from _g)").count() == 0
     assert [r["path"] for r in ingest.next_batch(ingest.new_files(listing, ledger), 1).collect()] == ["b"]
+
+
+def test_epochs_beyond_2038_and_nan(spark, workdir):
+    late = 2208988800  # 2040-01-01
+    store, t = load(spark, workdir, {"2040/01/01/00/feed-1-a": [
+        record("Avon", late, "NaN", "5.0", "10%", "1.0", [(late + 3600, 7, 7, 20, 2)]),
+        record("Avon", late + 3600, "9.0", "8.0", "30%", "4.0")]})
+    assert sorted(r["date"] + " " + r["time"] for r in t["observation"].collect()) == [
+        "2039-12-31 18:00", "2039-12-31 19:00"]
+    assert {r["time"]: r["temp"] for r in t["observation"].collect()} == {"18:00": None, "19:00": 9.0}
+    s = jobs.analyze_job(spark, store).collect()
+    assert [(r["fhours"], r["count"], r["tempM"]) for r in s] == [(1, 1, 2.0)]
+
+
+def test_rejects_are_counted(spark, workdir):
+    path = write_file(workdir, "2017/03/08/15/feed-1-a",
+                      [record("Avon", 1489006920, "1.0", "1.0", "1%", "1.0"), record("", 1, "1", "1", "1", "1")])
+    with open(path, "a") as f:
+        f.write("{not json\n")
+    m = jobs.normalize_job(spark, workdir, os.path.join(workdir, "_store"), TOKENS)
+    assert (m["records"], m["rejected_corrupt"], m["rejected_blank"], m["rows_observation"]) == (3, 1, 1, 1)

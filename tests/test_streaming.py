@@ -6,15 +6,15 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from isobar.operators import normalize
+from isobar.operators import speed
 from isobar.plans import jobs
 from isobar.sources import sinks
 from isobar.sources.raw import raw_schema, with_source
-from isobar.streaming import ingest, patch, upsert
+from isobar.streaming import ingest, patch
 from isobar.streaming.latest import latest_state
-from tests.weather_fixture import FILE_A, FILE_B, FILE_C, write_avon
+from tests.feed_fixture import FILE_A, FILE_B, FILE_C, TOKENS, record, write_avon, write_file
 
-GLOB = "{*weather-1*,*weather3-4*}"
+GLOB = "{*feed-1*,*feed3-4*}"
 
 
 def raw_stream(spark, landing):
@@ -37,45 +37,29 @@ def test_ingest_each_file_once(spark, workdir):
         [2017030815, 2017030816, 2017030817]
 
 
-def test_stream_upsert_equals_batch(spark, workdir):
-    """Files arriving one per micro-batch, newest first, merged per batch
-    in foreachBatch, give the batch job's tables."""
-    landing = os.path.join(workdir, "landing")
-    st_stream = os.path.join(workdir, "stream-store")
-    ck = os.path.join(workdir, "ck")
-    fn = upsert.upsert_tables(lambda n: os.path.join(st_stream, n), normalize.TABLE_KEYS,
-                              {n: (lambda b, n=n: normalize.BUILDERS[n](normalize.clean_raw(b)))
-                               for n in normalize.TABLE_KEYS},
-                              partition_of={k: v for k, v in jobs.PARTITION.items() if v})
-    for only in ([FILE_C], [FILE_B], [FILE_A]):
-        write_avon(landing, only=only)
-        ingest.run_available_now(with_source(raw_stream(spark, landing)), ck, batch_fn=fn)
-    st_batch = os.path.join(workdir, "batch-store")
-    jobs.normalize_job(spark, write_avon(os.path.join(workdir, "land2")), st_batch)
-    a, b = jobs.load_tables(spark, st_stream), jobs.load_tables(spark, st_batch)
-    for name in a:
-        ra = sorted(map(tuple, a[name].drop("path").collect()), key=str)
-        rb = sorted(map(tuple, b[name].drop("path").collect()), key=str)
-        assert ra == rb, name
-
-
 def test_latest_state_and_page_patch(spark, workdir):
+    """Three micro-batches rewrite only the buckets of the pages they change."""
     landing = write_avon(os.path.join(workdir, "landing"), only=[FILE_A, FILE_B, FILE_C])
-    pages_root = os.path.join(workdir, "pages")
+    pages = os.path.join(workdir, "pages")
     html = "<html><h1>Avon</h1><h2>50.0&deg;F</h2></html>"
-    sinks.write_table(spark.createDataFrame([("avon", html), ("vail", "<h2>1.0&deg;F</h2>")],
-                                            "slug string, html string"), pages_root, "pages")
+    rows = [("avon", html)] + [(f"town{i}", "<h2>1.0&deg;F</h2>") for i in range(40)]
+    patch.publish_text(spark.createDataFrame(rows, "slug string, html string"), pages, "slug")
+    before = dict(map(tuple, sinks.manifest(spark, pages)["parts"]))
     readings = with_source(raw_stream(spark, landing)).select(
         F.col("current_observation.display_location.city").alias("city"),
         F.col("current_observation.local_epoch").cast("bigint").alias("ts"),
         F.col("current_observation.temp_f").cast("double").alias("temp"))
     state = latest_state(readings.filter(F.col("city") != ""), "city", "ts", ["temp"])
-    fn = patch.patch_fn(spark, pages_root, "pages")
+    fn = patch.patch_texts({pages: (speed.heading_pattern, speed.heading_replacement)})
     ingest.run_available_now(patch.slugged(state), os.path.join(workdir, "ck"),
                              batch_fn=fn, output_mode="update")
-    got = dict(map(tuple, sinks.read_latest(spark, pages_root, "pages").collect()))
-    assert got["avon"] == "<html><h1>Avon</h1><h2>47.0&deg;F</h2></html>"
-    assert got["vail"] == "<h2>1.0&deg;F</h2>"
+    got = dict(map(tuple, patch.read_text_table(spark, pages).collect()))
+    assert got["avon"] == "<html><h1>Avon</h1><h2>47.0&deg;F</h2></html>" and len(got) == 41
+    assert all(got[f"town{i}"] == "<h2>1.0&deg;F</h2>" for i in range(40))
+    after = dict(map(tuple, sinks.manifest(spark, pages)["parts"]))
+    assert len(before) > 5 and [v for v in before if before[v] != after[v]] == [
+        spark.createDataFrame([("avon",)], "slug string").select(patch.bucket("slug")).first()[0]]
+    assert 1 <= fn.updated <= 3
 
 
 def test_stream_normalize_job_equals_batch(spark, workdir):
@@ -83,9 +67,9 @@ def test_stream_normalize_job_equals_batch(spark, workdir):
     st = os.path.join(workdir, "stream-store")
     for only in ([FILE_B], [FILE_C, FILE_A]):
         write_avon(landing, only=only)
-        jobs.stream_normalize_job(spark, landing, st, os.path.join(workdir, "ck"), max_files=1)
+        jobs.stream_normalize_job(spark, landing, st, os.path.join(workdir, "ck"), TOKENS, max_files=1)
     st_batch = os.path.join(workdir, "batch-store")
-    jobs.normalize_job(spark, write_avon(os.path.join(workdir, "land2")), st_batch)
+    jobs.normalize_job(spark, write_avon(os.path.join(workdir, "land2")), st_batch, TOKENS)
     a, b = jobs.load_tables(spark, st), jobs.load_tables(spark, st_batch)
     for name in a:
         ra = sorted(map(tuple, a[name].collect()), key=str)
@@ -93,15 +77,37 @@ def test_stream_normalize_job_equals_batch(spark, workdir):
         assert ra == rb, name
 
 
-def test_speed_job_patches_pages(spark, workdir):
-    landing = write_avon(os.path.join(workdir, "landing"), only=[FILE_A, FILE_B])
-    root = os.path.join(workdir, "pages")
-    sinks.write_table(spark.createDataFrame(
-        [("avon", "<h2>-1.5&deg;F</h2>|49.9&deg;F&nbsp;&nbsp;<a href=\"avon.html\">")],
-        "slug string, html string"), root, "pages")
-    jobs.speed_job(spark, landing, root, os.path.join(workdir, "ck"))
-    html = sinks.read_latest(spark, root, "pages").first()["html"]
-    assert html.startswith("<h2>52.5&deg;F</h2>")
+def test_stream_takes_the_files_batch_takes(spark, workdir):
+    """A token in a folder name, any depth, and characters that URLs escape."""
+    landing = os.path.join(workdir, "land ing")
+    write_file(landing, "feed-1/deep er/2017/03/08/15/a%20b.json",
+               [record("Avon", 1489006920, "50.0", "49.3", "23%", "10.0", [(1489010400, 51, 50, 25, 12)])])
+    write_file(landing, "other/2017/03/08/15/c", [record("Vail", 1489006920, "1.0", "1.0", "1%", "1.0")])
+    tables = []
+    for name, job in (("s", lambda st: jobs.stream_normalize_job(spark, landing, st, workdir + "/ck", TOKENS)),
+                      ("b", lambda st: jobs.normalize_job(spark, landing, st, TOKENS)),
+                      ("r", lambda st: jobs.rebuild_job(spark, landing, st, TOKENS))):
+        st = os.path.join(workdir, name)
+        job(st)
+        tables.append({n: sorted(map(str, df.collect())) for n, df in jobs.load_tables(spark, st).items()})
+        # whoever ingested first, the batch job finds nothing new
+        assert jobs.normalize_job(spark, landing, st, TOKENS)["files"] == 0
+    assert tables[0] == tables[1] == tables[2] and len(tables[0]["observation"]) == 1
+
+
+def test_speed_job_patches_pages_and_index(spark, workdir):
+    """The report publishes the texts; later readings are patched into both."""
+    landing, st, out = (os.path.join(workdir, n) for n in ("landing", "store", "out"))
+    write_avon(landing, only=[FILE_A])
+    jobs.normalize_job(spark, landing, st, TOKENS)
+    jobs.analyze_job(spark, st)
+    jobs.report_job(spark, st, out)
+    assert patch.read_text_table(spark, f"{out}/pages").first()["html"] == "<h1>Avon</h1><h2>50.0&deg;F</h2>"
+    write_avon(landing, only=[FILE_B])
+    assert jobs.speed_job(spark, landing, out, os.path.join(workdir, "ck"), TOKENS) == 1
+    assert patch.read_text_table(spark, f"{out}/pages").first()["html"] == "<h1>Avon</h1><h2>52.5&deg;F</h2>"
+    assert patch.read_text_table(spark, f"{out}/index_lines").first()["html"] == (
+        '&nbsp;&nbsp;52.5&deg;F&nbsp;&nbsp;<a href="avon.html">Avon</a><br>')
 
 
 def test_stream_then_incremental_analyze_equals_full(spark, workdir):
@@ -109,10 +115,10 @@ def test_stream_then_incremental_analyze_equals_full(spark, workdir):
     st = os.path.join(workdir, "store")
     ck = os.path.join(workdir, "ck")
     write_avon(landing, only=[FILE_A])
-    jobs.stream_normalize_job(spark, landing, st, ck, max_files=1)
+    jobs.stream_normalize_job(spark, landing, st, ck, TOKENS, max_files=1)
     jobs.analyze_job(spark, st)                       # first, full
     write_avon(landing, only=[FILE_B, FILE_C])
-    jobs.stream_normalize_job(spark, landing, st, ck, max_files=1)
+    jobs.stream_normalize_job(spark, landing, st, ck, TOKENS, max_files=1)
     inc = {r["fhours"]: tuple(r) for r in jobs.analyze_pending(spark, st).collect()}
     again = {r["fhours"]: tuple(r) for r in jobs.analyze_pending(spark, st).collect()}
     full = {r["fhours"]: tuple(r) for r in jobs.analyze_job(spark, st).collect()}
