@@ -183,8 +183,10 @@ def test_the_report_opens_only_the_days_it_needs(spark, workdir):
 
 def test_a_hot_hour_is_written_by_several_tasks(spark, workdir):
     """A third of the rows in one hour: more than one file there, few files elsewhere."""
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    key, n = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions"
+    before = spark.conf.get(n)
     spark.conf.set(key, "64k")
+    spark.conf.set(n, "64")  # as sized: partitions of about the advisory size
     try:
         hour = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(
             F.concat(F.lit("h"), (F.col("id") % 40).cast("string")))
@@ -194,6 +196,7 @@ def test_a_hot_hour_is_written_by_several_tasks(spark, workdir):
         sinks.write_parts(df, workdir + "/t", "hour")
     finally:
         spark.conf.unset(key)
+        spark.conf.set(n, before)
     for path in (workdir + "/land", workdir + "/t"):
         n = {}
         for d, _, names in os.walk(path):
