@@ -78,4 +78,81 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_ann": op10_ann,
 }
 
-ORACLE: dict[str, str] = {}
+_WORDS = r"[^\x20\x09-\x0D]+"
+
+ORACLE: dict[str, str] = {
+    # measures, then the same ladders, exact binomial sums and choice of cutoffs
+    "op6_quality_rules": rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t FROM documents
+),
+w AS (
+  SELECT *, regexp_extract_all(t, '{_WORDS}') AS w,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_WORDS}')) AS lines
+  FROM d
+),
+win AS (
+  SELECT rid, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c
+  FROM (SELECT rid, w, unnest(generate_series(1, len(w) - 2)) AS i FROM w)
+),
+again AS (SELECT rid, i FROM win QUALIFY count(*) OVER (PARTITION BY rid, a, b, c) > 1),
+rep AS (
+  SELECT rid, count(DISTINCT p) AS n
+  FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY rid
+),
+m AS (
+  SELECT w.rid, doc_id, lang, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) AS BIGINT) AS n_lines,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words
+  FROM w LEFT JOIN rep ON rep.rid = w.rid
+),
+b AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m
+),
+v AS (
+  SELECT rid, doc_id, lang, base_failed,
+         unnest(['symbol_share', 'dup_line_share', 'repeat_share', 'mean_word']) AS rule,
+         unnest([CASE WHEN word_chars > 0 THEN n_symbols / word_chars ELSE 0.0 END,
+                 CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0.0 END,
+                 CASE WHEN n_words > 0 THEN n_repeat_words / n_words ELSE 0.0 END,
+                 CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0.0 END]) AS x
+  FROM b
+),
+held AS (
+  SELECT v.*, l.quality > 0 AS good FROM v JOIN labels l ON l.doc_id = v.doc_id
+  WHERE NOT base_failed AND l.quality IS NOT NULL
+),
+pairs AS (SELECT lang, rule, count(*) FILTER (WHERE good) AS n FROM held GROUP BY ALL),
+ladder AS (
+  SELECT lang, rule, n, i,
+         CASE WHEN rule = 'mean_word' THEN 24 - CAST(i AS DOUBLE) / 2
+              ELSE 1 - CAST(i + 1 AS DOUBLE) / {risk_rules.STEPS} END AS cut
+  FROM (SELECT *, unnest(generate_series(0, {risk_rules.STEPS - 1})) AS i FROM pairs)
+),
+counts AS (
+  SELECT s.lang, s.rule, s.n, s.i, s.cut,
+         count(*) FILTER (WHERE good AND x > cut) AS lost,
+         count(*) FILTER (WHERE NOT good AND x > cut) AS caught
+  FROM ladder s JOIN held h ON h.lang IS NOT DISTINCT FROM s.lang AND h.rule = s.rule
+  GROUP BY ALL
+),
+safe AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, rule ORDER BY caught DESC, i) AS rk
+  FROM counts
+  WHERE n > 0 AND caught > 0 AND lost < n * {risk_rules.ALPHA / 4}
+    AND list_sum(list_transform(range(0, lost + 1), lambda j: exp(
+          lgamma(n + 1.0) - lgamma(j + 1.0) - lgamma(n - j + 1.0)
+          + j * ln({risk_rules.ALPHA / 4}) + (n - j) * ln({1 - risk_rules.ALPHA / 4}))))
+        <= {risk_rules.DELTA} / (SELECT count(*) FROM pairs)
+),
+over AS (
+  SELECT DISTINCT v.rid FROM v
+  JOIN safe s ON s.lang IS NOT DISTINCT FROM v.lang AND s.rule = v.rule AND s.rk = 1 AND v.x > s.cut
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND rid NOT IN (SELECT rid FROM over) AS kept
+FROM b""",
+}
