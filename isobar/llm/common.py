@@ -40,6 +40,23 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hash_sample(df: DataFrame, n: int, *cols: str) -> DataFrame:
+    """At most ``n`` rows: those with the smallest hashes of ``cols``.
+
+    Rows are thinned by another hash to about ``4 n`` before they meet, so
+    what one task reads does not grow with the table.
+    """
+    share = min(1.0, 4 * n / max(df.count(), 1))
+    return (df.filter(thinned(share, *cols))
+            .orderBy(F.xxhash64(F.lit("rank"), *cols), *cols).limit(n))
+
+
+def thinned(share, *cols: str) -> Column:
+    """True for about ``share`` (a number or column) of the values of ``cols``."""
+    place = F.pmod(F.xxhash64(F.lit("thin"), *cols), F.lit(1 << 30))
+    return place < (share if isinstance(share, Column) else F.lit(share)) * (1 << 30)
+
+
 def word_count(text) -> Column:
     """Number of words; NULL text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from isobar.llm.common import small_batches
+from isobar.llm.common import small_batches, staged, thinned
 
 SEGMENT = 64
 HIDDEN = 8
@@ -199,16 +199,22 @@ def sample(documents: DataFrame, docs: int = FIT_DOCS, segments: int = FIT_SEGME
     """Training segments and their languages, from documents not held out.
 
     Only byte segments of the sampled documents leave the executors: at most
-    ``docs * segments`` per language. The per-language limit is applied
-    before the shuffle, so a frequent language costs no more.
+    ``docs * segments`` per language. Documents are counted per language and
+    thinned by a hash to about ``4 * docs`` of each before they meet, so what
+    one task reads does not grow with the corpus.
     """
+    learn = documents.filter("text is not null and lang is not null").filter(~held_out("doc_id"))
+    share = learn.groupBy(F.col("lang").alias("_lang")).agg(
+        (F.lit(4.0 * docs) / F.count(F.lit(1))).alias("_share"))
+    share = staged(share, "lang-shares")
     raw = F.col("text").cast("binary")
     n = F.greatest(F.ceil(F.length(raw) / SEGMENT).cast("int"), F.lit(1))
     part = F.array_distinct(F.array(*[F.pmod(F.xxhash64("doc_id", F.lit(j)), n) for j in range(segments)]))
-    rows = (documents.filter("text is not null and lang is not null").filter(~held_out("doc_id"))
-            .select("lang", F.xxhash64("doc_id", F.lit("fit")).alias("o"), F.col("doc_id").alias("d"),
-                    F.transform(part, lambda j: F.substring(raw, (j * SEGMENT + 1).cast("int"),
-                                                            F.lit(SEGMENT))).alias("s")))
+    # texts are cut to segments before the join, so none is ever shuffled
+    rows = learn.select("lang", F.xxhash64("doc_id", F.lit("fit")).alias("o"), F.col("doc_id").alias("d"),
+                        F.transform(part, lambda j: F.substring(raw, (j * SEGMENT + 1).cast("int"),
+                                                                F.lit(SEGMENT))).alias("s"))
+    rows = rows.join(share, F.col("lang") == F.col("_lang")).filter(thinned(F.col("_share"), "d"))
     w = Window.partitionBy("lang").orderBy("o", "d", "s")
     few = rows.withColumn("i", F.row_number().over(w)).filter(F.col("i") <= docs)
     got = [(bytes(s), r.lang) for r in few.orderBy("lang", "i").collect() for s in r.s if s]

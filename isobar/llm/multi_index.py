@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from isobar.llm.common import staged
+from isobar.llm.common import hash_sample, staged
 
 # Codebooks are fitted on at most FIT_ROWS vectors (smallest id hashes) and have at most
 # CENTROIDS entries a half; the depth is measured with PROBES of those vectors.
@@ -136,7 +136,7 @@ def build(rows: DataFrame, k: int = 20, recall: float = RECALL, centroids: int =
     Returns the index and the entries ``(id, v, c1, c2)``; (None, entries) for an empty table."""
     spark = rows.sparkSession
     rows = staged(rows, "ann-vectors")
-    fit = rows.orderBy(F.xxhash64("id", "v"), "id").limit(FIT_ROWS).collect()
+    fit = hash_sample(rows, FIT_ROWS, "id", "v").collect()
     if not fit:
         return None, rows.withColumn("c1", F.lit(0)).withColumn("c2", F.lit(0))
     x = matrix(r.v for r in fit)

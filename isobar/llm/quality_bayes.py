@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm.common import small_batches, staged
+from isobar.llm.common import hash_sample, small_batches, staged
 
 # Labelled documents the classifier is fitted on at most (those with the
 # smallest id hashes). Everything else covers all documents.
@@ -101,9 +101,9 @@ def fit(documents: DataFrame, labels: DataFrame, target: str = "quality",
     """
     spark = documents.sparkSession
     small_batches(spark)
-    few = (labels.filter(F.col(target).isNotNull() & F.col("doc_id").isNotNull())
-           .select(F.col("doc_id").cast("bigint").alias("_id"), (F.col(target) > 0).cast("int").alias("_good"))
-           .orderBy(F.xxhash64("_id"), "_id", "_good").limit(fit_rows))
+    known = labels.filter(F.col(target).isNotNull() & F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").cast("bigint").alias("_id"), (F.col(target) > 0).cast("int").alias("_good"))
+    few = hash_sample(known, fit_rows, "_id", "_good")
     few = staged(few, "quality-labels")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
