@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Sequence
 
@@ -24,10 +25,20 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Lower the session's Arrow batch size to ``rows`` if it is larger."""
+    """Make a session ready for this folder's Python functions.
+
+    Arrow batches hold at most ``rows`` rows, and Python workers find this
+    package where the driver does (a cluster whose nodes do not have it at
+    the same path gets it by ``--py-files``).
+    """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > rows:
         spark.conf.set(key, str(rows))
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

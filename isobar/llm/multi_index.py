@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from isobar.llm.common import hash_sample, staged
+from isobar.llm.common import hash_sample, small_batches, staged
 
 # Codebooks are fitted on at most FIT_ROWS vectors (smallest id hashes) and have at most
 # CENTROIDS entries a half; the depth is measured with PROBES of those vectors.
@@ -42,6 +42,7 @@ def vectors(embeddings: DataFrame, key: str = "vec_id", embedding: str = "embedd
     """``(id, v)`` of the vectors that take part, ``v`` as packed doubles. Only the
     most frequent length (the smaller of ties) can be compared; others and
     rows without an id take no part."""
+    small_batches(embeddings.sparkSession)
     ok = embeddings.filter(usable(embedding) & F.col(key).isNotNull()).select(
         F.col(key).cast("bigint").alias("id"), F.col(embedding).cast("array<double>").alias("v"))
     top = (ok.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"))
@@ -135,6 +136,7 @@ def build(rows: DataFrame, k: int = 20, recall: float = RECALL, centroids: int =
     """Fit codebooks, index every row of ``rows (id, v)`` and measure the depth.
     Returns the index and the entries ``(id, v, c1, c2)``; (None, entries) for an empty table."""
     spark = rows.sparkSession
+    small_batches(spark)
     rows = staged(rows, "ann-vectors")
     fit = hash_sample(rows, FIT_ROWS, "id", "v").collect()
     if not fit:
@@ -197,6 +199,7 @@ def search(index: Index | None, entries: DataFrame, is_query: Column, k: int = 2
     vector's copies: none of them is a candidate of a query with that id.
     """
     spark = entries.sparkSession
+    small_batches(spark)
     schema = "query_id bigint, rank int, vec_id bigint, score double"
     if index is None:
         return spark.createDataFrame([], schema)

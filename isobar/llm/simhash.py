@@ -161,6 +161,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> DataF
     two halves must then differ in one bit at most)."""
     if max_bits > 3:
         raise ValueError("two halves with one deleted bit find pairs of up to three differing bits")
+    small_batches(fps.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def flush(parts, last):
