@@ -333,7 +333,7 @@ FROM stats"""
 _LANDED_BY_DAY = _LANDED.replace("'%Y%m%d%H'", "'%Y%m%d00'")
 # the full join over all deliveries, leads up to 14 days
 ORACLE["incremental_skill"] = ("WITH" + _LANDED_BY_DAY.replace("generate_series(1, 24)",
-                                                               "generate_series(8, 336, 8)") + _STATS)
+                                                               "generate_series(24, 336, 24)") + _STATS)
 ORACLE["stream_normalised"] = ORACLE["landed_skill"]
 ORACLE["stream_upsert_late"] = _enforce_sql("user_id, event_type, date", _DATE)
 ORACLE["hourly_cycle"] = "WITH" + _LANDED_BY_DAY + """

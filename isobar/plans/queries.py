@@ -471,12 +471,12 @@ def _land_delivery(spark: SparkSession, sf_dir: str, landing: str, part: int, ma
 def incremental_skill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incremental scoring equals scoring everything (S2 S3 J3 W1 A1): events
     arrive in three deliveries, the newest ids first, so that two come
-    late; forecasts target every 8th hour up to 14 days ahead. Each run
+    late; forecasts target the same hour of the next 14 days. Each run
     normalises what is new and re-scores only the dates it touched."""
     work = scratch_path(spark, "incremental")
     landing, store = f"{work}/feed-1", f"{work}/store"
     for part in (2, 0, 1):
-        _land_delivery(spark, sf_dir, landing, part, max_lead=14 * 24, every=8)
+        _land_delivery(spark, sf_dir, landing, part, max_lead=14 * 24, every=24)
         jobs.normalize_job(spark, landing, store, TOKENS)
         stats = jobs.analyze_pending(spark, store)
     return _rounded(stats)
