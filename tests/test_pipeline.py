@@ -180,9 +180,9 @@ def test_incremental_analyze_equals_full(spark, workdir):
     files = {}
     base = 1489006920
     for i in range(4):   # four deliveries across a day boundary (local clock)
-        e = base + i * 4 * 3600
+        e = base + i * 3 * 3600
         fc = [(e + 3600 * k, 50 + (i + k) % 5, 48, 30 + k, 10 + i % 3) for k in range(1, 12)]
-        files[f"2017/03/0{8 + i // 2}/{(15 + 4 * i) % 24:02d}/feed-1-{i}"] = [
+        files[f"2017/03/0{8 + (15 + 3 * i) // 24}/{(15 + 3 * i) % 24:02d}/feed-1-{i}"] = [
             record("Avon", e, str(49.0 + i), str(47.0 + i), f"{20 + i}%", str(9.0 + i), fc),
             record("Vail", e + 60, str(39.0 - i), str(37.0), f"{40 - i}%", str(4.0 + i), fc[:5])]
     inc_store = workdir + "/inc"
