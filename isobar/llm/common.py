@@ -15,9 +15,10 @@ from isobar.session import shared_dir
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
-# Rows of one Arrow batch sent to Python: keeps a worker's memory bounded
-# when texts are long (a batch is held whole).
+# Rows and bytes of one Arrow batch sent to Python, which is held whole: keeps
+# the memory of a worker and its executor bounded when texts are long.
 ARROW_ROWS = 1000
+ARROW_BYTES = 8 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,13 +28,15 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     """Make a session ready for this folder's Python functions.
 
-    Arrow batches hold at most ``rows`` rows, and Python workers find this
-    package where the driver does (a cluster whose nodes do not have it at
-    the same path gets it by ``--py-files``).
+    Arrow batches hold at most ``rows`` rows and about ``ARROW_BYTES`` (or one
+    row), and Python workers find this package where the driver does (a
+    cluster whose nodes do not have it at the same path gets it by
+    ``--py-files``).
     """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > rows:
         spark.conf.set(key, str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{ARROW_BYTES}b")
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]

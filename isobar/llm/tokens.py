@@ -16,6 +16,14 @@ def default_paths() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+@lru_cache(maxsize=2)
+def _full(json_path: str):
+    """Loaded only by a worker that meets the special token: it is a second vocabulary in memory."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(json_path)
+
+
 @lru_cache(maxsize=2)
 def encoder(json_path: str, ranks_path: str):
     """``text -> ids`` (uint32 array), the ids that ``tokenizers`` gives for the JSON
@@ -27,17 +35,15 @@ def encoder(json_path: str, ranks_path: str):
     """
     import public_tokenizers
     import tiktoken
-    from tokenizers import Tokenizer
 
     with open(ranks_path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     fast = tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                              special_tokens={})
-    full = Tokenizer.from_file(json_path)
 
     def encode(text: str) -> np.ndarray:
         if SPECIAL in text:
-            return np.array(full.encode(text, add_special_tokens=False).ids, np.uint32)
+            return np.array(_full(json_path).encode(text, add_special_tokens=False).ids, np.uint32)
         return np.array(fast.encode_ordinary(text), np.uint32)
 
     return encode
