@@ -39,16 +39,21 @@ def features(text: str | None) -> np.ndarray:
     words = raw.split()
     lines = [x for x in raw.split(b"\n") if x.strip()]
     n_words = max(len(words), 1)
+    # words as numbers: distinct pairs and triples of a very long text are counted in arrays
+    known: dict[bytes, int] = {}
+    code = np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words))
+    pairs, pair = np.unique(code[:-1] * len(known) + code[1:], return_inverse=True)
+    triples = np.unique(pair[:-1] * len(known) + code[2:])
     other = [
         math.log1p(len(words)),
-        len(set(words)) / n_words,
-        len(set(words)) / math.sqrt(n_words),
+        len(known) / n_words,
+        len(known) / math.sqrt(n_words),
         (n - counts[32]) / n_words / 10,
-        len(set(zip(words, words[1:]))) / n_words,
+        len(pairs) / n_words,
         len(set(lines)) / max(len(lines), 1),
         math.log1p(n_words / max(len(lines), 1)),
-        sum(a == b for a, b in zip(words, words[1:])) / n_words,
-        len(set(zip(words, words[1:], words[2:]))) / n_words,
+        np.count_nonzero(code[1:] == code[:-1]) / n_words,
+        len(triples) / n_words,
         sum(map(bytes.isupper, words)) / n_words,
         float(not words),
     ]
