@@ -11,6 +11,7 @@ the depth is set so that the wanted share of their neighbours is reached.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,10 +22,12 @@ from pyspark.sql import functions as F
 
 from isobar.llm.common import hash_sample, small_batches, staged
 
-# Codebooks are fitted on at most FIT_ROWS vectors (smallest id hashes) and have at most
-# CENTROIDS entries a half; the depth is measured with PROBES of those vectors.
+# Codebooks are fitted on at most FIT_ROWS vectors (smallest id hashes); a half has from
+# CENTROIDS to MOST_CENTROIDS entries, growing with the table; the depth is measured with PROBES
+# of those vectors.
 FIT_ROWS = 20000
 CENTROIDS = 64
+MOST_CENTROIDS = 512
 PROBES = 200
 RECALL = 0.95
 BLOCK = 16384  # most vectors, and most queries, that meet in one task
@@ -72,6 +75,12 @@ def nearest_centroid(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
     return np.argmax(x @ centroids.T - 0.5 * (centroids * centroids).sum(1), 1)
 
 
+def book_size(n: int) -> int:
+    """Centroids of a half for ``n`` vectors: cells are their square, so entries of a cell
+    stay at about 256 until the codebook is at its largest."""
+    return min(MOST_CENTROIDS, max(CENTROIDS, math.isqrt(n) // 16))
+
+
 def codebook(x: np.ndarray, k: int, rounds: int = 12, seed: int = 3) -> np.ndarray:
     """k-means centroids; an empty cluster keeps its centroid."""
     rng = np.random.default_rng(seed)
@@ -132,8 +141,9 @@ def top(scores: np.ndarray, ids: np.ndarray, q: np.ndarray, x: np.ndarray, k: in
         yield ids[near[best]], exact[best]
 
 
-def build(rows: DataFrame, k: int = 20, recall: float = RECALL, centroids: int = CENTROIDS) -> tuple:
-    """Fit codebooks, index every row of ``rows (id, v)`` and measure the depth.
+def build(rows: DataFrame, k: int = 20, recall: float = RECALL, centroids: int | None = None) -> tuple:
+    """Fit codebooks of ``centroids`` entries (``book_size`` of the table if None; fewer if
+    the fitting sample is small), index every row of ``rows (id, v)`` and measure the depth.
     Returns the index and the entries ``(id, v, c1, c2)``; (None, entries) for an empty table."""
     spark = rows.sparkSession
     small_batches(spark)
@@ -142,7 +152,7 @@ def build(rows: DataFrame, k: int = 20, recall: float = RECALL, centroids: int =
     if not fit:
         return None, rows.withColumn("c1", F.lit(0)).withColumn("c2", F.lit(0))
     x = matrix(r.v for r in fit)
-    size = max(1, min(centroids, len(x) // 16))
+    size = max(1, min(centroids or book_size(rows.count()), len(x) // 16))
     books = tuple(codebook(h, size) if h.shape[1] else np.zeros((1, 0)) for h in halves(x))
     shared = spark.sparkContext.broadcast(books)
 
@@ -155,7 +165,7 @@ def build(rows: DataFrame, k: int = 20, recall: float = RECALL, centroids: int =
 
     entries = staged(rows.mapInPandas(assign, "id bigint, v binary, c1 int, c2 int"), "ann-entries")
     counts = np.zeros([len(b) for b in books], np.int64)
-    for r in entries.groupBy("c1", "c2").count().collect():  # at most CENTROIDS ** 2 rows
+    for r in entries.groupBy("c1", "c2").count().collect():  # at most MOST_CENTROIDS ** 2 rows
         counts[r.c1, r.c2] = r["count"]
     index = Index(books, counts, 0)
     ids, probes = np.array([r.id for r in fit[:PROBES]]), x[:PROBES]

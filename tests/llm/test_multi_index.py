@@ -41,6 +41,22 @@ def test_recall(spark, sf):
     check(mi.nearest(df).collect(), want, 0.9)
 
 
+def test_codebooks_grow_with_the_table_and_stay_bounded():
+    sizes = [mi.book_size(n) for n in (0, 1, 10**4, 10**6, 10**7, 10**8, 10**9, 10**12)]
+    assert sizes == sorted(sizes)
+    assert sizes[0] == mi.CENTROIDS and sizes[-1] == mi.MOST_CENTROIDS
+    assert sizes[4] > mi.CENTROIDS
+
+
+@pytest.mark.parametrize("centroids", [8, 120])
+def test_recall_at_other_codebook_sizes(spark, centroids):
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    want = brute([(r.vec_id, r.embedding) for r in df.collect()])
+    index, entries = mi.build(mi.vectors(df), centroids=centroids)
+    assert [len(b) for b in index.books] == [centroids, centroids]
+    check(mi.search(index, entries, F.col("id") % 20 == 0).collect(), want, 0.9)
+
+
 def test_heap_order_against_sorting():
     rng = np.random.default_rng(2)
     books = (rng.standard_normal((7, 3)), rng.standard_normal((5, 2)))

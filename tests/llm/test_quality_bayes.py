@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -62,3 +64,16 @@ def test_url_site(spark):
     host, path = q.url_site("url")
     assert [tuple(r) for r in df.select(host, path).collect()] == [
         ("a.example.com", "fr"), ("b.org", ""), (None, None)]
+
+
+def test_repetition_features_against_sets():
+    rng = random.Random(3)
+    for n in (0, 1, 2, 3, 40, 200_000):
+        words = [rng.choice("abcdefgh") * rng.choice([1, 2]) for _ in range(n)]
+        m = max(n, 1)
+        f = q.features(" ".join(words))
+        got = [f[-10], f[-7], f[-4], f[-3]]
+        want = [len(set(words)) / m, len(set(zip(words, words[1:]))) / m,
+                sum(a == b for a, b in zip(words, words[1:])) / m,
+                len(set(zip(words, words[1:], words[2:]))) / m]
+        assert got == want
