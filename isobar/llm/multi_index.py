@@ -5,7 +5,8 @@ a pair of centroids. A query visits cells in order of the summed scores of
 its halves, taken from a heap, until the cells visited hold enough entries,
 and all their entries are reranked exactly. How many entries are enough is
 measured: a few queries are answered by brute force over all vectors, and
-the depth is set so that the wanted share of their neighbours is reached.
+the depth is set so that the wanted share of their neighbours is reached. A
+query never stops before it has seen as many other entries as it must return.
 """
 
 from __future__ import annotations
@@ -205,7 +206,9 @@ def search(index: Index | None, entries: DataFrame, is_query: Column, k: int = 2
     ``is_query``, among all other entries, by largest inner product.
 
     Queries and entries meet per first centroid, both dealt into blocks of
-    about ``BLOCK``, so a crowded centroid is many tasks. Equal ids are one
+    about ``BLOCK``, so a crowded centroid is many tasks. A query takes cells until
+    they hold the index's depth, and at least ``k``, besides all entries of its own
+    id, so fewer than ``k`` are found only where there are fewer. Equal ids are one
     vector's copies: none of them is a candidate of a query with that id.
     """
     spark = entries.sparkSession
@@ -215,6 +218,8 @@ def search(index: Index | None, entries: DataFrame, is_query: Column, k: int = 2
         return spark.createDataFrame([], schema)
     shared = spark.sparkContext.broadcast(index)
     queries = entries.filter(is_query).select("id", "v")
+    own = queries.groupBy("id").agg(F.count(F.lit(1)).alias("own")).filter("own > 1")
+    queries = queries.join(own, "id", "left").select("id", "v", F.coalesce("own", F.lit(1)).alias("own"))
     n_queries = queries.count()
     if not n_queries:
         return spark.createDataFrame([], schema)
@@ -226,10 +231,10 @@ def search(index: Index | None, entries: DataFrame, is_query: Column, k: int = 2
         index = shared.value
         for b in batches:
             out = []
-            for q, v in zip(b["id"], b["v"]):
+            for q, v, own in zip(b["id"], b["v"], b["own"]):
                 cells: dict[int, np.ndarray] = {}
                 for c1, c2, seen in index.visit(np.frombuffer(v, "<f8")):
-                    if seen >= index.depth:
+                    if seen - own >= max(index.depth, k):
                         break
                     cells.setdefault(c1, np.zeros(len(index.books[1]), np.uint8))[c2] = 1
                 out += [(q, v, c1, np.packbits(m).tobytes()) for c1, m in cells.items()]

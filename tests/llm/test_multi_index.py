@@ -96,3 +96,25 @@ def test_copies_of_one_vector_and_blocks(spark, monkeypatch):
             assert [r.vec_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] == ids
     check(got, want, 0.9)
     assert mi.nearest(df.withColumn("embedding", F.expr("cast(embedding as array<float>)"))).count() == 600
+
+
+def tight_clusters():
+    """(id, vector) of 25 tight clusters far apart, 20 of 60 vectors and 5 of 4; every fourth id asks."""
+    rng = np.random.default_rng(6)
+    at = np.eye(5)
+    rows = [np.concatenate((at[c // 5], at[c % 5])) * 10 + 0.01 * rng.standard_normal(10)
+            for c in range(25) for _ in range(4 if c % 6 == 0 else 60)]
+    return [(20 * i if i % 4 == 0 else 20 * i + 1, v.tolist()) for i, v in enumerate(rows)]
+
+
+def test_small_cells_of_tight_clusters_still_give_k(spark, monkeypatch):
+    monkeypatch.setattr(mi, "codebook", lambda x, k: 10 * np.eye(5))  # a cell for each cluster
+    rows = tight_clusters()
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    index, entries = mi.build(mi.vectors(df))
+    assert index.depth == 1 and sorted(index.counts.ravel())[:6] == [4] * 5 + [60]
+    got = mi.search(index, entries, F.col("id") % 20 == 0).groupBy("query_id").count().collect()
+    assert {r.query_id: r["count"] for r in got} == {i: 20 for i, _ in rows if i % 20 == 0}
+    # all candidates where there are fewer
+    few = mi.nearest(df.limit(12)).groupBy("query_id").count().collect()
+    assert [r["count"] for r in few] == [11] * 3
