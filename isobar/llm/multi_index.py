@@ -144,11 +144,11 @@ def top(scores: np.ndarray, ids: np.ndarray, q: np.ndarray, x: np.ndarray, k: in
 
 def build(rows: DataFrame, k: int = 20, recall: float = RECALL, centroids: int | None = None) -> tuple:
     """Fit codebooks of ``centroids`` entries (``book_size`` of the table if None; fewer if
-    the fitting sample is small), index every row of ``rows (id, v)`` and measure the depth.
-    Returns the index and the entries ``(id, v, c1, c2)``; (None, entries) for an empty table."""
+    the fitting sample is small), index every distinct row of ``rows (id, v)`` and measure
+    the depth. Returns the index and the entries ``(id, v, c1, c2)``; (None, entries) for an empty table."""
     spark = rows.sparkSession
     small_batches(spark)
-    rows = staged(rows, "ann-vectors")
+    rows = staged(rows.distinct(), "ann-vectors")
     fit = hash_sample(rows, FIT_ROWS, "id", "v").collect()
     if not fit:
         return None, rows.withColumn("c1", F.lit(0)).withColumn("c2", F.lit(0))
@@ -208,8 +208,12 @@ def search(index: Index | None, entries: DataFrame, is_query: Column, k: int = 2
     Queries and entries meet per first centroid, both dealt into blocks of
     about ``BLOCK``, so a crowded centroid is many tasks. A query takes cells until
     they hold the index's depth, and at least ``k``, besides all entries of its own
-    id, so fewer than ``k`` are found only where there are fewer. Equal ids are one
-    vector's copies: none of them is a candidate of a query with that id.
+    id, so fewer than ``k`` are found only where there are fewer.
+
+    Entries are distinct pairs of id and vector, so a repeated row asks once and is
+    found once. Different vectors under one id are entries of their own: each asks
+    and gets its own list of ranks 1 to ``k`` under the same ``query_id``, each can be
+    found, and none is a candidate of a query with that id.
     """
     spark = entries.sparkSession
     small_batches(spark)
@@ -220,6 +224,7 @@ def search(index: Index | None, entries: DataFrame, is_query: Column, k: int = 2
     queries = entries.filter(is_query).select("id", "v")
     own = queries.groupBy("id").agg(F.count(F.lit(1)).alias("own")).filter("own > 1")
     queries = queries.join(own, "id", "left").select("id", "v", F.coalesce("own", F.lit(1)).alias("own"))
+    queries = staged(queries.withColumn("ask", F.monotonically_increasing_id()), "ann-queries")
     n_queries = queries.count()
     if not n_queries:
         return spark.createDataFrame([], schema)
@@ -231,18 +236,18 @@ def search(index: Index | None, entries: DataFrame, is_query: Column, k: int = 2
         index = shared.value
         for b in batches:
             out = []
-            for q, v, own in zip(b["id"], b["v"], b["own"]):
+            for ask, q, v, own in zip(b["ask"], b["id"], b["v"], b["own"]):
                 cells: dict[int, np.ndarray] = {}
                 for c1, c2, seen in index.visit(np.frombuffer(v, "<f8")):
                     if seen - own >= max(index.depth, k):
                         break
                     cells.setdefault(c1, np.zeros(len(index.books[1]), np.uint8))[c2] = 1
-                out += [(q, v, c1, np.packbits(m).tobytes()) for c1, m in cells.items()]
-            yield pd.DataFrame(out, columns=["id", "v", "c1", "seen"])
+                out += [(ask, q, v, c1, np.packbits(m).tobytes()) for c1, m in cells.items()]
+            yield pd.DataFrame(out, columns=["ask", "id", "v", "c1", "seen"])
 
-    asked = (queries.repartition(spark.sparkContext.defaultParallelism * 2, "id")
-             .mapInPandas(traverse, "id bigint, v binary, c1 int, seen binary")
-             .withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(query_blocks)))
+    asked = (queries.repartition(spark.sparkContext.defaultParallelism * 2, "ask")
+             .mapInPandas(traverse, "ask bigint, id bigint, v binary, c1 int, seen binary")
+             .withColumn("qb", F.pmod(F.xxhash64("ask"), F.lit(query_blocks)))
              .withColumn("eb", F.explode(F.sequence(F.lit(0), of_cell - 1))))
     listed = (entries.withColumn("eb", F.pmod(F.xxhash64("id", "v"), of_cell).cast("int"))
               .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))))
@@ -255,27 +260,27 @@ def search(index: Index | None, entries: DataFrame, is_query: Column, k: int = 2
             step = max(1, (1 << 22) // len(x))  # bounds the block of scores
             for i in range(0, len(qs), step):
                 part = qs.iloc[i:i + step]
-                q, own = matrix(part["v"]), part["id"].to_numpy()
+                q, own, ask = matrix(part["v"]), part["id"].to_numpy(), part["ask"].to_numpy()
                 seen = np.unpackbits(np.frombuffer(b"".join(part["seen"]), np.uint8).reshape(len(part), -1),
                                      axis=1)[:, :n2].astype(bool)
                 s = q @ x.T
                 s[~seen[:, c2]] = -np.inf
                 s[own[:, None] == ids[None, :]] = -np.inf
-                out += [(own[r], f, e) for r, (f, e) in enumerate(top(s, ids, q, x, k)) if len(f)]
-        return pd.DataFrame(out, columns=["query_id", "ids", "scores"])
+                out += [(ask[r], own[r], f, e) for r, (f, e) in enumerate(top(s, ids, q, x, k)) if len(f)]
+        return pd.DataFrame(out, columns=["ask", "query_id", "ids", "scores"])
 
     by = ["c1", "eb", "qb"]
     near = (asked.withColumn("qb", F.col("qb").cast("int")).groupBy(*by)
             .cogroup(listed.select("id", "v", "c1", "c2", "eb", F.col("qb").cast("int").alias("qb")).groupBy(*by))
-            .applyInPandas(rerank, "query_id bigint, ids array<bigint>, scores array<double>"))
-    flat = near.select("query_id", F.explode(F.arrays_zip("ids", "scores")).alias("x")).select(
-        "query_id", F.col("x.ids").alias("vec_id"), F.col("x.scores").alias("score"))
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+            .applyInPandas(rerank, "ask bigint, query_id bigint, ids array<bigint>, scores array<double>"))
+    flat = near.select("ask", "query_id", F.explode(F.arrays_zip("ids", "scores")).alias("x")).select(
+        "ask", "query_id", F.col("x.ids").alias("vec_id"), F.col("x.scores").alias("score"))
+    w = Window.partitionBy("ask").orderBy(F.desc("score"), "vec_id")
     return (flat.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
 
 def nearest(embeddings: DataFrame, every: int = 20, k: int = 20, recall: float = RECALL) -> DataFrame:
-    """The ``k`` nearest of each vector whose ``vec_id`` is divisible by ``every``."""
+    """The ``k`` nearest of each distinct vector whose ``vec_id`` is divisible by ``every``."""
     index, entries = build(vectors(embeddings), k, recall)
     return search(index, entries, F.col("id") % every == 0, k)

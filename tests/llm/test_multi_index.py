@@ -118,3 +118,21 @@ def test_small_cells_of_tight_clusters_still_give_k(spark, monkeypatch):
     # all candidates where there are fewer
     few = mi.nearest(df.limit(12)).groupBy("query_id").count().collect()
     assert [r["count"] for r in few] == [11] * 3
+
+
+def test_repeated_rows_ask_once_and_are_found_once(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.standard_normal(4).tolist()) for i in range(100)]
+    again = [r for r in rows if r[0] % 20 == 0] * 24 + [r for r in rows if r[0] % 3 == 0]
+    schema = "vec_id long, embedding array<double>"
+    want = brute(rows)
+    check(mi.nearest(spark.createDataFrame(rows + again, schema)).collect(), want, 0.9)
+    # another vector under a query's id: a list of its own, not mixed with the first
+    other = rng.standard_normal(4).tolist()
+    got = mi.nearest(spark.createDataFrame([*rows, (40, other)], schema)).filter("query_id = 40").collect()
+    assert sorted(r["rank"] for r in got) == sorted([*range(1, 21)] * 2)
+    assert all(r.vec_id != 40 for r in got)
+    x = dict(rows)
+    for v in (x[40], other):
+        best = max(np.dot(v, x[i]) for i in x if i != 40)
+        assert any(r["rank"] == 1 and abs(r.score - best) < 1e-12 for r in got)
