@@ -16,13 +16,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from isobar.llm.common import hash_sample, small_batches, staged
+from isobar.llm.common import hash_sample, small_batches, staged, thinned
 
 # Labelled documents the classifier is fitted on at most (those with the
-# smallest id hashes). Everything else covers all documents.
+# smallest id hashes; of an id with several texts, the smallest text hashes).
+# Everything else covers all documents.
 FIT_ROWS = 8000
 N_FEATURES = 50
 
@@ -101,14 +102,14 @@ def fit(documents: DataFrame, labels: DataFrame, target: str = "quality",
     """Fit the document classifier on at most ``fit_rows`` labelled documents.
 
     Labels that are NULL are left out; a label above 0 is good. The labelled
-    ids taken are few enough to broadcast, so no text is shuffled; a
-    repeated id counts as often as it occurs, up to the same bound.
+    ids taken are few enough to broadcast, so only their texts are shuffled.
+    Repeated labels, and repeated rows of one id and text, count once.
     """
     spark = documents.sparkSession
     small_batches(spark)
     known = labels.filter(F.col(target).isNotNull() & F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("bigint").alias("_id"), (F.col(target) > 0).cast("int").alias("_good"))
-    few = hash_sample(known, fit_rows, "_id", "_good")
+    few = hash_sample(known.distinct(), fit_rows, "_id", "_good")
     few = staged(few, "quality-labels")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -116,14 +117,33 @@ def fit(documents: DataFrame, labels: DataFrame, target: str = "quality",
             yield pd.DataFrame({"id": b["id"], "good": b["good"], "x": [features(t) for t in b["text"]]})
 
     taken = documents.select(F.col("doc_id").cast("bigint").alias("id"), "text")
-    taken = taken.join(F.broadcast(few), F.col("id") == F.col("_id"))  # at most fit_rows rows
-    rows = (taken.select("id", F.col("_good").alias("good"), "text")
+    taken = (taken.join(F.broadcast(few), F.col("id") == F.col("_id"))  # at most fit_rows labels
+             .select("id", F.col("_good").alias("good"), "text", F.xxhash64("text").alias("h")))
+    picks = _picks(staged(taken.select("id", "good", "h").distinct(), "quality-texts"), fit_rows)
+    rows = (taken.join(F.broadcast(picks), ["id", "good", "h"], "left_semi")
+            .select("id", "good", "text").distinct()
             .mapInPandas(run, "id bigint, good int, x array<double>")
-            .orderBy("id", "good", "x").limit(fit_rows).collect())
+            .orderBy("id", "good", "x").collect())
     x = np.array([r.x for r in rows]) if rows else np.zeros((0, 1))
     return fit_logistic(x, np.array([r.good for r in rows], float))
 
 
+def _picks(texts: DataFrame, n: int) -> DataFrame:
+    """At most ``n`` of the distinct ``(id, good, h)``: every id and label gives its
+    text of the smallest hash before any gives a second one, and so on.
+
+    An id with many texts is thinned before they meet, so no task holds them all.
+    """
+    by = ["id", "good"]
+    of = staged(texts.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("h").alias("_h")), "quality-ids")
+    each = 4 * math.ceil(n / max(of.count(), 1))
+    near = texts.join(F.broadcast(of), by).filter(  # at most n ids
+        (F.col("h") == F.col("_h")) | thinned(F.lit(each) / F.col("_n"), "id", "good", "h"))
+    place = F.row_number().over(Window.partitionBy(*by).orderBy("h"))
+    return (near.select(*by, "h", place.alias("_place"))
+            .orderBy("_place", F.xxhash64(F.lit("rank"), *by, "h"), *by, "h").limit(n).select(*by, "h"))
+
+
 def evidence(spark: SparkSession, model: Classifier, text: str = "text") -> Column:
     """The classifier's log odds of a good document; only the text goes to Python."""
     small_batches(spark)

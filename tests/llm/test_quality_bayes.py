@@ -59,6 +59,30 @@ def test_good_agrees_with_classify(docs, labels):
     assert {r.doc_id for r in q.good(docs, *args).collect()} == kept and 0 < len(kept) < docs.count()
 
 
+@pytest.mark.parametrize("good", [0, 1])
+@pytest.mark.parametrize("texts", [1, 300])
+def test_an_often_repeated_labelled_id_does_not_fill_the_sample(spark, good, texts):
+    tidy, noisy = "The cat sat on the mat and went away. ", "#$ %% 99 #$ !! "
+    many = [(1, (tidy if good else noisy) * (1 + i % texts)) for i in range(300)]
+    rest = [(i, (tidy if i % 2 else noisy) * (1 + i % 7)) for i in range(2, 42)]
+    documents = spark.createDataFrame(many + rest, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, good)] * 300 + [(i, i % 2) for i in range(2, 42)], "doc_id long, quality int")
+    model = q.fit(documents, labels, fit_rows=60)
+    one, *others = (model.logits(q.features(t)[None])[0] for t in (tidy * 3, noisy * 3))
+    assert one > 1 and others[0] < -1
+    rate = 1 / (1 + np.exp(-model.prior))
+    assert 0.2 < rate < 0.8
+
+
+def test_picks_deal_texts_of_ids_in_turn(spark):
+    rows = [(i, 1, i) for i in range(1, 6)] + [(9, 0, h) for h in range(100, 3100)]
+    texts = spark.createDataFrame(rows, "id long, good int, h long")
+    got = sorted(map(tuple, q._picks(texts, 8).collect()))
+    assert got[:5] == rows[:5] and len(got) == 8 and got[5] == (9, 0, 100)
+    assert sorted(map(tuple, q._picks(texts, 10_000).collect())) == sorted(rows)
+    assert sorted({r.id for r in q._picks(texts, 3).collect()}) != [9]
+
+
 def test_url_site(spark):
     df = spark.createDataFrame([("https://A.example.com:80/fr/825?page=2",), ("http://b.org",), (None,)], "url string")
     host, path = q.url_site("url")
