@@ -10,7 +10,7 @@ DuckDB SQL for the same answers.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from isobar.functions import clean, clock
@@ -459,11 +459,16 @@ def landed_skill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(verify.feed_skill(t["forecast"], t["observation"]))
 
 
+def _dealt(n: int) -> Column:
+    """The delivery of an event, from 0 to ``n - 1``: every event has one, also without an id."""
+    return F.pmod(F.coalesce(F.col("event_id"), F.lit(0)), F.lit(n))
+
+
 def _land_delivery(spark: SparkSession, sf_dir: str, landing: str, part: int, max_lead: int = 24,
                    every: int = 1) -> None:
     """Land a third of the events (by id) as one delivery, in the folder of each day's
     first hour, with forecasts for every ``every``-th hour up to ``max_lead``."""
-    ev = _spread_events(spark, sf_dir).filter(F.col("event_id") % 3 == part)
+    ev = _spread_events(spark, sf_dir).filter(_dealt(3) == part)
     raw = events_as_raw(ev, max_lead, every).withColumn("h", F.lit("00"))
     sinks.land_json(raw, landing, partition_by=HOUR_FOLDERS)
 
@@ -501,7 +506,7 @@ def stream_upsert_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     fn = upsert_fn(f"{work}/table", ["date", "user_id", "event_type"], version="ts",
                    partition_by="date", tiebreak=["event_id"])
     for part in range(5, -1, -1):
-        part_rows = ev.filter(F.col("event_id") % 6 == part)
+        part_rows = ev.filter(_dealt(6) == part)
         part_rows.coalesce(1).write.mode("append").parquet(f"{work}/in")
         stream_ingest.run_available_now(
             stream_ingest.read_files(spark, f"{work}/in", ev.schema, fmt="parquet", max_files=1),
@@ -634,7 +639,7 @@ def _reading_stream(spark: SparkSession, sf_dir: str, work: str, files: int) ->
     one to a micro-batch."""
     ev = _events(spark, sf_dir)
     for part in range(files):
-        ev.filter(F.col("event_id") % files == part).coalesce(1).write.mode("append").parquet(f"{work}/in")
+        ev.filter(_dealt(files) == part).coalesce(1).write.mode("append").parquet(f"{work}/in")
     stream = stream_ingest.read_files(spark, f"{work}/in", ev.schema, fmt="parquet", max_files=1)
     readings = speed.current(stream, key="user_id", reading="value")
     return latest_state(readings, "user_id", "ts", ["value"], tiebreak=["event_id"])

@@ -1,0 +1,16 @@
+"""Events are dealt into deliveries without loss."""
+
+from pyspark.sql import functions as F
+
+from isobar.plans import queries
+
+
+def test_events_with_null_and_negative_ids_are_delivered(spark, workdir):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").limit(40)
+    n = F.col("event_id") % 4
+    odd = F.when(n == 0, F.lit(None)).when(n == 1, -F.col("event_id")).otherwise(F.col("event_id"))
+    ev.withColumn("event_id", odd).write.parquet(f"{workdir}/events.parquet")
+    for part in range(3):
+        queries._land_delivery(spark, workdir, f"{workdir}/landing", part, max_lead=1)
+    landed = spark.read.option("recursiveFileLookup", "true").text(f"{workdir}/landing")
+    assert landed.count() == 40
