@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm import (edit_tokens, langid, mixing, multi_index, packing, quality_bayes, risk_rules, sharding,
-                        simhash, warc)
+from isobar.llm import (align, decontaminate, edit_tokens, langid, lexical, mixing, multi_index, packing,
+                        quality_bayes, risk_rules, sharding, simhash, warc)
 from isobar.llm.common import read
 
 
@@ -65,6 +65,21 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.nearest(read(spark, sf_dir, "embeddings"))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in windows of benchmark items."""
+    return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents for every benchmark item."""
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizations of every document."""
+    return align.report(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_quality": op2_quality,
@@ -76,9 +91,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_token_counts": op9_token_counts,
     "op10_ann": op10_ann,
+    "op11_decontamination": op11_decontamination,
+    "op12_search": op12_search,
+    "op13_alignment": op13_alignment,
 }
 
 _WORDS = r"[^\x20\x09-\x0D]+"
+_FOLDED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE: dict[str, str] = {
     # measures, then the same ladders, exact binomial sums and choice of cutoffs
@@ -155,4 +174,71 @@ over AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND rid NOT IN (SELECT rid FROM over) AS kept
 FROM b""",
+    # all windows of every document against all windows of every item
+    "op11_decontamination": rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         coalesce(regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents
+),
+b AS (
+  SELECT DISTINCT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+         regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL
+),
+bn AS (SELECT item, w, least(len(w), {decontaminate.SPAN}) AS n FROM b WHERE len(w) > 0),
+bw AS (
+  SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS x
+  FROM (SELECT item, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM bn)
+),
+dw AS (
+  SELECT rid, i, n, array_to_string(w[i:i + n - 1], ' ') AS x
+  FROM (SELECT rid, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i
+        FROM d, (SELECT DISTINCT n FROM bn) WHERE len(w) >= n)
+),
+hit AS (SELECT rid, i, dw.n, item FROM dw JOIN bw ON bw.n = dw.n AND bw.x = dw.x),
+place AS (
+  SELECT rid, count(DISTINCT p) AS n_hit
+  FROM (SELECT rid, unnest(generate_series(i, i + n - 1)) AS p FROM (SELECT DISTINCT rid, i, n FROM hit))
+  GROUP BY rid
+),
+named AS (
+  SELECT rid, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS s
+  FROM (SELECT DISTINCT rid, item FROM hit) GROUP BY rid
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, coalesce(s, sha256('')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN place ON place.rid = d.rid LEFT JOIN named ON named.rid = d.rid""",
+    # every document scored for every item
+    "op12_search": rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents WHERE text IS NOT NULL
+),
+t AS (SELECT count(*) AS nd, CAST(sum(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0),
+q AS (
+  SELECT row_number() OVER () AS qid, item_id,
+         regexp_extract_all({_FOLDED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)
+),
+qt AS (SELECT qid, item_id, term, count(*) AS c FROM (SELECT qid, item_id, unnest(w) AS term FROM q) GROUP BY ALL),
+p AS (
+  SELECT rid, doc_id, n, term, count(*) AS tf
+  FROM (SELECT rid, doc_id, len(w) AS n, unnest(w) AS term FROM d) GROUP BY ALL
+),
+df AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+s AS (
+  SELECT qid, item_id, rid, doc_id,
+         CAST(sum(c * CAST(floor(1000 * ln(CAST(2 * nd + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT)
+                  * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * nd) // l))))) AS BIGINT) AS score
+  FROM qt JOIN p USING (term) JOIN df USING (term), t
+  GROUP BY ALL
+),
+r AS (
+  SELECT item_id, doc_id, score,
+         row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id ASC NULLS LAST) AS rk
+  FROM s WHERE score > 0
+)
+SELECT item_id, CAST(rk AS INTEGER) AS rank, doc_id, score FROM r WHERE rk <= {lexical.K}""",
 }
