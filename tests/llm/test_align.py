@@ -1,0 +1,118 @@
+"""Operator 13 against sets of ends, and against the public tokenizers themselves."""
+
+import hashlib
+from collections import Counter
+from itertools import accumulate
+
+import public_tokenizers as P
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from isobar.llm import align as A
+
+TEXTS = ["The cat sat on the mat.", "", None, " ", "x", "naïve façade — 日本語 😀 ​", "a▁b", "<s> and </s> <unk> <0x41>",
+         "<|endoftext|> plain", "tabs\tand\n\nlines  two  blanks ", "don't can't I'll", "ﬁ ligature", "0123456789" * 40,
+         "word " * 2000, "é" * 300, "\x00\x01", "İstanbul", "ﷺ"]
+
+
+@given(st.lists(st.integers(1, 60), max_size=40), st.lists(st.integers(1, 60), max_size=40), st.integers(61, 70))
+@settings(max_examples=300, deadline=None)
+def test_runs_are_all_common_ends(x, y, end):
+    a, b = sorted({*x, end}), sorted({*y, end})
+    found = A.runs(a, b)
+    pairs = [(i + k, j + k) for i, j, n in found for k in range(n)]
+    assert [a[i] for i, _ in pairs] == sorted(set(a) & set(b)) and all(a[i] == b[j] for i, j in pairs)
+    for i, j, n in found:  # behind the first of a run, one token to one
+        assert all(a[i + k] == b[j + k] for k in range(n))
+
+
+def test_long_stretches_take_few_comparisons():
+    class Seen(list):
+        count = 0
+
+        def __getitem__(self, i):
+            Seen.count += 1
+            return list.__getitem__(self, i)
+
+    a = Seen(range(1, 100001))
+    assert A.runs(a, list(range(1, 100001))) == [(0, 0, 100000)] and Seen.count < 60
+
+
+def reference(texts):
+    """Byte ends as sets, ids by the tokenizers' own libraries."""
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    names = {i: x for x, i in t.get_vocab().items()}
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letter = {chr(c): c for c in plain}
+    letter |= {chr(256 + i): c for i, c in enumerate(c for c in range(256) if c not in plain)}
+    sp = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
+    docs = []
+    for text in texts:
+        whole = (" " + text).encode() if text else b""
+        a = t.encode(" " + text, add_special_tokens=False).ids if text else []
+        b = sp.encode(text) if text else []
+        bytes_a = [bytes(letter[c] for c in names[i]) for i in a]
+        bytes_b = [A.piece_bytes(sp.id_to_piece(i)) for i in b]
+        if b"".join(bytes_a) != whole or b"".join(bytes_b) != whole:
+            a, b, bytes_a, bytes_b = [], [], [], []
+        ends_a, ends_b = list(accumulate(map(len, bytes_a))), list(accumulate(map(len, bytes_b)))
+        both = sorted(set(ends_a) & set(ends_b))
+        groups, i, j = [], 0, 0
+        for e in both:
+            x, y = ends_a.index(e) + 1, ends_b.index(e) + 1
+            groups.append((a[i:x], b[j:y]))
+            i, j = x, y
+        docs.append((len(a), len(b), groups))
+    count = Counter((g[0][-1], g[1][-1]) for _, _, gs in docs for g in gs)
+    top = Counter()
+    for (_, y), n in count.items():
+        top[y] = max(top[y], n)
+    out = []
+    for n_a, n_b, gs in docs:
+        links = [(g[0][-1], g[1][-1]) for g in gs]
+        spelt = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in gs)
+        out.append((n_a, n_b, len(gs), len(gs), sum(count[x] == top[x[1]] for x in links), sum(count[x] for x in links),
+                    hashlib.sha256(spelt.encode()).hexdigest() if gs else ""))
+    return out
+
+
+def got(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_equals_reference(spark):
+    rows = [(i, t, "k", 1) for i, t in enumerate(TEXTS)] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, links string, n_a int")
+    want = [(r[0], *x) for r, x in zip(rows, reference([r[1] for r in rows]))]
+    assert got(A.report(df)) == sorted(want, key=str)
+
+
+def test_test_tables(spark, docs):
+    rows = docs.select("doc_id", "text").limit(60).collect()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = [(r.doc_id, *x) for r, x in zip(rows, reference([r.text for r in rows]))]
+    assert got(A.report(df)) == sorted(want, key=str)
+
+
+def test_lexicon_and_groups(spark):
+    df = spark.createDataFrame([(1, "the cat"), (2, "the dog"), (3, None)], "doc_id long, text string")
+    rows = A.aligned(df, with_tokens=True)
+    lex = {(r.a, r.b): (r.n, r.best) for r in A.lexicon(rows).collect()}
+    got_rows = {r.doc_id: r for r in rows.collect()}
+    first = got_rows[1]
+    assert lex[(first.a[0], first.b[0])] == (2, True)
+    assert [len(r.links) for r in got_rows.values()] == [len(r.ends) for r in got_rows.values()]
+    assert (first.ends[-1].a, first.ends[-1].b) == (len(first.a), len(first.b)) and got_rows[3].links == []
+
+
+@pytest.mark.parametrize("which", ["edge", "empty"])
+def test_edge_rows_and_empty_tables(spark, request, which):
+    df = request.getfixturevalue(which)
+    rows = [(r.doc_id, r.text) for r in df.collect()]
+    want = [(d, *x) for (d, _), x in zip(rows, reference([t for _, t in rows]))]
+    assert got(A.report(df)) == sorted(want, key=str)
