@@ -3,9 +3,9 @@
 Both tokenizations of a text are arrays of byte ends. Places where both end
 cut the tokens into groups. At a common place the two indices differ by some
 shift, and most groups are one token to one token, which keeps the shift. So
-the arrays are compared along the current shift in stretches of 1, 2, 4, ...
-tokens, whole slices at a time; where a stretch fails, halving finds its last
-common end. The irregular group behind it is walked token by token, the side
+the arrays are compared along the current shift, a few tokens and then
+stretches of 8, 16, 32, ... at a time; where a stretch fails, halving finds its
+last common end. The irregular group behind it is walked token by token, the side
 that ends first going on, until the ends meet again; that is the new shift.
 
 Tokens that end together are such that the bytes of one are a suffix of the
@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 
 from isobar.llm.common import small_batches, staged
 
+NEAR = 8  # tokens compared one by one before stretches are
+PART = 1 << 20  # characters of the texts aligned at a time, about
 SPACE_MARK = "▁"  # fixed value: how the piece vocabulary writes a space
 
 
@@ -46,28 +48,37 @@ def runs(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int, int]]:
     token. Both sequences must end alike."""
     out, i, j, na, nb = [], 0, 0, len(a), len(b)
     while i < na and j < nb:
-        lo, step = 0, 1
-        while True:  # a[i:i + lo] equals b[j:j + lo]
-            step = min(step, na - i - lo, nb - j - lo)
-            if step and a[i + lo:i + lo + step] == b[j + lo:j + lo + step]:
-                lo, step = lo + step, step * 2
-                continue
-            break
-        while step > 1:  # the stretch of ``step`` fails: halve it
-            step //= 2
-            if a[i + lo:i + lo + step] == b[j + lo:j + lo + step]:
-                lo += step
-        if lo:
-            out.append((i, j, lo))
-            i, j = i + lo, j + lo
-        if i < na and j < nb and a[i] != b[j]:
-            while a[i] != b[j]:
-                if a[i] < b[j]:
-                    i += 1
-                else:
-                    j += 1
-            out.append((i, j, 1))
-            i, j = i + 1, j + 1
+        x, y = i, j
+        near = min(i + NEAR, na, i + nb - j)
+        while i < near and a[i] == b[j]:
+            i += 1
+            j += 1
+        if i - x == NEAR:  # a long stretch: compare ever more at a time
+            step = NEAR
+            while True:  # all up to i and j is equal
+                step = min(step, na - i, nb - j)
+                if not step or a[i:i + step] != b[j:j + step]:
+                    break
+                i, j, step = i + step, j + step, step * 2
+            while step > 1:  # a stretch of ``step`` fails: halve it
+                step //= 2
+                if a[i:i + step] == b[j:j + step]:
+                    i, j = i + step, j + step
+        if i > x:
+            out.append((x, y, i - x))
+        if i < na and j < nb:
+            p, q = a[i], b[j]
+            if p != q:
+                while p != q:
+                    if p < q:
+                        i += 1
+                        p = a[i]
+                    else:
+                        j += 1
+                        q = b[j]
+                out.append((i, j, 1))
+                i += 1
+                j += 1
     return out
 
 
@@ -86,6 +97,10 @@ class Vocabularies:
     def __post_init__(self):
         self.size_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.size_b = np.array([len(x) for x in self.bytes_b], np.int64)
+        # decimal digits of every id, left aligned, zeros behind
+        most = max(len(self.bytes_a), len(self.bytes_b))
+        width = len(str(most))
+        self.digits = np.array([str(i) for i in range(most)], f"S{width}").view(np.uint8).reshape(-1, width)
 
 
 def piece_bytes(piece: str) -> bytes:
@@ -127,75 +142,107 @@ def vocabularies(ranks_path: str, model_path: str) -> Vocabularies:
                         link_table(bytes_a, bytes_b))
 
 
-def tokens(v: Vocabularies, text: str | None) -> tuple[list[int], list[int]]:
+def tokens(v: Vocabularies, text: str | None) -> tuple[Sequence[int], Sequence[int]]:
     """Ids of both vocabularies for a space and the text; none if the text is NULL or empty or either
     side's bytes do not give it back."""
-    if not text:
-        return [], []
-    whole = b" " + text.encode("utf-8", "surrogatepass")
-    a, b = v.encode_a(" " + text), v.encode_b(text)
-    if b"".join([v.bytes_a[i] for i in a]) != whole or b"".join([v.bytes_b[i] for i in b]) != whole:
-        return [], []
-    return a, b
+    if text:
+        whole = b" " + text.encode("utf-8", "surrogatepass")
+        a, b = v.encode_a(" " + text), v.encode_b(text)
+        if b"".join([v.bytes_b[i] for i in b]) == whole and b"".join([v.bytes_a[i] for i in a]) == whole:
+            return a, b
+    return (), ()
+
+
+@dataclass
+class Aligned:
+    """Texts one after the other: ids of both sides, tokens of each text, the last token of every
+    group on both sides, and groups of each text."""
+    a: np.ndarray
+    b: np.ndarray
+    n_a: np.ndarray
+    n_b: np.ndarray
+    last_a: np.ndarray
+    last_b: np.ndarray
+    groups: np.ndarray
+
+    @staticmethod
+    def of(v: Vocabularies, texts: list[str | None]) -> Aligned:
+        """All texts are aligned in one walk: where a text ends, both sides end."""
+        pairs = [tokens(v, t) for t in texts]
+        n_a, n_b = (np.array([len(x[k]) for x in pairs], np.int64) for k in (0, 1))
+        a, b = (np.concatenate([np.asarray(x[k], np.int64) for x in pairs] or [np.zeros(0, np.int64)])
+                for k in (0, 1))
+        found = runs(np.cumsum(v.size_a[a]).tolist(), np.cumsum(v.size_b[b]).tolist())
+        i, j, n = np.array(found, np.int64).reshape(-1, 3).T
+        inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        last_a, last_b = np.repeat(i, n) + inside, np.repeat(j, n) + inside
+        return Aligned(a, b, n_a, n_b, last_a, last_b,
+                       np.diff(np.searchsorted(last_a, np.cumsum(n_a)), prepend=0))
+
+    def spelt(self, v: Vocabularies) -> list[bytes]:
+        """``a1,a2|b1;a3|b2`` of each text, decimal ids of its groups; empty without tokens."""
+        size_a, size_b = (np.diff(x + 1, prepend=0) for x in (self.last_a, self.last_b))
+        mark = np.full(len(self.a) + len(self.b), ord(","), np.uint8)
+        # where a side's tokens stand when each group's A tokens are followed by its B tokens
+        before = np.cumsum(size_b) - size_b
+        at_a = np.arange(len(self.a)) + np.repeat(before, size_a)
+        at_b = np.arange(len(self.b)) + np.repeat(self.last_a + 1, size_b)
+        ids = np.empty(len(mark), np.int64)
+        ids[at_a], ids[at_b] = self.a, self.b
+        mark[at_a[self.last_a]] = ord("|")
+        mark[at_b[self.last_b]] = ord(";")
+        rows = np.concatenate([v.digits[ids], mark[:, None]], axis=1)
+        text = rows.ravel()
+        text = text[text != 0].tobytes()
+        ends = np.cumsum((rows != 0).sum(1))
+        ends = np.r_[0, ends][np.cumsum(self.n_a + self.n_b)]
+        return [text[lo:max(hi - 1, lo)] for lo, hi in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
 
 # ------------------------------------------------------------------------ jobs
 
 def aligned(documents: DataFrame, paths=None, with_tokens: bool = False) -> DataFrame:
     """``doc_id, n_a, n_b, groups_sha256, links`` of every document, and, if asked
-    for, ``a, b, ends``: both id lists and, for each group, where it ends in each.
-    ``links`` are places in :func:`link_table`, one for each group."""
+    for, ``a, b, last_a, last_b``: both id lists and the place of each group's last token
+    in them. ``links`` are places in :func:`link_table`, one for each group."""
     small_batches(documents.sparkSession)
     paths = paths or default_paths()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabularies(*paths)
-        many_b = len(v.bytes_b)
-        name_a, name_b = [str(i) for i in range(len(v.bytes_a))], [str(i) for i in range(many_b)]
         for batch in batches:
-            n_a, n_b, sha, links, lists_a, lists_b, ends = [], [], [], [], [], [], []
-            for text in batch.column("text"):
-                a, b = tokens(v, text.as_py())
-                stretches = runs(np.cumsum(v.size_a[a]).tolist(), np.cumsum(v.size_b[b]).tolist()) if a else []
-                groups, at_a, at_b, i, j = [], [], [], 0, 0
-                for x, y, n in stretches:
-                    # the first group of a stretch may have several tokens, the others have one of each
-                    groups.append(",".join([name_a[t] for t in a[i:x + 1]]) + "|"
-                                  + ",".join([name_b[t] for t in b[j:y + 1]]))
-                    i, j = x + n, y + n
-                    groups += [name_a[s] + "|" + name_b[t] for s, t in zip(a[x + 1:i], b[y + 1:j])]
-                    at_a += a[x:i]
-                    at_b += b[y:j]
-                    if with_tokens:
-                        ends += [{"a": x + k + 1, "b": y + k + 1} for k in range(n)]
-                n_a.append(len(a))
-                n_b.append(len(b))
-                sha.append(hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else "")
-                keys = np.array(at_a, np.int64) * many_b + np.array(at_b, np.int64)
-                links.append(np.searchsorted(v.keys, keys).astype(np.int32))
-                if with_tokens:
-                    lists_a.append(a)
-                    lists_b.append(b)
-            cols = {"doc_id": batch.column("doc_id"), "n_a": pa.array(n_a, pa.int64()),
-                    "n_b": pa.array(n_b, pa.int64()), "groups_sha256": pa.array(sha, pa.string()),
-                    "links": pa.array(links, pa.list_(pa.int32()))}
-            if with_tokens:
-                cols |= {"a": pa.array(lists_a, pa.list_(pa.int32())), "b": pa.array(lists_b, pa.list_(pa.int32())),
-                         "ends": pa.array(ends_of(links, ends), pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))}
-            yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
+            texts = batch.column("text").to_pylist()
+            # texts of about PART characters together; a longer one alone
+            part = np.cumsum([len(t or "") for t in texts]) // PART
+            for lo, hi in spans(part):
+                yield _row_batch(v, batch.column("doc_id").slice(lo, hi - lo), texts[lo:hi], with_tokens)
 
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    more = ", a array<int>, b array<int>, ends array<struct<a:int,b:int>>" if with_tokens else ""
+    more = ", a array<int>, b array<int>, last_a array<int>, last_b array<int>" if with_tokens else ""
     return rows.mapInArrow(run, "doc_id bigint, n_a bigint, n_b bigint, groups_sha256 string, links array<int>" + more)
 
 
-def ends_of(links: list, ends: list) -> list[list]:
-    """The batch's group ends dealt back to its documents, as many as each has links."""
-    out, at = [], 0
-    for x in links:
-        out.append(ends[at:at + len(x)])
-        at += len(x)
-    return out
+def spans(part: np.ndarray) -> list[tuple[int, int]]:
+    """Bounds of the stretches of equal numbers."""
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+    return [x for x in zip(cuts, cuts[1:]) if x[0] < x[1]]
+
+
+def _row_batch(v: Vocabularies, doc_id: pa.Array, texts: list[str | None], with_tokens: bool) -> pa.RecordBatch:
+    x = Aligned.of(v, texts)
+    links = np.searchsorted(v.keys, x.a[x.last_a] * len(v.bytes_b) + x.b[x.last_b])
+
+    def lists(values: np.ndarray, size: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)], pa.int32()), pa.array(values, pa.int32()))
+
+    cols = {"doc_id": doc_id, "n_a": pa.array(x.n_a), "n_b": pa.array(x.n_b),
+            "groups_sha256": pa.array([hashlib.sha256(g).hexdigest() if g else "" for g in x.spelt(v)], pa.string()),
+            "links": lists(links, x.groups)}
+    if with_tokens:
+        first_a, first_b = (np.repeat(np.cumsum(n) - n, x.groups) for n in (x.n_a, x.n_b))
+        cols |= {"a": lists(x.a, x.n_a), "b": lists(x.b, x.n_b), "last_a": lists(x.last_a - first_a, x.groups),
+                 "last_b": lists(x.last_b - first_b, x.groups)}
+    return pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
 
 
 def link_counts(rows: DataFrame) -> DataFrame:
