@@ -96,6 +96,25 @@ def needed_groups(counted: DataFrame, keys: Sequence[str], group_order: Column,
             .filter(F.col("_before") < n).drop("_g", "_before"))
 
 
+def running(df: DataFrame, order: Sequence[str], totals: dict[str, Column]) -> DataFrame:
+    """All rows in the order of the columns ``order``, with a bigint column for each of ``totals``: the sum of
+    its expression over all rows before. One range-partitioned sort, staged;
+    only the totals of partitions are added up in one place."""
+    s = staged(df.withColumns({f"_of_{n}": c.cast("bigint") for n, c in totals.items()})
+               .repartitionByRange(*order).sortWithinPartitions(*order)
+               .withColumn("_id", F.monotonically_increasing_id()), "running")
+    # the id is the partition in the upper bits, the place in it in the lower 33
+    s = s.withColumn("_p", F.shiftright("_id", 33))
+    earlier = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (s.groupBy("_p").agg(*[F.sum(f"_of_{n}").alias(f"_sum_{n}") for n in totals])
+              .select("_p", *[F.coalesce(F.sum(f"_sum_{n}").over(earlier), F.lit(0)).alias(f"_start_{n}")
+                              for n in totals]))
+    inside = Window.partitionBy("_p").orderBy("_id").rowsBetween(Window.unboundedPreceding, -1)
+    out = s.join(starts, "_p").withColumns({
+        n: F.col(f"_start_{n}") + F.coalesce(F.sum(f"_of_{n}").over(inside), F.lit(0)) for n in totals})
+    return out.drop("_id", "_p", *[f"{x}{n}" for n in totals for x in ("_of_", "_start_")])
+
+
 def number_rows(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     """Number all rows from 0 without gaps in the order of the columns
     ``order``: one range-partitioned sort, staged; only one count per

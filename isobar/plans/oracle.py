@@ -333,7 +333,7 @@ FROM stats"""
 _LANDED_BY_DAY = _LANDED.replace("'%Y%m%d%H'", "'%Y%m%d00'")
 # the full join over all deliveries, leads up to 14 days
 ORACLE["incremental_skill"] = ("WITH" + _LANDED_BY_DAY.replace("generate_series(1, 24)",
-                                                               "generate_series(24, 336, 24)") + _STATS)
+                                                               "generate_series(8, 336, 8)") + _STATS)
 ORACLE["stream_normalised"] = ORACLE["landed_skill"]
 ORACLE["stream_upsert_late"] = _enforce_sql("user_id, event_type, date", _DATE)
 ORACLE["hourly_cycle"] = "WITH" + _LANDED_BY_DAY + """
@@ -377,14 +377,17 @@ WITH ev AS (
   SELECT *, CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS h FROM events
 ),
 a AS (
-  SELECT user_id, h, count(*) AS n_obs, avg(value) AS t, avg(value / 10) AS w
+  SELECT user_id, h, count(*) AS n_obs, avg(value) AS t, avg(value / 10) AS w,
+         avg(CAST(trunc(CAST(props::JSON->>'$.k' AS DOUBLE)) AS INTEGER)) AS hu, avg(CAST(trunc(value) AS INTEGER)) AS fl
   FROM ev GROUP BY user_id, h
 ),
 f AS (SELECT *, CAST(l AS INTEGER) AS fhours
-      FROM (SELECT *, unnest(generate_series(1, 3)) AS l FROM ev))
+      FROM (SELECT *, unnest(generate_series(1, 24)) AS l FROM ev))
 SELECT f.event_id, f.fhours, a.n_obs,
        round(a.t - CAST(trunc(f.value) AS INTEGER), 6) AS "tempD",
-       round(a.w - CAST(trunc(f.value / 10) AS INTEGER), 6) AS "wind_mphD"
+       round(a.hu - CAST(trunc(CAST(f.props::JSON->>'$.k' AS DOUBLE)) AS INTEGER), 6) AS "humidityD",
+       round(a.w - CAST(trunc(f.value / 10) AS INTEGER), 6) AS "wind_mphD",
+       round(a.fl - CAST(trunc(f.value) AS INTEGER), 6) AS "feelslikeD"
 FROM f JOIN a ON a.user_id = f.user_id AND a.h = f.h + f.l * 3600"""
 ORACLE["index_patch"] = """
 SELECT slug, '&nbsp;&nbsp;' || CAST(round(CAST(value AS DECIMAL(18, 2)), 1) AS VARCHAR)

@@ -1,17 +1,17 @@
-"""Table sinks: versioned publish (S7), committed keyed tables, landing JSON.
+"""Table sinks: committed tables (S7), landing JSON.
 
-Two kinds of tables, both immutable files made visible by one small commit:
-
-* *versions* (``write_table`` / ``read_latest``): ``<root>/<name>/v<ms>-<id>``,
-  complete once Spark's ``_SUCCESS`` marker is in it;
-* *committed tables* (``merge_into`` / ``replace_parts`` / ``read_table``): each
-  write adds folders ``<part>=<value>/ver=<id>`` (or ``ver=<id>``) and then one
-  file under ``_commits`` that names the current folder of every part.
-
-Readers take the newest commit, so they never see half a write, a crash
-before the commit changes nothing, and nothing that is being read is ever
+A table is immutable files made visible by small numbered commits. Each write
+adds a folder ``ver=<id>`` (with ``<part>=<value>`` in it) and then creates the
+file of the next number under ``_commits``, which names the current folder of
+every part. Readers take the highest number, so they never see half a write, a
+crash before the commit changes nothing, and nothing that is being read is ever
 overwritten or removed. Old files go only when :func:`vacuum` is called.
-One writer per table at a time.
+
+Any number of writers may work at a time. A commit file is created only if
+there is none, so of two writers one is first. The other looks at what
+changed: if those were other parts it commits on top; if they were the parts
+that it had read, it does its work again on what is there now
+(:func:`rewrite`, :func:`merge_into`). No clock is compared.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,84 +33,92 @@ VERSION = "ver"  # folder level (and hidden partition column) of a write
 NULL_PART = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's folder name for NULL
 
 
-def stamp() -> str:
-    return f"{time.time_ns() // 1000:020d}-{uuid.uuid4().hex[:8]}"
-
-
-# -------------------------------------------------------------------- versions
-
-def _versions(spark: SparkSession, table_dir: str) -> list[str]:
-    return sorted(d for d in fs.list_dirs(spark, table_dir)
-                  if d.rsplit("/", 1)[-1].startswith("v")
-                  and fs.exists(spark, f"{d}/_SUCCESS"))
-
+class Conflict(RuntimeError):
+    """Another writer changed what a replacement was computed from."""
 
-def latest_version(spark: SparkSession, root: str, name: str) -> str | None:
-    v = _versions(spark, f"{root.rstrip('/')}/{name}")
-    return v[-1] if v else None
 
+# --------------------------------------------------------------------- commits
 
-def write_table(df: DataFrame, root: str, name: str, partition_by=None) -> str:
-    """Write ``df`` as a new version of table ``name`` and return its
-    path. Older versions stay (see :func:`vacuum`)."""
-    path = f"{root.rstrip('/')}/{name}/v{stamp()}"
-    w = df.write.mode("errorifexists")
-    if partition_by:
-        w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
-    w.parquet(path)
-    return path
+def commits(spark: SparkSession, path: str) -> list[str]:
+    return sorted(n for n in fs.list_names(spark, f"{path}/{COMMITS}")
+                  if n.startswith("v") and n.endswith(".json"))
 
 
-def read_latest(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    """S6 on a versioned table: the newest complete version, or None."""
-    v = latest_version(spark, root, name)
-    return spark.read.parquet(v) if v else None
+def newest(spark: SparkSession, path: str) -> tuple[int, dict | None]:
+    """Number and content of the newest commit; ``(0, None)`` if nothing was ever committed."""
+    c = commits(spark, path)
+    return (int(c[-1][1:-5]), json.loads(fs.read_text(spark, f"{path}/{COMMITS}/{c[-1]}"))) if c else (0, None)
 
 
-# ------------------------------------------------------------ committed tables
+def try_commit(spark: SparkSession, path: str, after: int, content: dict) -> bool:
+    """Make ``content`` the commit that follows number ``after``, unless another writer did."""
+    return fs.create_new(spark, f"{path}/{COMMITS}/v{after + 1:020d}.json", json.dumps(content))
 
-def commits(spark: SparkSession, path: str) -> list[str]:
-    return sorted(n for n in fs.list_names(spark, f"{path}/{COMMITS}")
-                  if n.startswith("v") and n.endswith(".json"))
 
+# ---------------------------------------------------------------------- tables
 
 def manifest(spark: SparkSession, path: str) -> dict | None:
     """The newest commit: ``schema``, ``partition_by`` and ``parts``, a list of
     ``[value, folder]``; None if nothing was ever committed."""
-    c = commits(spark, path)
-    return json.loads(fs.read_text(spark, f"{path}/{COMMITS}/{c[-1]}")) if c else None
+    return newest(spark, path)[1]
+
+
+def _parts(m: dict | None) -> dict:
+    return {} if m is None else {v: f for v, f in m["parts"]}
 
 
 def intact(spark: SparkSession, path: str) -> bool:
     """Whether the table was committed and all folders of the commit are there."""
     m = manifest(spark, path)
+    return m is not None and not lost_parts(spark, path)
+
+
+def lost_parts(spark: SparkSession, path: str) -> list:
+    """Parts of the newest commit whose folder is gone."""
+    m = manifest(spark, path)
     if m is None:
-        return False
+        return []
     there = set(fs.glob_names(spark, path, "*/*" if m["partition_by"] else "*"))
-    return all(folder in there for _, folder in m["parts"])
+    return [v for v, folder in m["parts"] if folder not in there]
 
 
-def read_parts(spark: SparkSession, path: str, parts: Sequence | None = None) -> DataFrame | None:
-    """S6 on a committed table, typed as written; None if there is none.
-
-    ``parts`` lists the partition values wanted (None among them is the NULL
-    partition): only their folders are listed and opened.
-    """
-    m = manifest(spark, path)
+def _read(spark: SparkSession, path: str, m: dict | None, parts: Sequence | None = None) -> DataFrame | None:
     if m is None:
         return None
     schema = StructType.fromJson(m["schema"])
-    folders = [f for v, f in m["parts"] if parts is None or v in set(parts)]
+    wanted = None if parts is None else set(parts)
+    folders = [f for v, f in m["parts"] if wanted is None or v in wanted]
     if not folders:
         return spark.createDataFrame([], schema)
     df = spark.read.schema(schema).option("basePath", path).parquet(*[f"{path}/{f}" for f in folders])
     return df.select(*schema.fieldNames())
 
 
-def _commit(spark: SparkSession, path: str, schema: StructType, partition_by: str | None,
-            parts: dict) -> None:
-    fs.write_text(spark, f"{path}/{COMMITS}/v{stamp()}.json", json.dumps(
-        {"schema": schema.jsonValue(), "partition_by": partition_by, "parts": list(parts.items())}))
+def read_parts(spark: SparkSession, path: str, parts: Sequence | None = None) -> DataFrame | None:
+    """S6 on a committed table, typed as written; None if there is none.
+
+    ``parts`` lists the partition values wanted (None among them is the NULL
+    partition): only their folders are listed and opened.
+    """
+    return _read(spark, path, manifest(spark, path), parts)
+
+
+def _commit(spark: SparkSession, path: str, base: tuple[int, dict | None], schema: StructType,
+            partition_by: str | None, values: Sequence | None, written: dict, checked: bool) -> bool:
+    """Replace the parts ``values`` (None: all) by the folders ``written``, as a commit
+    after ``base``. If there are newer commits, the parts they changed
+    are kept; False if one of ``values`` is among them and ``checked`` is asked for."""
+    number, m = base
+    before, gone = _parts(m), None if values is None else set(values)
+    while True:
+        now = _parts(m)
+        if checked and now != before and (gone is None or any(now.get(v) != before.get(v) for v in gone)):
+            return False
+        kept = {} if gone is None else {v: f for v, f in now.items() if v not in gone}
+        if try_commit(spark, path, number, {"schema": schema.jsonValue(), "partition_by": partition_by,
+                                            "parts": list({**kept, **written}.items())}):
+            return True
+        number, m = newest(spark, path)
 
 
 def rebalanced(df: DataFrame, *cols: str) -> DataFrame:
@@ -121,39 +129,67 @@ def rebalanced(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def _write(df: DataFrame, path: str, partition_by: str | None) -> dict:
-    """Write a new folder per part; returns part value -> folder."""
-    spark, ver = df.sparkSession, stamp()
-    out = (rebalanced(df, partition_by) if partition_by else df).withColumn(VERSION, F.lit(ver))
-    by = [partition_by, VERSION] if partition_by else [VERSION]
-    out.write.mode("append").partitionBy(*by).parquet(path)
+    """Write a new folder, with one in it per part; returns part value -> folder. No other
+    writer uses that folder, so writers do not meet in Spark's temporary files."""
+    spark, folder = df.sparkSession, f"{VERSION}={uuid.uuid4().hex}"
     if not partition_by:
-        return {None: f"{VERSION}={ver}"} if fs.exists(spark, f"{path}/{VERSION}={ver}") else {}
+        df.write.parquet(f"{path}/{folder}")
+        return {None: folder}
+    rebalanced(df, partition_by).write.partitionBy(partition_by).parquet(f"{path}/{folder}")
     parts = {}
-    for folder in fs.glob_names(spark, path, f"{partition_by}=*/{VERSION}={ver}"):
-        value = folder.split("/")[0].partition("=")[2]
-        parts[None if value == NULL_PART else unquote(value)] = folder
+    for part in fs.glob_names(spark, path, f"{folder}/{partition_by}=*"):
+        value = part.split("/")[1].partition("=")[2]
+        parts[None if value == NULL_PART else unquote(value)] = part
     return parts
 
 
 def write_parts(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Replace the whole committed table by ``df``."""
-    _commit(df.sparkSession, path, df.schema, partition_by, _write(df, path, partition_by))
+    """Replace the whole table by ``df``. Of several writers the last one stays."""
+    base = newest(df.sparkSession, path)
+    _commit(df.sparkSession, path, base, df.schema, partition_by, None, _write(df, path, partition_by), False)
+
+
+def write_table(df: DataFrame, root: str, name: str, partition_by: str | None = None) -> str:
+    """Publish ``df`` as the next version of table ``name``; returns its path."""
+    path = f"{root.rstrip('/')}/{name}"
+    write_parts(df, path, partition_by)
+    return path
+
+
+def read_latest(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """S6 on a published table: the newest version, or None."""
+    return read_parts(spark, f"{root.rstrip('/')}/{name}")
 
 
-def replace_parts(df: DataFrame, path: str, partition_by: str, values: Sequence) -> None:
+def replace_parts(df: DataFrame, path: str, partition_by: str, values: Sequence,
+                  base: tuple[int, dict | None] | None = None) -> None:
     """Replace the parts ``values`` by the rows of ``df``, which are all in them; a
-    part without rows goes."""
-    m = manifest(df.sparkSession, path)
-    old = {} if m is None else {v: f for v, f in m["parts"] if v not in set(values)}
-    _commit(df.sparkSession, path, df.schema, partition_by, {**old, **_write(df, path, partition_by)})
+    part without rows goes. With ``base``, the :func:`newest` commit when
+    ``df`` was planned, raises :class:`Conflict` if one of the parts changed since."""
+    spark = df.sparkSession
+    if not _commit(spark, path, base or newest(spark, path), df.schema, partition_by, values,
+                   _write(df, path, partition_by), base is not None):
+        raise Conflict(path)
+
+
+def rewrite(spark: SparkSession, path: str, build: Callable[[DataFrame | None], DataFrame],
+            partition_by: str | None = None, values: Sequence | None = None) -> None:
+    """Replace the parts ``values`` (None: the whole table) by ``build(rows)``, where ``rows`` are the
+    parts' current rows (None before the first commit). If another writer changes them meanwhile it is
+    built again from the new ones, so no update is lost."""
+    while True:
+        base = newest(spark, path)
+        df = build(_read(spark, path, base[1], values))
+        if _commit(spark, path, base, df.schema, partition_by, values, _write(df, path, partition_by), True):
+            return
 
 
 def merge_into(new: DataFrame, path: str, keys, version: str = "source",
                partition_by: str | None = None, tiebreak=None) -> list:
     """Keyed upsert of ``new`` into the committed table at ``path``: per key
     the row with the highest ``version`` wins (W1), whatever the arrival
-    order, so that repeating a merge changes nothing. Returns the partition
-    values touched.
+    order, so that repeating a merge changes nothing, and merges at the same time
+    give what one after the other gives. Returns the partition values touched.
 
     With ``partition_by`` (a column of every key, e.g. the date) only the
     parts that the new rows touch are opened and rewritten. Their values are
@@ -162,44 +198,74 @@ def merge_into(new: DataFrame, path: str, keys, version: str = "source",
     """
     from isobar.operators.keys import enforce
 
-    spark = new.sparkSession
     touched = None
     if partition_by:
         touched = [r[0] for r in new.select(partition_by).distinct().collect()]
-    current = read_parts(spark, path, touched)
-    rows = new if current is None else current.select(*new.columns).unionByName(new)
-    merged = enforce(rows, keys, version, tiebreak)
-    if partition_by:
-        replace_parts(merged, path, partition_by, touched)
-    else:
-        write_parts(merged, path)
+    rewrite(new.sparkSession, path, lambda current: enforce(
+        new if current is None else current.select(*new.columns).unionByName(new), keys, version, tiebreak),
+        partition_by, touched)
     return touched or []
 
 
+# ----------------------------------------------------------------------- marks
+
+def marks(spark: SparkSession, path: str) -> dict[str, str]:
+    """A small set kept in commits alone: value -> token of the writer that marked it last."""
+    now = newest(spark, path)[1]
+    return {} if now is None else dict(now["marks"])
+
+
+def mark(spark: SparkSession, path: str, values: Sequence[str], token: str) -> None:
+    _edit_marks(spark, path, lambda now: {**now, **{v: token for v in values}})
+
+
+def unmark(spark: SparkSession, path: str, seen: dict[str, str]) -> None:
+    """Take away the marks of ``seen`` that nobody renewed."""
+    _edit_marks(spark, path, lambda now: {v: t for v, t in now.items() if seen.get(v) != t})
+
+
+def _edit_marks(spark: SparkSession, path: str, edit: Callable[[dict], dict]) -> None:
+    while True:
+        number, now = newest(spark, path)
+        before = {} if now is None else now["marks"]
+        after = edit(before)
+        if after == before or try_commit(spark, path, number, {"marks": after}):
+            return
+
+
+# ---------------------------------------------------------------------- vacuum
+
 def vacuum(spark: SparkSession, path: str, older_than_s: float = 7 * 86400) -> int:
-    """Remove what is superseded since ``older_than_s`` seconds: versions, commits and
-    the folders that only those commits name. The newest state always stays.
-    Never run by the jobs; call it when nothing older is being read."""
-    limit = f"v{int((time.time() - older_than_s) * 1e6):020d}"
-    removed = 0
-    for d in _versions(spark, path)[:-1]:
-        if d.rsplit("/", 1)[-1] < limit:
-            fs.delete(spark, d)
-            removed += 1
-    names = commits(spark, path)
+    """Remove what is superseded since ``older_than_s`` seconds: commits, and the folders that
+    only those commits name. The newest state always stays. Jobs call it with the
+    default; call it with less only when nothing older is being read."""
+    limit = time.time() * 1000 - older_than_s * 1000
+    made = fs.modified(spark, f"{path}/{COMMITS}")
+    names = [n for n in sorted(made) if n.startswith("v") and n.endswith(".json")]
     # a commit is superseded when the next one is made
-    gone = [a for a, b in zip(names, names[1:]) if b < limit]
+    gone = {a for a, b in zip(names, names[1:]) if made[b] <= limit}
+    if not gone:
+        return 0
 
     def folders(commit):
-        return {f for _, f in json.loads(fs.read_text(spark, f"{path}/{COMMITS}/{commit}"))["parts"]}
-
-    keep = set().union(*[folders(n) for n in names if n not in gone]) if names else set()
-    for n in gone:
-        for f in folders(n) - keep:
+        return commit_folders(json.loads(fs.read_text(spark, f"{path}/{COMMITS}/{commit}")))
+
+    named = {n: folders(n) for n in names}
+    keep = set().union(*[named[n] for n in names if n not in gone])
+    drop = set().union(*[named[n] for n in gone]) - keep
+    for f in sorted(drop):
+        fs.delete(spark, f"{path}/{f}")
+    for f in {f.split("/")[0] for f in drop if "/" in f}:
+        if not fs.list_dirs(spark, f"{path}/{f}"):  # the write has no part left
             fs.delete(spark, f"{path}/{f}")
-            removed += 1
+    for n in sorted(gone):
         fs.delete(spark, f"{path}/{COMMITS}/{n}")
-    return removed
+    return len(drop)
+
+
+def commit_folders(content: dict) -> set[str]:
+    """Folders that a commit of a table, of a text table or of marks names."""
+    return {f for _, f, *_ in content.get("parts", [])}
 
 
 # --------------------------------------------------------------------- landing

@@ -44,9 +44,10 @@ def test_a_crash_at_any_commit_is_redone(spark, workdir, whole, monkeypatch, ste
         calls.append(args[1])
         if len(calls) == step + 1 and when == "before":
             raise RuntimeError("lost")
-        commit(*args)
+        done = commit(*args)
         if len(calls) == step + 1:
             raise RuntimeError("lost")
+        return done
 
     monkeypatch.setattr(sinks, "_commit", dying)
     with pytest.raises(RuntimeError):

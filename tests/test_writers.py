@@ -1,0 +1,229 @@
+"""Several writers of one table at a time: nothing is lost."""
+
+import os
+import threading
+
+import pytest
+from pyspark.sql import functions as F
+
+from isobar.operators import speed
+from isobar.plans import jobs
+from isobar.sources import fs, sinks
+from isobar.streaming import patch
+from tests.feed_fixture import FILE_A, FILE_B, FILE_C, TOKENS, write_avon
+
+SCHEMA = "p string, k int, source int, v string"
+
+
+def rows(spark, path):
+    return sorted(map(tuple, sinks.read_parts(spark, path).collect()))
+
+
+def interleaved(monkeypatch, other, at=1):
+    """Runs ``other`` when the ``at``-th commit file is about to be created."""
+    create, calls = fs.create_new, []
+
+    def wrapped(spark, path, text):
+        calls.append(path)
+        if len(calls) == at:
+            other()
+        return create(spark, path, text)
+
+    monkeypatch.setattr(fs, "create_new", wrapped)
+    return calls
+
+
+def test_a_commit_file_is_created_once(spark, workdir):
+    path = f"{workdir}/t/_commits/v1.json"
+    assert fs.create_new(spark, path, "a") and not fs.create_new(spark, path, "b")
+    assert fs.read_text(spark, path) == "a" and fs.list_names(spark, f"{workdir}/t/_commits") == ["v1.json"]
+
+
+def test_two_merges_of_one_date(spark, workdir, monkeypatch):
+    path = workdir + "/t"
+
+    def merge(*values):
+        return sinks.merge_into(spark.createDataFrame(list(values), SCHEMA), path, ["p", "k"], partition_by="p")
+
+    merge(("a", 1, 1, "old"), ("b", 1, 1, "old"))
+    calls = interleaved(monkeypatch, lambda: merge(("a", 1, 3, "newest"), ("a", 3, 1, "other")))
+    merge(("a", 1, 2, "new"), ("a", 2, 1, "mine"))
+    assert rows(spark, path) == [("a", 1, 3, "newest"), ("a", 2, 1, "mine"), ("a", 3, 1, "other"), ("b", 1, 1, "old")]
+    assert len(calls) == 3  # refused once for its number, the work done again
+
+
+def test_two_merges_of_different_dates_are_not_done_again(spark, workdir, monkeypatch):
+    path = workdir + "/t"
+
+    def merge(*values):
+        return sinks.merge_into(spark.createDataFrame(list(values), SCHEMA), path, ["p", "k"], partition_by="p")
+
+    merge(("a", 1, 1, "old"))
+    built = []
+    from isobar.operators import keys
+    enforce = keys.enforce
+    monkeypatch.setattr(keys, "enforce", lambda *a: built.append(1) or enforce(*a))
+    interleaved(monkeypatch, lambda: merge(("b", 1, 1, "other")))
+    merge(("a", 1, 2, "new"), ("c", 1, 1, "mine"))
+    assert rows(spark, path) == [("a", 1, 2, "new"), ("b", 1, 1, "other"), ("c", 1, 1, "mine")] and len(built) == 2
+
+
+def test_a_replacement_of_what_was_read_is_refused(spark, workdir):
+    path = workdir + "/t"
+    one = spark.createDataFrame([("a", 1, 1, "x")], SCHEMA)
+    sinks.write_parts(one, path, "p")
+    at = sinks.newest(spark, path)
+    sinks.replace_parts(one, path, "p", ["a"])
+    with pytest.raises(sinks.Conflict):
+        sinks.replace_parts(one, path, "p", ["a"], at)
+    sinks.replace_parts(one.withColumn("p", F.lit("b")), path, "p", ["b"], at)
+    assert [r[0] for r in rows(spark, path)] == ["a", "b"]
+
+
+def test_many_writers_at_once(spark, workdir):
+    path, found = workdir + "/t", []
+
+    def write(i):
+        sinks.merge_into(spark.createDataFrame([("a", i, 1, "x"), ("a", 0, i, str(i))], SCHEMA), path, ["p", "k"],
+                         partition_by="p")
+        found.append(i)
+
+    threads = [threading.Thread(target=write, args=(i,)) for i in range(1, 6)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert rows(spark, path) == [("a", 0, 5, "5"), *[("a", i, 1, "x") for i in range(1, 6)]] and len(found) == 5
+
+
+def test_commit_order_needs_no_clock(spark, workdir, monkeypatch):
+    path = workdir + "/t"
+    sinks.write_parts(spark.range(1), path)
+    monkeypatch.setattr(sinks.time, "time", lambda: 0.0)
+    monkeypatch.setattr(sinks.time, "time_ns", lambda: 0)
+    sinks.write_parts(spark.range(2), path)
+    assert sinks.read_parts(spark, path).count() == 2
+
+
+def texts(spark, path):
+    return dict(map(tuple, patch.read_text_table(spark, path).collect()))
+
+
+def pages(spark, n, reading, version=None):
+    html = F.concat(F.lit("<h2>"), F.lit(reading), F.lit("&deg;F</h2>"))
+    df = spark.range(n).select(F.concat(F.lit("t"), "id").alias("slug"), html.alias("html"))
+    return df if version is None else df.withColumn("version", F.lit(version))
+
+
+def batch(spark, keys, reading, version):
+    return spark.createDataFrame([(f"t{k}", reading, version) for k in keys], "slug string, temp double, ts long")
+
+
+def patcher(path, version="ts"):
+    return patch.patch_texts({path: (speed.heading_pattern, speed.heading_replacement)}, version=version)
+
+
+@pytest.mark.parametrize("at", [1, 2])
+def test_publish_and_patch_at_the_same_time(spark, workdir, monkeypatch, at):
+    """Whichever commits first, published pages are there and newer readings are in them."""
+    path = workdir + "/pages"
+    patch.publish_text(pages(spark, 20, "1.0", 100), path, "slug", "version")
+    publish = lambda: patch.publish_text(pages(spark, 30, "5.0", 200), path, "slug", "version")
+    apply = lambda: patcher(path)(batch(spark, range(5), 9.0, 300), 1)
+    first, second = (publish, apply) if at == 1 else (apply, publish)
+    interleaved(monkeypatch, first)
+    second()
+    got = texts(spark, path)
+    assert [got[f"t{i}"] for i in range(30)] == ["<h2>9.0&deg;F</h2>"] * 5 + ["<h2>5.0&deg;F</h2>"] * 25
+
+
+def test_a_report_does_not_undo_newer_readings_nor_keep_older_ones(spark, workdir):
+    path = workdir + "/pages"
+    patcher(path)(batch(spark, [0], 7.0, 500), 0)  # before anything is published
+    assert patch.read_text_table(spark, path) is None
+    patch.publish_text(pages(spark, 3, "1.0", 100), path, "slug", "version")
+    patcher(path)(batch(spark, [1], 2.0, 150), 1)
+    patch.publish_text(pages(spark, 3, "3.0", 200), path, "slug", "version")
+    assert [texts(spark, path)[f"t{i}"][4:7] for i in range(3)] == ["7.0", "3.0", "3.0"]
+
+
+def test_without_versions_the_later_one_counts(spark, workdir, monkeypatch):
+    path = workdir + "/pages"
+    patch.publish_text(pages(spark, 4, "1.0"), path, "slug")
+    patcher(path, None)(batch(spark, [0, 1], 2.0, None), 1)
+    interleaved(monkeypatch, lambda: patcher(path, None)(batch(spark, [2], 4.0, None), 2))
+    patch.publish_text(pages(spark, 4, "3.0"), path, "slug")
+    assert [texts(spark, path)[f"t{i}"][4:7] for i in range(4)] == ["3.0", "3.0", "4.0", "3.0"]
+
+
+def size(folder):
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs_ in os.walk(folder) for f in fs_
+               if f.startswith("part-"))
+
+
+def test_a_micro_batch_writes_as_much_as_it_has_keys(spark, workdir):
+    written = []
+    for n in (50, 5000):
+        path = f"{workdir}/pages{n}"
+        patch.publish_text(pages(spark, n, "1.0"), path, "slug")
+        before = size(path)
+        patcher(path)(batch(spark, [1, 2, 3], 2.5, 1), 1)
+        written.append(size(path) - before)
+    assert written[0] == written[1] > 0
+
+
+def test_the_log_is_merged_and_folded(spark, workdir, monkeypatch):
+    path = workdir + "/pages"
+    monkeypatch.setattr(patch, "FOLD_LEAST", 12)
+    patch.publish_text(pages(spark, 40, "0.0", 0), path, "slug", "version")
+    first = sinks.manifest(spark, path)["parts"][0]
+    most = 0
+    for i in range(30):
+        patcher(path)(batch(spark, [i % 7, 20 + i % 11], float(i), i + 1), i)
+        most = max(most, len(sinks.manifest(spark, path)["parts"]) - 1)
+    want = {f"t{k}": 0.0 for k in range(40)}
+    for i in range(30):
+        want[f"t{i % 7}"] = want[f"t{20 + i % 11}"] = float(i)
+    assert texts(spark, path) == {k: f"<h2>{v}&deg;F</h2>" for k, v in want.items()}
+    assert most < 2 * patch.FAN and sinks.manifest(spark, path)["parts"][0] != first  # folded at least once
+
+
+def test_updates_that_come_while_the_log_is_folded(spark, workdir, monkeypatch):
+    path = workdir + "/pages"
+    patch.publish_text(pages(spark, 4, "0.0", 0), path, "slug", "version")
+    patcher(path)(batch(spark, [0, 1], 1.0, 1), 1)
+    interleaved(monkeypatch, lambda: patcher(path)(batch(spark, [1, 2], 2.0, 2), 2))
+    assert patch.fold(spark, path)
+    assert [texts(spark, path)[f"t{i}"][4:7] for i in range(4)] == ["1.0", "2.0", "2.0", "0.0"]
+    interleaved(monkeypatch, lambda: patch.publish_text(pages(spark, 4, "5.0", 9), path, "slug", "version"))
+    assert not patch.fold(spark, path)
+    assert [texts(spark, path)[f"t{i}"][4:7] for i in range(4)] == ["5.0"] * 4
+
+
+def test_two_normalise_jobs_at_once(spark, workdir, monkeypatch):
+    """A second job over other files of the same date runs inside the first one's commits."""
+    a, b, store = workdir + "/a", workdir + "/b", workdir + "/store"
+    write_avon(a, only=[FILE_A, FILE_C])
+    write_avon(b, only=[FILE_B])
+    jobs.open_store(spark, store)
+    interleaved(monkeypatch, lambda: jobs.normalize_job(spark, b, store, TOKENS), at=4)
+    jobs.normalize_job(spark, a, store, TOKENS)
+    both = workdir + "/both"
+    jobs.rebuild_job(spark, write_avon(workdir + "/land"), both, TOKENS)
+    t, want = jobs.load_tables(spark, store), jobs.load_tables(spark, both)
+    for name in want:
+        assert sorted(map(str, t[name].collect())) == sorted(map(str, want[name].collect())), name
+    newest = [sorted(map(str, sinks.read_parts(spark, jobs.table_path(spark, s, "newest")).collect()))
+              for s in (store, both)]
+    assert newest[0] == newest[1]
+    assert {tuple(r) for r in jobs.analyze_pending(spark, store).collect()} == {
+        tuple(r) for r in jobs.analyze_job(spark, both).collect()}
+
+
+def test_a_mark_renewed_while_it_is_worked_on_stays(spark, workdir):
+    path = workdir + "/marks"
+    sinks.mark(spark, path, ["d1", "d2"], "run1")
+    seen = sinks.marks(spark, path)
+    sinks.mark(spark, path, ["d2", "d3"], "run2")
+    sinks.unmark(spark, path, seen)
+    assert sinks.marks(spark, path) == {"d2": "run2", "d3": "run2"}
