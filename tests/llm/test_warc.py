@@ -1,4 +1,11 @@
 import gzip
+import html as html_lib
+import random
+import time
+import zlib
+from html.parser import HTMLParser
+
+import pytest
 
 from isobar.llm import warc
 
@@ -29,6 +36,14 @@ def test_records_are_linked_and_keep_the_source(spark):
     assert warc.derivatives(pages.filter("false")).count() == 0
 
 
+def test_carried_columns_of_clashing_names(spark):
+    from pyspark.sql import functions as F
+
+    found = warc.responses(spark.createDataFrame([(1, "u", PAGE)], "page_id long, url string, html string"))
+    rows = warc.derive(found.withColumns({"block": F.lit("mine"), "warc_type": F.lit(3), "rows": F.lit(1)})).collect()
+    assert [(r.in_block, r.in_warc_type, r.rows, r.page_id) for r in rows] == [("mine", 3, 1, 1)] * 2
+
+
 def test_files_round_trip(spark, workdir):
     """Responses written to an archive, read, derived and written again."""
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
@@ -50,7 +65,7 @@ def test_files_round_trip(spark, workdir):
     direct = warc.derivatives(pages)
     assert sorted(r.record_id for r in derived.collect()) == sorted(r.record_id for r in direct.collect())
     data = b"".join(bytes(r.member) for r in warc.members(derived).collect())
-    again = list(warc.decode(warc.decompress(data)))
+    again = list(warc.records(data))
     blocks = {r.record_id: bytes(r.block) for r in derived.collect()}
     assert {h["warc-record-id"]: b for h, b in again} == blocks
     assert all(h["warc-refers-to"] in want for h, _ in again)
@@ -58,11 +73,158 @@ def test_files_round_trip(spark, workdir):
 
 def test_damaged_archives():
     good = warc.encode([("Content-Length", "2"), ("X", "a"), (" folded", "b")], b"ab")
-    assert [b for _, b in warc.decode(good + good)] == [b"ab", b"ab"]
-    assert [b for _, b in warc.decode(good + good[:-5])] == [b"ab"]
-    assert list(warc.decode(b"")) == [] and list(warc.decode(b"garbage")) == []
-    assert list(warc.decode(b"WARC/1.1\r\nContent-Length: x\r\n\r\n")) == []
+    bad_length = b"WARC/1.1\r\nContent-Length: x\r\n\r\n"
+
+    def read(data):
+        return [x if isinstance(x, int) else x[1] for x in warc.records(data)]
+
+    assert read(good + good) == [b"ab", b"ab"]
+    assert read(good + good[:-5]) == [b"ab", len(good) - 5] and read(good[:-4]) == [b"ab"]
+    assert read(b"") == [] and read(b"garbage") == [7]
+    assert read(bad_length) == [len(bad_length)]
+    assert read(good + b"junk" + good + bad_length + good) == [b"ab", 4, b"ab", len(bad_length), b"ab"]
+    assert read(b"WARC/1.1\r\n" * 3 + good) == [10, 10, 10, b"ab"]
     packed = gzip.compress(good)
-    assert warc.decompress(packed + packed[:10]) .startswith(good)
+    assert read(packed + packed) == [b"ab", b"ab"]
+    assert read(packed + packed[:10]) == [b"ab", 10]
+    assert read(packed + b"junk" + packed) == [b"ab", 4, b"ab"]
+    broken = bytearray(packed)
+    broken[len(packed) // 2] ^= 255
+    assert read(bytes(broken) + packed)[-1] == b"ab"
     assert warc.charset("Content-Type: text/html; charset=latin-1") == "latin-1"
     assert warc.charset("content-type: text/html; charset=nonsense") == "utf-8"
+
+
+def test_damage_is_counted_and_reading_goes_on(spark, workdir):
+    block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n<p>hi</p>"
+    one = warc.encode([("WARC-Type", "response"), ("WARC-Record-ID", "<r>"), ("Content-Length", str(len(block)))], block)
+    with open(f"{workdir}/a.warc", "wb") as f:
+        f.write(one + b"\0" * 7 + one * 3)
+    assert warc.read_warc(spark, workdir).count() == 4
+    assert [tuple(r)[1:] for r in warc.damage(spark, workdir).collect()] == [(4, 1, 7)]
+
+
+def chunked(body, n=7):
+    return b"".join(b"%x;x=1\r\n%s\r\n" % (len(body[i:i + n]), body[i:i + n]) for i in range(0, len(body), n)) + b"0\r\n\r\n"
+
+
+def deflated(body):
+    c = zlib.compressobj(wbits=-15)
+    return c.compress(body) + c.flush()
+
+
+BODY = "<p>gr\u00fc\u00dfe an alle</p>".encode()
+
+
+@pytest.mark.parametrize("headers, payload, text", [
+    ("Transfer-Encoding: chunked", chunked(BODY), "gr\u00fc\u00dfe an alle"),
+    ("Content-Encoding: gzip", gzip.compress(BODY), "gr\u00fc\u00dfe an alle"),
+    ("content-encoding: GZIP\r\ntransfer-encoding: chunked", chunked(gzip.compress(BODY)), "gr\u00fc\u00dfe an alle"),
+    ("Content-Encoding: deflate", zlib.compress(BODY), "gr\u00fc\u00dfe an alle"),
+    ("Content-Encoding: deflate", deflated(BODY), "gr\u00fc\u00dfe an alle"),
+    ("Content-Encoding: deflate, gzip", gzip.compress(zlib.compress(BODY)), "gr\u00fc\u00dfe an alle"),
+    ("Content-Encoding: gzip", BODY, "gr\u00fc\u00dfe an alle"),  # stored unpacked, header kept
+    ("Transfer-Encoding: chunked", BODY, "gr\u00fc\u00dfe an alle"),
+    ("Transfer-Encoding: chunked", chunked(b"<p>1234</p>", 20)[:-9], "1234"),  # broken off
+    ("Content-Encoding: identity", BODY, "gr\u00fc\u00dfe an alle"),
+    ("Content-Encoding: br", b"\x0b\x02\x80", ""),
+])
+def test_encoded_payloads(spark, headers, payload, text):
+    head = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n" + headers
+    row = ("<r>", "http://h/", "d", head, payload, "sha1:B", warc.digest(payload))
+    rows = {r.warc_type: r for r in warc.derive(spark.createDataFrame([row], warc.RESPONSE)).collect()}
+    assert bytes(rows["conversion"].block).decode() == text
+    assert rows["conversion"].source_payload_digest == warc.digest(payload)
+    assert ("encoding-unread: br" in bytes(rows["metadata"].block).decode()) == ("br" in headers.split())
+
+
+OPENERS = ["<!--", "<script ", "<a ", "<a href='", '<a "', "<p ", "</", "<", "<svg>", "<title ", "<title>", "<html ",
+           "<html lang ", "<a href=", "<a '\" ", "&", "<head ", "</script ", "<a \"'>' "]
+
+
+@pytest.mark.parametrize("opener", OPENERS)
+def test_pages_of_unclosed_openers_take_linear_time(opener):
+    for page in (opener * (10_000_000 // len(opener)), opener * (2_000_000 // len(opener)) + "'"):
+        t0 = time.process_time()
+        warc.plain_text(page), warc.title(page), warc.language(page), warc.links(page)
+        assert time.process_time() - t0 < 40
+
+
+class Shown(HTMLParser):
+    """Text outside of hidden elements by the standard library's parser."""
+    HIDDEN = {"script", "style", "noscript", "template", "svg", "head"}
+    LINE = set("address article aside blockquote br dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
+               "header hr li main nav ol p pre section table tbody td tfoot th thead title tr ul".split())
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.out, self.inside = [], 0
+
+    def handle_starttag(self, tag, attrs):
+        if tag in self.HIDDEN:
+            self.out.append(" ")
+            self.inside += 1
+        elif tag in self.LINE and not self.inside:
+            self.out.append("\n")
+
+    def handle_endtag(self, tag):
+        if tag in self.HIDDEN:
+            self.inside -= 1
+        elif tag in self.LINE and not self.inside:
+            self.out.append("\n")
+
+    def handle_startendtag(self, tag, attrs):
+        if tag in self.LINE and not self.inside:
+            self.out.append("\n")
+
+    def handle_comment(self, data):
+        self.out.append(" " if not self.inside else "")
+
+    def handle_data(self, data):
+        if not self.inside:
+            self.out.append(data)
+
+
+def shown(page):
+    p = Shown()
+    p.feed(page)
+    p.close()
+    lines = (" ".join(x.split()) for x in "".join(p.out).split("\n"))
+    return "\n".join(x for x in lines if x)
+
+
+def made_page(rng):
+    """Well-formed nested markup with attributes, comments, scripts and character references."""
+    def words():
+        return " ".join(html_lib.escape(rng.choice(["one", "a<b", "x & y", "\u00e9t\u00e9", "2 > 1", "\u00a0", "fin"]))
+                        for _ in range(rng.randint(0, 4)))
+
+    def node(depth):
+        kind = rng.randint(0, 7)
+        if depth == 0 or kind == 0:
+            return words()
+        inner = "".join(node(depth - 1) for _ in range(rng.randint(0, 3)))
+        if kind == 1:
+            return "<!-- " + words() + " <p> -->"
+        if kind == 2:
+            return f"<{(t := rng.choice(['script', 'style']))} type='x>y'>var a = '<p>';</{t}>"
+        if kind == 3:
+            return rng.choice(["<br>", "<br/>", "<hr class=\"a>b\">", "<img alt='>'>"])
+        tag = rng.choice(["p", "div", "span", "b", "LI", "a", "td", "h2"])
+        attr = rng.choice(["", " class='a'", ' title="x > y"', " href=/x?y", " data-x='\"'"])
+        return f"<{tag}{attr}>{inner}</{tag}>"
+
+    return "".join(node(4) for _ in range(4))
+
+
+def test_plain_text_against_the_standard_parser():
+    rng = random.Random(4)
+    for _ in range(400):
+        page = made_page(rng)
+        assert warc.plain_text(page) == shown(page), page
+
+
+def test_plain_text_of_the_test_pages(spark):
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect() if r.html]
+    same = sum(warc.plain_text(p) == shown(p) for p in pages)
+    assert same >= 0.9 * len(pages)
