@@ -100,7 +100,7 @@ _WORDS = r"[^\x20\x09-\x0D]+"
 _FOLDED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE: dict[str, str] = {
-    # measures, then the same ladders, exact binomial sums and choice of cutoffs
+    # measures, then the same steps, exact binomial sums and choice of a step
     "op6_quality_rules": rf"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t FROM documents
@@ -120,7 +120,7 @@ rep AS (
   FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY rid
 ),
 m AS (
-  SELECT w.rid, doc_id, lang, CAST(len(w) AS BIGINT) AS n_words,
+  SELECT w.rid, doc_id, lang, t, CAST(len(w) AS BIGINT) AS n_words,
          CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
          CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
          CAST(len(lines) AS BIGINT) AS n_lines,
@@ -131,49 +131,45 @@ m AS (
 b AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m
 ),
-v AS (
-  SELECT rid, doc_id, lang, base_failed,
-         unnest(['symbol_share', 'dup_line_share', 'repeat_share', 'mean_word']) AS rule,
-         unnest([CASE WHEN word_chars > 0 THEN n_symbols / word_chars ELSE 0.0 END,
-                 CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0.0 END,
-                 CASE WHEN n_words > 0 THEN n_repeat_words / n_words ELSE 0.0 END,
-                 CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0.0 END]) AS x
+x AS (
+  SELECT *, CASE WHEN word_chars > 0 THEN n_symbols / word_chars ELSE 0.0 END AS x1,
+         CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0.0 END AS x2,
+         CASE WHEN n_words > 0 THEN n_repeat_words / n_words ELSE 0.0 END AS x3,
+         CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0.0 END AS x4
   FROM b
 ),
-held AS (
-  SELECT v.*, l.quality > 0 AS good FROM v JOIN labels l ON l.doc_id = v.doc_id
-  WHERE NOT base_failed AND l.quality IS NOT NULL
+v AS (
+  SELECT *, (SELECT count(*) FROM range(0, {risk_rules.STEPS}) r(i)
+             WHERE 1 - CAST(i + 1 AS DOUBLE) / {risk_rules.STEPS} >= greatest(x1, x2, x3)
+               AND 24 - CAST(i AS DOUBLE) / 2 >= x4) AS step
+  FROM x
 ),
-pairs AS (SELECT lang, rule, count(*) FILTER (WHERE good) AS n FROM held GROUP BY ALL),
-ladder AS (
-  SELECT lang, rule, n, i,
-         CASE WHEN rule = 'mean_word' THEN 24 - CAST(i AS DOUBLE) / 2
-              ELSE 1 - CAST(i + 1 AS DOUBLE) / {risk_rules.STEPS} END AS cut
-  FROM (SELECT *, unnest(generate_series(0, {risk_rules.STEPS - 1})) AS i FROM pairs)
+lab AS (SELECT doc_id, bool_or(quality > 0) AS good FROM labels
+        WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+held AS (
+  SELECT lang, t, any_value(step) AS step, bool_or(good) AS good
+  FROM v JOIN lab ON lab.doc_id = v.doc_id WHERE NOT base_failed GROUP BY lang, t
 ),
+strata AS (SELECT lang, count(*) FILTER (WHERE good) AS n FROM held GROUP BY lang),
 counts AS (
-  SELECT s.lang, s.rule, s.n, s.i, s.cut,
-         count(*) FILTER (WHERE good AND x > cut) AS lost,
-         count(*) FILTER (WHERE NOT good AND x > cut) AS caught
-  FROM ladder s JOIN held h ON h.lang IS NOT DISTINCT FROM s.lang AND h.rule = s.rule
+  SELECT s.lang, s.n, i, count(*) FILTER (WHERE good AND step <= i) AS lost,
+         count(*) FILTER (WHERE NOT good AND step <= i) AS caught
+  FROM (SELECT *, unnest(generate_series(0, {risk_rules.STEPS - 1})) AS i FROM strata) s
+  JOIN held h ON h.lang IS NOT DISTINCT FROM s.lang
   GROUP BY ALL
 ),
 safe AS (
-  SELECT *, row_number() OVER (PARTITION BY lang, rule ORDER BY caught DESC, i) AS rk
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY caught DESC, i) AS rk
   FROM counts
-  WHERE n > 0 AND caught > 0 AND lost < n * {risk_rules.ALPHA / 4}
+  WHERE n > 0 AND caught > 0 AND lost < n * {risk_rules.ALPHA}
     AND list_sum(list_transform(range(0, lost + 1), lambda j: exp(
           lgamma(n + 1.0) - lgamma(j + 1.0) - lgamma(n - j + 1.0)
-          + j * ln({risk_rules.ALPHA / 4}) + (n - j) * ln({1 - risk_rules.ALPHA / 4}))))
-        <= {risk_rules.DELTA} / (SELECT count(*) FROM pairs)
-),
-over AS (
-  SELECT DISTINCT v.rid FROM v
-  JOIN safe s ON s.lang IS NOT DISTINCT FROM v.lang AND s.rule = v.rule AND s.rk = 1 AND v.x > s.cut
+          + j * ln({risk_rules.ALPHA}) + (n - j) * ln({1 - risk_rules.ALPHA}))))
+        <= {risk_rules.DELTA} / (SELECT count(*) FROM strata)
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND rid NOT IN (SELECT rid FROM over) AS kept
-FROM b""",
+       NOT base_failed AND (safe.i IS NULL OR step > safe.i) AS kept
+FROM v LEFT JOIN safe ON safe.lang IS NOT DISTINCT FROM v.lang AND safe.rk = 1""",
     # all windows of every document against all windows of every item
     "op11_decontamination": rf"""
 WITH d AS (

@@ -2,16 +2,20 @@
 functions only.
 
 Each rule rejects a document when a measure of its text exceeds a cutoff.
-Cutoffs come from a fixed ladder, lenient to strict. Per stratum and rule the
-labelled good documents are a holdout: a cutoff may be used if the exact
-binomial test at its share of the allowed false rejections passes, i.e. if so
-few good documents were rejected that a true rate above the limit is refuted.
-Rules split the rate, and all (stratum, rule) pairs split the error
-probability (Bonferroni); along one ladder the tests run in fixed order and
-stop at the first failure, which needs no further correction. So with
+Every rule has a ladder of cutoffs, lenient to strict, and the rules go down their
+ladders together: step by step, in one order fixed before any label is
+seen, the whole set of rules becomes stricter. Per stratum the labelled
+good documents are a holdout: a step may be used if the exact binomial
+test at the allowed rate of false rejections passes, i.e. if so few good
+documents were rejected by any rule that a true rate above the limit is refuted.
+The tests run along the order and stop at the first failure, which needs no
+correction; the strata split the error probability (Bonferroni). So with
 probability ``1 - delta`` every stratum loses at most ``alpha`` of its good
-documents. Of the cutoffs allowed, the most lenient one that rejects the most
+documents. Of the steps allowed, the most lenient one that rejects the most
 labelled bad documents is chosen.
+
+The test counts independent documents: rows and labels that repeat a text count
+once, and a text labelled both ways is good.
 """
 
 from __future__ import annotations
@@ -40,7 +44,7 @@ LADDERS = {
 
 
 def measures(documents: DataFrame, stratum: Column) -> DataFrame:
-    """Counts of every whole text: ``doc_id, stratum, n_words, word_chars,
+    """Counts of every whole text: ``doc_id, stratum, text_key, n_words, word_chars,
     n_symbols, n_lines, n_dup_lines, n_repeat_words, base_failed``.
 
     NULL and word-less texts have no words, lines or symbols to count but
@@ -50,7 +54,7 @@ def measures(documents: DataFrame, stratum: Column) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     none = F.lit(0).cast("bigint")
     rows = documents.select(
-        "doc_id", stratum.alias("stratum"),
+        "doc_id", stratum.alias("stratum"), F.md5(text).alias("text_key"),
         F.length(F.translate(text, BLANKS, "")).cast("bigint").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
         F.filter(F.split(text, SPACE), lambda w: w != "").alias("w"),
@@ -61,7 +65,7 @@ def measures(documents: DataFrame, stratum: Column) -> DataFrame:
     windows = F.when(n > 0, F.transform(
         F.arrays_zip(F.slice("w", 1, n).alias("a"), F.slice("w", 2, n).alias("b"), F.slice("w", 3, n).alias("c")),
         lambda x: F.xxhash64(x["a"], x["b"], x["c"]))).otherwise(F.array().cast("array<bigint>"))
-    rows = rows.select("doc_id", "stratum", "word_chars", "n_symbols", "n_words",
+    rows = rows.select("doc_id", "stratum", "text_key", "word_chars", "n_symbols", "n_words",
                        F.size("lines").cast("bigint").alias("n_lines"),
                        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
                        windows.alias("h"))
@@ -118,25 +122,29 @@ def binomial_cdf(k: Column, n: Column, p: float) -> Column:
     return F.when(k < n * p, F.exp(log_top) * total).otherwise(F.lit(1.0))
 
 
-def cutoffs(rows: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """``stratum`` and the chosen cutoff of each rule (NULL: none is safe).
+def first_step() -> Column:
+    """The first step at which any rule rejects the document; ``STEPS`` if none does."""
+    def passed(rule: str, value: Column) -> Column:
+        return F.size(F.filter(F.array(*map(F.lit, LADDERS[rule])), lambda c: c >= value))
 
-    ``rows`` are measures; ``labels`` has ``doc_id, quality`` (above 0 is good; NULL
-    labels and ids are left out; a document labelled more than once counts
-    each time). All labelled documents that pass the base rules are used.
-    """
-    lab = labels.filter("doc_id is not null and quality is not null").select(
-        F.col("doc_id").alias("_id"), (F.col("quality") > 0).alias("good"))
-    held = rows.filter(~F.col("base_failed")).join(lab, F.col("doc_id") == F.col("_id"))
+    return F.least(*[passed(r, v) for r, v in values().items()])
 
-    def first_step(rule: str, value: Column) -> Column:
-        """The first step of the ladder that rejects the document."""
-        return F.size(F.filter(F.array(*map(F.lit, LADDERS[rule])), lambda c: c >= value))
 
-    steps = [F.struct(F.lit(r).alias("rule"), first_step(r, v).alias("step")) for r, v in values().items()]
-    tally = (held.select("stratum", "good", F.explode(F.array(*steps)).alias("x"))
-             .groupBy("stratum", "x.rule", "x.step", "good").agg(F.count(F.lit(1)).alias("n"))
-             .groupBy("stratum", "rule").agg(F.collect_list(F.struct("step", "good", "n")).alias("t")))
+def holdout(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``stratum, good, step`` of every distinct labelled text that passes the base rules. ``labels`` has
+    ``doc_id, quality`` (above 0 is good; NULL labels and ids are left out)."""
+    lab = (labels.filter("doc_id is not null and quality is not null")
+           .groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.col("quality") > 0).alias("good")))
+    held = (rows.filter(~F.col("base_failed")).withColumn("step", first_step())
+            .join(lab, F.col("doc_id") == F.col("_id")))
+    return held.groupBy("stratum", "text_key").agg(F.max("good").alias("good"), F.first("step").alias("step"))
+
+
+def cutoffs(rows: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+    """``stratum`` and the chosen cutoff of each rule; strata of which no step is safe are left out.
+    ``rows`` are measures. All labelled documents that pass the base rules are used."""
+    tally = (holdout(rows, labels).groupBy("stratum", "step", "good").agg(F.count(F.lit(1)).alias("n"))
+             .groupBy("stratum").agg(F.collect_list(F.struct("step", "good", "n")).alias("t")))
 
     def count(keep):
         return F.aggregate(F.filter("t", keep), F.lit(0).cast("bigint"), lambda a, x: a + x["n"])
@@ -145,17 +153,16 @@ def cutoffs(rows: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: flo
     tests = max(tally.count(), 1)
     i = F.col("i")
     ladder = tally.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(STEPS - 1)))).select(
-        "stratum", "rule", "i", "n_good",
+        "stratum", "i", "n_good",
         count(lambda x: x["good"] & (x["step"] <= i)).alias("lost"),
         count(lambda x: ~x["good"] & (x["step"] <= i)).alias("caught"))
-    p = binomial_cdf(F.col("lost").cast("double"), F.col("n_good").cast("double"), alpha / len(LADDERS))
+    p = binomial_cdf(F.col("lost").cast("double"), F.col("n_good").cast("double"), alpha)
     # stricter steps lose no fewer good documents, so the steps that pass come first
     safe = ladder.filter("n_good > 0").filter(p <= delta / tests).filter("caught > 0")
     # most caught, then most lenient
-    best = safe.groupBy("stratum", "rule").agg(F.max(F.struct("caught", (-i).alias("m")))["m"].alias("m"))
-    pick = [F.max(F.when(F.col("rule") == r, F.element_at(F.array(*map(F.lit, c)), (1 - F.col("m")).cast("int"))))
-            .alias(f"cut_{r}") for r, c in LADDERS.items()]
-    return staged(best.groupBy("stratum").agg(*pick), "risk-cutoffs")
+    best = safe.groupBy("stratum").agg((-F.max(F.struct("caught", (-i).alias("m")))["m"]).alias("i"))
+    pick = [F.element_at(F.array(*map(F.lit, c)), (i + 1).cast("int")).alias(f"cut_{r}") for r, c in LADDERS.items()]
+    return staged(best.select("stratum", *pick), "risk-cutoffs")
 
 
 def judge(rows: DataFrame, chosen: DataFrame) -> DataFrame:
