@@ -9,29 +9,46 @@ number of slots bounds everything that is not row-parallel.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isobar.llm.common import numbered, staged
+from isobar.session import scratch_path
 
 SLOTS = 4096
 
 
+def _told_apart(rows: DataFrame, stage: str) -> DataFrame:
+    """``rows`` with ``_copy``, the row's number among equal ``doc_id, text_crc32, size``, from 0. Rows get
+    their place in the table when they are staged, so equal rows are numbered
+    side by side, however many there are."""
+    rows = staged(rows.withColumn("_id", F.monotonically_increasing_id())
+                  .withColumn("_key", F.xxhash64("doc_id", "text_crc32", "size")), stage)
+    rows = rows.withColumn("_task", F.shiftright("_id", 33))  # at most as many as tasks that staged
+    return numbered(rows, ["_key"], "_task", [F.col("_id")], "_copy").drop("_key", "_task", "_id")
+
+
+def _slot(n_slots: int) -> Column:
+    # the first of equal rows stays where it is when copies come
+    copy = F.when(F.col("_copy") > 0, F.col("_copy"))
+    return F.pmod(F.xxhash64("doc_id", "text_crc32", copy), F.lit(n_slots)).cast("int")
+
+
+def _sized(documents: DataFrame, *more: Column) -> DataFrame:
+    crc = F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0).cast("bigint"))
+    size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("bigint")
+    return documents.select("doc_id", size.alias("size"), crc.alias("text_crc32"), *more)
+
+
 def records(documents: DataFrame, n_slots: int = SLOTS) -> DataFrame:
     """``(doc_id, size, text_crc32, virtual_slot)`` of each document.
 
     ``size`` is the text's UTF-8 bytes plus 8 (NULL text: 8), ``text_crc32``
     the unsigned CRC-32 of those bytes (NULL and empty text: 0). The slot
-    depends on doc_id and text alone; NULL doc_ids spread by their text.
-    Repeated rows share a slot.
+    depends on doc_id and text, and on the number among equal rows, so that
+    repeated rows spread like others; NULL doc_ids spread by their text.
     """
-    crc = F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0).cast("bigint"))
-    return (documents
-            .select("doc_id",
-                    (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("bigint").alias("size"),
-                    crc.alias("text_crc32"))
-            .withColumn("virtual_slot",
-                        F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(n_slots)).cast("int")))
+    return _told_apart(_sized(documents), "shard-records").withColumn("virtual_slot", _slot(n_slots)).drop("_copy")
 
 
 def first_map(spark: SparkSession, n_shards: int, n_slots: int = SLOTS) -> DataFrame:
@@ -112,23 +129,27 @@ def load_map(spark: SparkSession, path: str, version: int | None = None) -> Data
 
 
 def assign(documents: DataFrame, slot_map: DataFrame | None = None, n_shards: int = 24,
-           n_slots: int = SLOTS) -> DataFrame:
+           n_slots: int = SLOTS, map_path: str | None = None) -> DataFrame:
     """Put every document into a shard.
 
     Returns ``doc_id, size, text_crc32, law ('bytes'), shard, slot,
     grown_shard (NULL), virtual_slot, map_version``. ``slot`` is the row's place in its
     shard, from 0 without gaps. With no ``slot_map`` the first map is
-    rebalanced for these documents; pass a stored map to keep it as it is.
+    rebalanced for these documents, and both versions are stored at ``map_path``
+    (default: a scratch folder); pass a stored map to keep it as it is.
 
     Sizes follow the law ``bytes``: no shard is above the mean by more than
-    about the largest slot. An empty table gives no rows; repeated rows
+    about the largest slot, which is near the largest document: copies of
+    a row lie in different slots. An empty table gives no rows; repeated rows
     count and are placed one by one; other columns are ignored.
     """
     spark = documents.sparkSession
-    rows = staged(records(documents, n_slots), "shard-records")
+    rows = staged(records(documents, n_slots), "shard-slots")
     if slot_map is None:
-        slot_map = rebalance(first_map(spark, n_shards, n_slots), slot_bytes(rows), n_shards)
-        slot_map = staged(slot_map, "slot-map")
+        map_path = map_path or scratch_path(spark, "slot-map")
+        save_map(first_map(spark, n_shards, n_slots), map_path)
+        save_map(rebalance(load_map(spark, map_path), slot_bytes(rows), n_shards), map_path)
+        slot_map = load_map(spark, map_path)
     # the map has n_slots rows, so it is safe to broadcast
     placed = rows.join(F.broadcast(slot_map.withColumnRenamed("version", "map_version")),
                        "virtual_slot")
@@ -140,13 +161,13 @@ def assign(documents: DataFrame, slot_map: DataFrame | None = None, n_shards: in
 
 def shards(documents: DataFrame, slot_map: DataFrame, n_slots: int = SLOTS) -> DataFrame:
     """``documents`` with their ``shard``, e.g. to be written by shard; the
-    shard column replaces one of that name."""
-    crc = F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0).cast("bigint"))
-    slot = F.pmod(F.xxhash64(F.col("doc_id"), crc), F.lit(n_slots)).cast("int")
-    small = F.broadcast(slot_map.select(F.col("virtual_slot").alias("_slot"),
-                                        F.col("shard").alias("_shard")))
-    return (documents.withColumn("_slot", slot).join(small, "_slot").drop("_slot", "shard")
-            .withColumnRenamed("_shard", "shard"))
+    shard column replaces one of that name. Rows are carried as one struct, so
+    other names do not clash."""
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row")
+    rows = _told_apart(_sized(documents, row), "shard-rows").withColumn("virtual_slot", _slot(n_slots))
+    small = F.broadcast(slot_map.select("virtual_slot", F.col("shard").alias("_shard")))  # n_slots rows
+    kept = [F.col(f"_row.`{c}`").alias(c) for c in documents.columns if c != "shard"]
+    return rows.join(small, "virtual_slot").select(*kept, F.col("_shard").alias("shard"))
 
 
 __all__ = ["SLOTS", "records", "first_map", "slot_bytes", "rebalance", "save_map", "load_map",

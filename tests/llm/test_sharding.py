@@ -71,3 +71,33 @@ def test_documents_follow_the_map(spark, edge):
     assert got.count() == edge.count() and dict(got.dtypes)["shard"] == "int"
     assert sorted(r.shard for r in got.collect()) == sorted(
         r.shard for r in sharding.assign(edge, m, 5).collect())
+
+
+def test_repeated_rows_are_spread(spark, docs, workdir):
+    """One row 500 times, and rows of NULLs: no shard holds more than its part."""
+    from pyspark.sql import functions as F
+
+    row = spark.createDataFrame([(7, "z" * 4000)], "doc_id long, text string")
+    none = spark.createDataFrame([(None, None)], "doc_id long, text string")
+    df = docs.select("doc_id", "text").union(row.crossJoin(spark.range(500)).drop("id")).union(
+        none.crossJoin(spark.range(300)).drop("id"))
+    out = sharding.assign(df, map_path=workdir + "/m").collect()
+    check(out, df)
+    load = defaultdict(int)
+    for r in out:
+        load[r.shard] += r.size
+    mean = sum(load.values()) / 24
+    assert len(load) == 24 and max(load.values()) <= mean + max(r.size for r in out) + 4000
+    again = sharding.assign(df.repartition(5), map_path=workdir + "/n").collect()
+    assert sorted(map(tuple, out), key=str) == sorted(map(tuple, again), key=str)
+    assert sharding.load_map(spark, workdir + "/m", 1).count() == sharding.SLOTS
+    first = {r.virtual_slot for r in out if r.doc_id == 7}
+    alone = sharding.records(row).first().virtual_slot
+    assert alone in first and len(first) > 400
+    odd = df.withColumns({"_slot": F.lit(1), "_row": F.lit("x"), "virtual_slot": F.lit(2), "size": F.lit("y"), "_copy": F.lit(3)})
+    kept = sharding.shards(odd, sharding.load_map(spark, workdir + "/m"))
+    assert set(odd.columns) | {"shard"} == set(kept.columns)
+    count = defaultdict(int)
+    for r in kept.collect():
+        count[r.shard] += len((r.text or "").encode()) + 8
+    assert dict(count) == dict(load)
