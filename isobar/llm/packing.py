@@ -3,9 +3,11 @@
 
 Documents are cut into whole windows and one rest. The rests' lengths make a
 histogram of at most ``window`` entries, and the plan is made on that
-histogram alone: short combinations of lengths that fill a window exactly
+histogram alone: combinations of up to three lengths that fill a window exactly
 are enumerated, their repeat counts are solved by non-negative least squares
-against the histogram and rounded down, and what is left is packed greedily.
+against the histogram and rounded. Where rests are too short for that, combinations of
+more lengths are enumerated and solved on what is left, a few times. The
+residual is packed greedily.
 Rests then look up their place in the plan by (length, number among the
 rests of that length), so any number of rests is placed in parallel.
 """
@@ -27,6 +29,10 @@ from isobar.llm.tokens import default_paths, encoder
 
 WINDOW = 2048
 END = 1  # the id that ends each document
+DEEP = 2048  # combinations of more than three lengths that are tried at a time,
+DEEP_ROUNDS = 8  # so many times,
+DEEP_LEAST = 0.01  # while more than this share of the ids is without a place
+GOLDEN, SILVER = 0.6180339887498949, 0.41421356237309515  # steps that spread evenly over 0..1
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
@@ -78,6 +84,48 @@ def combinations(have: np.ndarray, window: int = WINDOW, step: int = 32) -> np.n
     return np.concatenate(out)
 
 
+def deep_combinations(hist: np.ndarray, window: int = WINDOW, many: int = DEEP) -> np.ndarray:
+    """At most ``many`` combinations of more lengths that fill ``window`` exactly, spread like the
+    histogram: rows padded with 0.
+
+    As many lengths are taken as fill a window on average, or a few fewer or
+    more. The first takes every length in turn, the next ones quantiles of the histogram
+    along a low-discrepancy sequence, and the last two are a pair that closes
+    the window, from a table of the pairs that reach each total. Lengths, not
+    rests, are counted here, so the work is bounded whatever the corpus.
+    """
+    have = np.flatnonzero(hist)
+    if not len(have):
+        return np.zeros((0, 1), np.int64)
+    middle = window / np.average(have, weights=hist[have])
+    share = np.cumsum(hist[have]) / hist[have].sum()
+    # pairs by total: t is reached by (low[k], t - low[k]) for k in first[t]..first[t + 1] - 1
+    x, y = np.triu_indices(len(have))
+    total = have[x] + have[y]
+    order = np.argsort(total, kind="stable")
+    low = have[x[order]]
+    first = np.searchsorted(total[order], np.arange(window + 2))
+    depths = sorted({max(int(middle) + d, 3) for d in (-2, -1, 0, 1, 2, 3)})
+    width, out = depths[-1], []
+    for depth in depths:
+        n = -(-many // len(depths))
+        k = np.arange(n)
+        rows = np.zeros((n, width), np.int64)
+        rows[:, 0] = have[k % len(have)]
+        for j in range(1, depth - 2):
+            at = (k * GOLDEN + j * SILVER + depth * 0.13) % 1.0  # every row and place another quantile
+            rows[:, j] = have[np.searchsorted(share, at).clip(max=len(have) - 1)]
+        rest = window - rows.sum(1)
+        fits = rest > 0
+        rest = np.where(fits, rest, 0)
+        pairs = first[rest + 1] - first[rest]
+        fits &= pairs > 0
+        pick = low[np.minimum(first[rest] + (k * 7919) % np.maximum(pairs, 1), max(len(low) - 1, 0))]
+        rows[:, depth - 2], rows[:, depth - 1] = pick, rest - pick
+        out.append(rows[fits])
+    return np.unique(-np.sort(-np.concatenate(out), axis=1), axis=0)
+
+
 def solve(combos: np.ndarray, hist: np.ndarray, rounds: int = 400) -> np.ndarray:
     """Repeat counts x >= 0 that minimise |A x - hist|^2, where A counts each
     length in each combination; multiplicative updates keep x >= 0."""
@@ -86,7 +134,7 @@ def solve(combos: np.ndarray, hist: np.ndarray, rounds: int = 400) -> np.ndarray
     flat, used = combos.ravel(), (combos > 0).astype(float)
 
     def lengths(x):  # A x
-        return np.bincount(flat, np.repeat(x, 3) * used.ravel(), len(hist))
+        return np.bincount(flat, np.repeat(x, combos.shape[1]) * used.ravel(), len(hist))
 
     def back(v):  # A' v
         return (v[combos] * used).sum(1)
@@ -98,6 +146,30 @@ def solve(combos: np.ndarray, hist: np.ndarray, rounds: int = 400) -> np.ndarray
     return x
 
 
+def rounded(x: np.ndarray) -> np.ndarray:
+    """Whole numbers near ``x``, largest first, whose sum stays within one of that of ``x``: what is cut off
+    one is added to the next."""
+    order = np.argsort(-x, kind="stable")
+    out = np.zeros(len(x), np.int64)
+    out[order] = np.diff(np.floor(np.cumsum(x[order]) + 1e-9), prepend=0).astype(np.int64)
+    return out
+
+
+def use(combos: np.ndarray, counts: np.ndarray, left: np.ndarray) -> list[tuple[list[int], int]]:
+    """Combinations with how often they are used, no more than their lengths last; ``left`` is lessened."""
+    patterns = []
+    for c in np.argsort(-counts, kind="stable"):
+        if counts[c] <= 0:
+            break
+        lengths = [int(x) for x in combos[c] if x]
+        n = min(int(counts[c]), *(int(left[x]) // lengths.count(x) for x in set(lengths)))
+        if n > 0:
+            patterns.append((lengths, n))
+            for x in lengths:
+                left[x] -= n
+    return patterns
+
+
 @dataclass
 class Plan:
     """Places by length: occurrences ``first .. first + repeat - 1`` of ``length`` go to sequences
@@ -107,6 +179,7 @@ class Plan:
     sequence: np.ndarray
     offset: np.ndarray
     sequences: int
+    solved: int  # the first so many sequences follow from the least squares
 
     def place(self, length: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.searchsorted(self.key, (length << 48) | k, "right") - 1
@@ -117,16 +190,17 @@ def plan(hist: np.ndarray, window: int = WINDOW) -> Plan:
     """The plan for ``hist[length]`` rests, lengths 1..window; every rest gets a place."""
     left = hist.astype(np.int64).copy()
     left[0] = 0
-    patterns: list[tuple[list[int], int]] = []
     combos = combinations(np.flatnonzero(left), window)
-    counts = np.floor(solve(combos, left) + 1e-9).astype(np.int64)
-    for c in np.argsort(-counts, kind="stable"):
-        lengths = [int(x) for x in combos[c] if x]
-        n = min(int(counts[c]), *(int(left[x]) // lengths.count(x) for x in lengths))
-        if n > 0:
-            patterns.append((lengths, n))
-            for x in lengths:
-                left[x] -= n
+    patterns = use(combos, rounded(solve(combos, left)), left)
+    for _ in range(DEEP_ROUNDS):  # rests too short for shallow combinations: deeper ones, on what is left
+        before = int((left * np.arange(window + 1)).sum())
+        if before < DEEP_LEAST * int((hist[1:] * np.arange(1, window + 1)).sum()) or before < window:
+            break
+        combos = deep_combinations(left, window)
+        patterns += use(combos, rounded(solve(combos, left, 100)), left)
+        if int((left * np.arange(window + 1)).sum()) > 0.9 * before:
+            break
+    solved = sum(n for _, n in patterns)
     # the residual: the longest left, then always the longest that still fits;
     # such a sequence is repeated as long as all its lengths last
     rest = {int(x): int(left[x]) for x in np.flatnonzero(left)}
@@ -158,7 +232,7 @@ def plan(hist: np.ndarray, window: int = WINDOW) -> Plan:
             offset += x
         sequence += n
     table = np.array(sorted(rows), np.int64).reshape(-1, 4)
-    return Plan((table[:, 0] << 48) | table[:, 1], table[:, 1], table[:, 2], table[:, 3], sequence)
+    return Plan((table[:, 0] << 48) | table[:, 1], table[:, 1], table[:, 2], table[:, 3], sequence, solved)
 
 
 def pack(cut: DataFrame, window: int = WINDOW) -> DataFrame:

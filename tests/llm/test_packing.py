@@ -100,6 +100,36 @@ def test_plan_places_every_rest_once(seed):
             assert at <= window
 
 
+@pytest.mark.parametrize("lo, hi, many", [(1, 600, 40), (30, 120, 400), (300, 500, 60), (300, 500, 4000), (5, 9, 9000),
+                                          (700, 1000, 200)])
+def test_short_rests_are_placed_by_the_least_squares(lo, hi, many):
+    """The plan, not the greedy residual, packs corpora of short documents."""
+    rng = np.random.default_rng(lo)
+    hist = np.zeros(2049, np.int64)
+    hist[lo:hi + 1] = rng.poisson(many, hi + 1 - lo)
+    plan = packing.plan(hist)
+    used = int((hist * np.arange(2049)).sum())
+    best = max(-(-used // 2048), -(-int(hist.sum()) // (2048 // lo)))
+    if (lo, hi) == (700, 1000):  # two fit, three do not: no combination fills a window
+        assert plan.sequences == -(-int(hist.sum()) // 2) and plan.solved == 0
+    else:
+        assert plan.solved >= 0.9 * plan.sequences and plan.sequences <= 1.01 * best + 1
+
+
+def test_deep_combinations_fill_the_window():
+    hist = np.zeros(2049, np.int64)
+    hist[[31, 64, 90, 111]] = [5, 9, 2, 7]
+    for h in (hist, np.r_[0, np.ones(40, np.int64), np.zeros(2008, np.int64)]):
+        rows = packing.deep_combinations(h)
+        assert len(rows) and (rows.sum(1) == 2048).all() and (h[rows[rows > 0]] > 0).all()
+    assert len(packing.deep_combinations(np.zeros(2049, np.int64))) == 0
+
+
+def test_rounding_keeps_the_sum():
+    x = np.random.default_rng(0).random(1000) * 0.4
+    assert abs(packing.rounded(x).sum() - x.sum()) <= 1 and packing.rounded(np.array([2.0, 0.0, 1.0])).tolist() == [2, 0, 1]
+
+
 def test_least_squares_fits_a_solvable_histogram():
     hist = np.zeros(101, np.int64)
     hist[[30, 70, 50]] = [40, 40, 20]
