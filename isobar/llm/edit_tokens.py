@@ -6,39 +6,73 @@ it touches, and a neighbour when the edit comes so near the boundary between
 them that the pre-tokens there may change; sums are updated on the path to
 the root.
 
-A boundary stands before a single space between two visible characters. The
-tokenizer never joins pre-tokens across such a place, whatever surrounds it,
-so counts of leaves add up to the count of the text.
+A boundary stands where the tokenizer never joins the two sides, whatever
+surrounds them, as told by the two characters at it:
+
+* before white space that follows anything else: pre-tokens have white space at
+  their start only, so a single space and a line end alike;
+* where letters, digits and other signs meet, but behind an apostrophe, which
+  may begin a contraction;
+* inside such a run, where no token of the vocabulary has the last byte of the
+  one character before the first byte of the other: no merge can cross it.
+  Scripts that do without spaces are cut here; an apostrophe is not cut off.
+
+So counts of leaves add up to the count of the text.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
-from itertools import accumulate
+from functools import lru_cache
+from itertools import accumulate, product
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isobar.llm.common import small_batches
-from isobar.llm.tokens import default_paths, encoder
+from isobar.llm.tokens import SPECIAL, byte_pairs, default_paths, encoder
 
 LEAF = 256  # characters of a leaf, about
 
 
-def _visible(c: str) -> bool:
-    return c.isalnum() or "!" <= c <= "~"
+# Characters that the pre-token pattern takes as white space.
+WHITE = set("\t\n\x0b\x0c\r \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000") | {chr(c) for c in range(0x2000, 0x200b)}
+OLD = unicodedata.ucd_3_2_0
 
 
-def cut(text: str, leaf: int = LEAF) -> list[str]:
-    """The text in runs of whole pre-tokens, ``leaf`` characters or a little more each."""
+@lru_cache(maxsize=1 << 16)
+def kind(c: str) -> str:
+    """``w`` for white space, ``L`` letter, ``N`` number, ``o`` any other sign; empty where versions of
+    Unicode might not agree."""
+    if c in WHITE:
+        return "w"
+    now = unicodedata.category(c)
+    if now != OLD.category(c) or now in ("Cn", "Cc", "Cs"):
+        return ""
+    return now[0] if now[0] in "LN" else "o"
+
+
+def boundary(a: str, b: str, joins: frozenset) -> bool:
+    """Whether the text may be cut between the characters ``a`` and ``b``; ``joins`` are the pairs of bytes
+    that follow one another in a token."""
+    x, y = kind(a), kind(b)
+    if not x or not y or x == "w" or a == "'" or a + b in SPECIAL:
+        return False
+    return x != y or b != "'" and (a.encode()[-1], b.encode()[0]) not in joins
+
+
+def cut(text: str, joins: frozenset = frozenset(product(range(256), repeat=2)), leaf: int = LEAF) -> list[str]:
+    """The text in runs of whole pre-tokens, or parts that no merge crosses, ``leaf`` characters or
+    a little more each. Without ``joins`` only whole pre-tokens."""
     out, start = [], 0
     while True:
-        at = text.find(" ", start + leaf)
-        while at >= 0 and not (at + 1 < len(text) and _visible(text[at - 1]) and _visible(text[at + 1])):
-            at = text.find(" ", at + 1)
-        if at < 0:
+        at = start + leaf
+        while at < len(text) and not boundary(text[at - 1], text[at], joins):
+            at += 1
+        if at >= len(text):
             return [*out, text[start:]]
         out.append(text[start:at])
         start = at
@@ -74,7 +108,7 @@ class Tree:
             i //= 2
 
     def edit(self, text: str, at: int, drop: int, put: str, count: Callable[[str], int],
-             leaf: int = LEAF) -> tuple[str, int]:
+             joins: frozenset = frozenset(product(range(256), repeat=2)), leaf: int = LEAF) -> tuple[str, int]:
         """Replace ``drop`` characters at ``at`` by ``put``. Returns the new text
         and how many characters were encoded again. Places outside the text
         are moved to its ends."""
@@ -83,14 +117,14 @@ class Tree:
         starts = [0, *accumulate(self.chars)]  # and the end
         n = len(self.chars)
         lo = min(bisect_right(starts, at) - 1, n - 1)
-        # a boundary holds while the character before it, its space and the next stay
+        # a boundary holds while the characters on both sides of it stay
         while lo > 0 and at <= starts[lo] + 1:
             lo -= 1
         hi = min(max(bisect_right(starts, at + drop) - 1, lo), n - 1)
         while hi < n - 1 and starts[hi + 1] <= at + drop:
             hi += 1
         middle = text[starts[lo]:at] + put + text[at + drop:starts[hi + 1]]
-        parts = cut(middle, leaf)
+        parts = cut(middle, joins, leaf)
         counts = [count(p) for p in parts]
         if len(parts) <= hi - lo + 1:  # the tree keeps its shape; leaves too many become empty
             for i in range(lo, hi + 1):
@@ -116,11 +150,11 @@ def index(documents: DataFrame, leaf: int = LEAF, paths=None, keep: tuple[str, .
     paths = paths or default_paths()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(*paths)
+        encode, joins = encoder(*paths), byte_pairs(paths[1])
         for b in batches:
             trees = []
             for text in b["text"]:
-                parts = cut(text or "", leaf)
+                parts = cut(text or "", joins, leaf)
                 trees.append(Tree.build([len(p) for p in parts], [len(encode(p)) for p in parts]))
             b["leaf_chars"], b["tree"] = [t.chars for t in trees], [t.sums for t in trees]
             yield b
@@ -139,7 +173,7 @@ def apply_edits(indexed: DataFrame, leaf: int = LEAF, paths=None) -> DataFrame:
     paths = paths or default_paths()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(*paths)
+        encode, joins = encoder(*paths), byte_pairs(paths[1])
         for b in batches:
             texts, chars, trees, before, after, work = [], [], [], [], [], []
             for text, lens, sums, edits in zip(b["text"], b["leaf_chars"], b["tree"], b["edits"]):
@@ -147,7 +181,7 @@ def apply_edits(indexed: DataFrame, leaf: int = LEAF, paths=None) -> DataFrame:
                 before.append(tree.total)
                 for e in edits if edits is not None else ():
                     text, n = tree.edit(text or "", int(e["at"] or 0), int(e["drop"] or 0), e["put"] or "",
-                                        lambda p: len(encode(p)), leaf)
+                                        lambda p: len(encode(p)), joins, leaf)
                     done += n
                 texts.append(text)
                 chars.append(tree.chars)
@@ -186,7 +220,7 @@ def derived_edits(n: int = 2) -> Column:
 
 
 def counts(documents: DataFrame, n_edits: int = 2, leaf: int = LEAF, paths=None) -> DataFrame:
-    """``doc_id, n_tokens, edited_tokens, n_chars, encoded_chars, n_leaves`` of
+    """``doc_id, n_tokens, edited_tokens, edited_chars, encoded_chars, n_leaves`` of
     every document before and after its derived edits."""
     rows = documents.withColumn("edits", derived_edits(n_edits))
     trees = index(rows, leaf, paths, keep=("doc_id", "edits"))

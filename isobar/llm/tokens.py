@@ -24,6 +24,14 @@ def _full(json_path: str):
     return Tokenizer.from_file(json_path)
 
 
+@lru_cache(maxsize=2)
+def byte_pairs(ranks_path: str) -> frozenset:
+    """Pairs of bytes that follow one another in any token: elsewhere no merge can happen."""
+    with open(ranks_path, "rb") as f:
+        tokens = (base64.b64decode(line.split()[0]) for line in f)
+        return frozenset(pair for t in tokens for pair in zip(t, t[1:]))
+
+
 @lru_cache(maxsize=2)
 def encoder(json_path: str, ranks_path: str):
     """``text -> ids`` (uint32 array), the ids that ``tokenizers`` gives for the JSON
