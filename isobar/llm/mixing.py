@@ -6,11 +6,17 @@ added, and a document is emitted once for every integer that its stretch of
 the sum crosses. Documents are put in order of size within their source
 first, so that the draw is spread over all sizes and the words taken come
 near the target.
+
+Where a few large documents hold much of a source, a single offset may still miss
+its target by one of them. So several offsets are drawn for each source, and
+the one whose words come nearest is used. A document is then no longer taken with
+exactly its rate over all seeds: with few documents, sets that fit the
+target are preferred. With many, all offsets are about as near.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isobar.llm.common import global_order, staged, word_count
@@ -18,6 +24,7 @@ from isobar.llm.common import global_order, staged, word_count
 # Rates are kept as whole multiples of 2^-26: boundaries are exact integers,
 # so no rounding can give a document one copy too many.
 SCALE = 1 << 26
+OFFSETS = 24  # drawn for each source
 
 
 def targets(sources: DataFrame, cap: float = 3.0, weights=(1, 2, 3), share: float = 1.0) -> DataFrame:
@@ -69,16 +76,25 @@ def mix(rows: DataFrame, seed: int = 11, cap: float = 3.0, weights=(1, 2, 3)) ->
     goals = staged(targets(per_source, cap, weights), "mix-targets")
     rate = F.when(F.col("source_size") > 0,
                   F.floor(F.col("target") / F.col("source_size") * SCALE + 0.5)).otherwise(0)
-    offset = F.pmod(F.xxhash64(F.lit(seed), F.lit("offset"), F.col("source")), F.lit(SCALE))
-    goals = (goals.withColumn("_rate", rate.cast("bigint")).withColumn("_offset", offset)
-             .withColumnRenamed("source", "_source"))
-    joined = placed.join(goals, F.col("source").eqNullSafe(F.col("_source")))
+    goals = goals.withColumn("_rate", rate.cast("bigint")).withColumnRenamed("source", "_source")
     k = F.col("_place") - F.col("_first")
 
-    def crossed(n):
-        return F.shiftright(F.col("_offset") + F.col("_rate") * n, 26)
-
-    return (joined.withColumn("copies", (crossed(k + 1) - crossed(k)).cast("int"))
+    def copies(offset: Column) -> Column:
+        return (F.shiftright(offset + F.col("_rate") * (k + 1), 26) - F.shiftright(offset + F.col("_rate") * k, 26))
+
+    def offset(i: int) -> Column:
+        return F.pmod(F.xxhash64(F.lit(seed), F.lit("offset"), F.lit(i), F.col("_source")), F.lit(SCALE))
+
+    same = F.col("source").eqNullSafe(F.col("_source"))
+    # how far each offset's words are from the target, and the nearest one, the first of equal ones
+    tried = (placed.select("source", "size", "_place").join(goals, same).groupBy("_source", "target")
+             .agg(*[F.sum(F.col("size") * copies(offset(i))).alias(f"w{i}") for i in range(OFFSETS)]))
+    best = F.array_min(F.array(*[F.struct(F.abs(F.col(f"w{i}") - F.col("target")), F.lit(i), offset(i).alias("_offset"))
+                                 for i in range(OFFSETS)]))["_offset"]
+    chosen = tried.select(F.col("_source").alias("_of"), best.alias("_offset"))
+    goals = staged(goals.join(chosen, F.col("_source").eqNullSafe(F.col("_of"))).drop("_of"), "mix-offsets")
+    joined = placed.join(goals, same)
+    return (joined.withColumn("copies", copies(F.col("_offset")).cast("int"))
             .drop("_null", "_mixed", "_place", "_first", "_rate", "_offset", "_source"))
 
 
@@ -86,8 +102,9 @@ def mix_report(documents: DataFrame, seed: int = 11) -> DataFrame:
     """``doc_id, size, source_size, target, taken, copies`` of every document;
     ``taken`` is the words the mix takes from it, repeats counted. NULL text
     has size 0."""
-    rows = documents.select("doc_id", "source", word_count("text").alias("size"),
-                            F.xxhash64("text").alias("tie"))
+    # staged: the sort reads its rows twice, to sample and to deal them
+    rows = staged(documents.select("doc_id", "source", word_count("text").alias("size"),
+                                   F.xxhash64("text").alias("tie")), "mix-sizes")
     return mix(rows, seed).select(
         "doc_id", "size", "source_size", "target",
         (F.col("size") * F.col("copies")).cast("bigint").alias("taken"), "copies")
