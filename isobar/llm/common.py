@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from isobar.session import shared_dir
+from isobar.session import scratch_path
 
 # White space separates words; a word is a run of anything else.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -47,9 +46,10 @@ def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet to the shared folder and read back: cuts
     lineage so that a lost executor recomputes nothing before this point,
-    and later passes read only the columns they use."""
+    and later passes read only the columns they use. ``session.clear_scratch``
+    removes it."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "llm", name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

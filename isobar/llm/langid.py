@@ -27,6 +27,7 @@ HIDDEN = 8
 FIT_DOCS = 1500
 FIT_SEGMENTS = 3
 STEPS = 700
+EVIDENCE = 2 / 15  # for four languages, a score of 0.35
 BATCH = 192
 BLOCK = 4096  # segments run side by side
 
@@ -262,16 +263,24 @@ def report(documents: DataFrame) -> DataFrame:
     return predict(rows, net)
 
 
-def identified(documents: DataFrame, min_score: float = 0.35) -> DataFrame:
+def least_score(languages: int, evidence: float = EVIDENCE) -> float:
+    """The score that counts as evidence for a language: a guess among ``languages`` has one over
+    their number, certainty has 1, and ``evidence`` is the share of the way from one to
+    the other. With a single language there is nothing to tell apart."""
+    return 0.0 if languages < 2 else 1 / languages + evidence * (1 - 1 / languages)
+
+
+def identified(documents: DataFrame, evidence: float = EVIDENCE) -> DataFrame:
     """The documents with a language: not ``und``, and scored at least
-    ``min_score``. All columns are kept as they are; only the text goes to Python."""
+    :func:`least_score`. All columns are kept as they are; only the text goes to Python."""
     spark = documents.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(fit(documents))
+    net = fit(documents)
+    shared, least = spark.sparkContext.broadcast(net), least_score(len(net.langs) if net else 0, evidence)
 
     @F.pandas_udf("boolean")
     def recognised(texts: pd.Series) -> pd.Series:
         pred, score = _scored(shared.value, texts)
-        return pd.Series((pred != "und") & (score >= min_score))
+        return pd.Series((pred != "und") & (score >= least))
 
     return documents.filter(recognised(F.col("text")))

@@ -233,10 +233,12 @@ def deduplicated(documents: DataFrame, shingle: int = SHINGLE, max_bits: int = M
     classes = near_duplicates(documents, shingle, max_bits)
     rows = classes.groupBy("doc_id", "tie", "component_id", "rep_tie").agg(F.count(F.lit(1)).alias("n"))
     stays = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("tie") == F.col("rep_tie"))
-    rows = rows.select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), stays.alias("_stays"), "n")
-    odd = staged(rows.filter(~F.col("_stays") | (F.col("n") > 1)).drop("n"), "sim-odd")
-    docs = documents.withColumn("_text_hash", F.xxhash64("text"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_tie"))
+    rows = rows.select(F.col("doc_id").alias("odd_id"), F.col("tie").alias("odd_tie"), stays.alias("stays"), "n")
+    odd = staged(rows.filter(~F.col("stays") | (F.col("n") > 1)).drop("n"), "sim-odd")
+    # each row is one struct, so its names cannot clash with the others
+    docs = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"),
+                            F.col("doc_id").cast("bigint").alias("id"), F.xxhash64("text").alias("tie"))
+    same = F.col("id").eqNullSafe(F.col("odd_id")) & (F.col("tie") == F.col("odd_tie"))
     once = docs.join(odd, same, "left_anti")
-    repeated = docs.join(odd.filter("_stays"), same, "left_semi").dropDuplicates(["doc_id", "_text_hash"])
-    return once.unionByName(repeated).drop("_text_hash")
+    repeated = docs.join(odd.filter("stays"), same, "left_semi").dropDuplicates(["id", "tie"])
+    return once.unionByName(repeated).select("row.*")

@@ -22,7 +22,7 @@ def short_training(monkeypatch):
 def test_registered():
     names = entry.queries()
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in names) == 1
 
 
