@@ -16,6 +16,21 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+STATE_CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+# Fixed value: Spark's provider of state on disk.
+DISK_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def state_on_disk(spark: SparkSession) -> None:
+    """ST2: keep streaming state in RocksDB on the executors' disks, so that it may outgrow
+    their heaps, and checkpoint only what a micro-batch changed. A provider that was set by
+    the user stays; a query that has a checkpoint goes on with the one it was started with."""
+    if spark.conf.get(STATE_PROVIDER).endswith(".HDFSBackedStateStoreProvider"):
+        spark.conf.set(STATE_PROVIDER, DISK_STATE)
+        spark.conf.set(STATE_CHANGELOG, "true")
+
+
 def read_files(spark: SparkSession, source_dir: str, schema: StructType | str,
                fmt: str = "json", glob: str | None = None,
                max_files: int = 100) -> DataFrame:
@@ -34,6 +49,7 @@ def run_available_now(df: DataFrame, checkpoint: str,
     """Drain everything available and stop. Either a file sink at
     ``sink_path`` (exactly-once through its ``_spark_metadata`` log) or a
     ``foreachBatch`` function (which must be idempotent per batch id)."""
+    state_on_disk(df.sparkSession)
     w = (df.writeStream.outputMode(output_mode)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True))

@@ -3,7 +3,8 @@
 A streaming aggregation keeps one row per key in the state store:
 ``max(struct(ts, tiebreak, values...))`` picks the newest reading with a
 total order. It is an ordinary hash aggregate, so partial aggregation runs
-before the shuffle and a hot key costs one state row.
+before the shuffle and a hot key costs one state row. The store is on disk with
+a log of changes (:func:`isobar.streaming.ingest.state_on_disk`).
 """
 
 from __future__ import annotations

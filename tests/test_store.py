@@ -92,6 +92,78 @@ def test_a_lost_partition_counts_as_damage(spark, workdir):
     assert jobs.damaged(spark, store)
 
 
+@pytest.mark.parametrize("name, part, fed", [
+    ("forecast", "2017-03-09", [1]), ("observation", "2017-03-08", [0, 2]), ("cityDay", "2017-03-08", [0, 2]),
+    ("city", None, [0, 1, 2]), ("newest", None, [])])
+def test_a_lost_part_is_filled_from_the_files_that_fed_it(spark, workdir, monkeypatch, name, part, fed):
+    landing, store = workdir + "/landing", workdir + "/store"
+    e, day = 1489006920, 24 * 3600  # 2017-03-08, 15:02 local
+    write_file(landing, "2017/03/08/15/feed-1-a", [
+        record("Avon", e, "50.0", "49.0", "23%", "10.0", [(e + 3600, 51, 50, 25, 12)]),
+        record("", e, "1.0", "1.0", "1%", "1.0")])
+    write_file(landing, "2017/03/09/15/feed-1-b", [
+        record("Avon", e + day, "53.0", "49.0", "23%", "10.0", [(e + day + 3600, 52, 50, 25, 12), (None, 1, 1, 1, 1)])])
+    write_file(landing, "2017/03/10/15/feed-1-c", [
+        record("Avon", e, "55.0", "49.0", "23%", "10.0", [(e + 7200, 54, 50, 25, 12)])])
+    jobs.normalize_job(spark, landing, store, TOKENS)
+    want, base = content(spark, store), jobs.open_store(spark, store)
+    scores = stats(jobs.analyze_pending(spark, store))
+    path = f"{base}/{name}"
+    fs.delete(spark, f"{path}/{dict(sinks.manifest(spark, path)['parts'])[part]}")
+    read, real = [], jobs.read_raw
+    monkeypatch.setattr(jobs, "read_raw", lambda s, p: read.extend(p) or real(s, p))
+    monkeypatch.setattr(jobs, "BATCH_FILES", 1)  # several batches are put together
+    m = jobs.normalize_job(spark, landing, store, TOKENS)
+    assert sorted(p.partition("feed-1-")[2] for p in read) == ["abc"[i] for i in fed]
+    assert (m["rebuilt"], m["healed_parts"], m["refilled_files"], m["missing_files"]) == (0, 1, len(fed), 0)
+    assert jobs.open_store(spark, store) == base and content(spark, store) == want
+    assert not jobs.damaged(spark, store) and stats(jobs.analyze_pending(spark, store)) == scores
+    jobs.rebuild_job(spark, landing, store, TOKENS)
+    assert content(spark, store) == want
+
+
+def test_a_ledger_without_dates_leads_to_a_rebuild(spark, workdir):
+    landing, store = write_avon(workdir + "/landing"), workdir + "/store"
+    jobs.normalize_job(spark, landing, store, TOKENS)
+    want, base = content(spark, store), jobs.open_store(spark, store)
+    old = sinks.read_parts(spark, f"{base}/path").select("path", "day")
+    sinks.write_parts(session.staged(old, "old"), f"{base}/path", "day")
+    write_file(landing, "2017/03/08/17/feed-1-z", [record("", 1489006920, "1.0", "1.0", "1%", "1.0")])
+    jobs.normalize_job(spark, landing, store, TOKENS)  # entries with and without dates side by side
+    assert sinks.read_parts(spark, f"{base}/path").filter("fdates IS NULL").count() == old.count()
+    path = f"{base}/observation"
+    fs.delete(spark, f"{path}/{sinks.manifest(spark, path)['parts'][0][1]}")
+    assert jobs.normalize_job(spark, landing, store, TOKENS)["rebuilt"] == 1
+    assert content(spark, store) == want
+
+
+def test_every_reject_is_a_row_with_its_file(spark, workdir):
+    landing = workdir + "/landing"
+    blank, other = record("", 1, "1", "1", "1%", "1"), {"almanac": {"airport_code": "X"}}
+    path = write_file(landing, FILE_A, [record("Avon", 1489006920, "50.0", "49.0", "23%", "10.0"), blank, blank, other])
+    with open(path, "a") as fh:
+        fh.write('{"broken\n')
+    write_file(landing, FILE_B, [blank])
+    tables = []
+    for name, job in (("n", jobs.normalize_job), ("r", jobs.rebuild_job),
+                      ("s", lambda s, land, st, t: jobs.stream_normalize_job(s, land, st, workdir + "/ck", t))):
+        store = f"{workdir}/{name}"
+        job(spark, landing, store, TOKENS)
+        base = jobs.open_store(spark, store)
+        rows = sinks.read_parts(spark, f"{base}/rejects").collect()
+        tables.append(sorted((r.path[-10:], r.source, r.reason, r.n, r.digest) for r in rows))
+        assert [r.record for r in rows if r.reason == "corrupt"] == ['{"broken']
+        assert [r.record for r in rows if r.n == 1 and r.source == 2017030815 and r.reason == "blank"] == [
+            '{"almanac":{"airport_code":"X"}}']
+    assert tables[0] == tables[1] == tables[2]
+    assert sorted((p, r, n) for p, _, r, n, _ in tables[0]) == sorted([
+        (FILE_A[-10:], "blank", 2), (FILE_A[-10:], "blank", 1), (FILE_A[-10:], "corrupt", 1), (FILE_B[-10:], "blank", 1)])
+    raw = jobs.read_raw(spark, [path]).persist()
+    jobs.merge_raw(spark, raw, jobs.open_store(spark, workdir + "/n"), "again")  # a run that died before the ledger
+    again = sinks.read_parts(spark, f"{jobs.open_store(spark, workdir + '/n')}/rejects")
+    assert again.count() == 4 and again.agg(F.sum("n")).first()[0] == 5
+
+
 def test_a_rebuild_leaves_no_stale_statistics(spark, workdir):
     landing, store = workdir + "/landing", workdir + "/store"
     write_avon(landing)

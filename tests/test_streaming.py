@@ -1,5 +1,6 @@
 """Structured Streaming forms: ingest once, keyed upsert, speed layer."""
 
+import glob
 import os
 
 import pytest
@@ -61,6 +62,73 @@ def test_latest_state_and_page_patch(spark, workdir):
     assert 1 <= fn.updated <= 3
 
 
+def test_state_is_on_disk_and_a_killed_query_resumes(spark, workdir):
+    """The second micro-batch dies after its state was updated; the restarted query gives what one
+    that never died gives."""
+    src, ck = workdir + "/src", workdir + "/ck"
+    rows = [(k, t, 1000 * t + k) for t in range(4) for k in range(500) if (k + t) % 3]
+    for t in range(4):
+        df = spark.createDataFrame([r for r in rows if r[1] == t], "k int, ts int, v int")
+        df.coalesce(1).write.json(f"{src}/{t}")
+    stream = latest_state(ingest.read_files(spark, f"{src}/*", "k int, ts int, v int", max_files=1), "k", "ts", ["v"])
+    sunk, dies = {}, [True]
+
+    def sink(batch, batch_id):
+        got = {r.k: (r.ts, r.v) for r in batch.collect()}
+        if batch_id == 1 and dies:
+            dies.pop()
+            raise RuntimeError("lost")
+        sunk[batch_id] = got
+
+    with pytest.raises(Exception, match="lost"):
+        ingest.run_available_now(stream, ck, batch_fn=sink, output_mode="update")
+    assert sorted(sunk) == [0]
+    q = ingest.run_available_now(stream, ck, batch_fn=sink, output_mode="update")
+    state = {}
+    for batch in sorted(sunk):
+        state.update(sunk[batch])
+    want = {}
+    for k, t, v in rows:
+        want[k] = max(want.get(k, (t, v)), (t, v))
+    assert state == want and sorted(sunk) == [0, 1, 2, 3]
+    op = q.lastProgress["stateOperators"][0]
+    assert any(m.startswith("rocksdb") for m in op["customMetrics"]) and op["numRowsTotal"] == 500
+    assert glob.glob(f"{ck}/state/0/*/*.changelog")
+
+
+def test_a_provider_that_was_set_stays(spark):
+    was = spark.conf.get(ingest.STATE_PROVIDER)
+    spark.conf.set(ingest.STATE_PROVIDER, "org.example.Other")
+    ingest.state_on_disk(spark)
+    assert spark.conf.get(ingest.STATE_PROVIDER) == "org.example.Other"
+    spark.conf.set(ingest.STATE_PROVIDER, was)
+
+
+def test_counters_of_micro_batches_also_after_a_replay(spark, workdir, monkeypatch):
+    landing, st, ck = (os.path.join(workdir, n) for n in ("landing", "store", "ck"))
+    write_avon(landing, only=[FILE_A, FILE_B])
+    record_files, calls = jobs._record, []
+
+    def dying(*args):
+        calls.append(1)
+        record_files(*args)
+        if len(calls) == 1:
+            raise RuntimeError("lost")
+
+    monkeypatch.setattr(jobs, "_record", dying)
+    with pytest.raises(Exception, match="lost"):
+        jobs.stream_normalize_job(spark, landing, st, ck, TOKENS, max_files=1)
+    jobs.stream_normalize_job(spark, landing, st, ck, TOKENS, max_files=1)
+    write_avon(landing, only=[FILE_C])
+    jobs.stream_normalize_job(spark, landing, st, ck, TOKENS, max_files=1)
+    rows = sinks.read_parts(spark, f"{jobs.open_store(spark, st)}/batches").collect()
+    got = {(r.batch, r.name): r.value for r in rows}
+    assert len(got) == len(rows) and {b for b, _ in got} == {0, 1, 2} and {r["query"] for r in rows} == {ck}
+    assert [sum(v for (_, n), v in got.items() if n == name) for name in
+            ("records", "rejected_blank", "rejected_corrupt", "rows_observation")] == [5, 2, 0, 3]
+    assert all(got[b, "touched_dates"] >= 1 for b in range(3))
+
+
 def test_stream_normalize_job_equals_batch(spark, workdir):
     landing = os.path.join(workdir, "landing")
     st = os.path.join(workdir, "stream-store")
