@@ -103,6 +103,24 @@ def read_parts(spark: SparkSession, path: str, parts: Sequence | None = None) ->
     return _read(spark, path, manifest(spark, path), parts)
 
 
+def folders(spark: SparkSession, path: str) -> dict:
+    """Partition value -> folder of the table's newest commit; a folder's content never changes."""
+    return _parts(manifest(spark, path))
+
+
+def read_folders(spark: SparkSession, path: str, wanted: Sequence[str]) -> DataFrame:
+    """Rows of folders that are or were parts of the table, with its present schema."""
+    m = manifest(spark, path)
+    return _read(spark, path, {**m, "parts": [[None, f] for f in wanted]})
+
+
+def drop_parts(spark: SparkSession, path: str, values: Sequence) -> None:
+    """Take the parts ``values`` away."""
+    base = newest(spark, path)
+    if values and base[1] is not None:
+        _commit(spark, path, base, StructType.fromJson(base[1]["schema"]), base[1]["partition_by"], values, {}, False)
+
+
 def _commit(spark: SparkSession, path: str, base: tuple[int, dict | None], schema: StructType,
             partition_by: str | None, values: Sequence | None, written: dict, checked: bool) -> bool:
     """Replace the parts ``values`` (None: all) by the folders ``written``, as a commit

@@ -1,0 +1,186 @@
+"""Scoring by differences equals scoring everything."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from isobar.operators import verify
+from isobar.plans import jobs, scoring
+from isobar.sources import fs, sinks
+from tests.feed_fixture import TOKENS, record, write_file
+
+E = 1489006920  # 2017-03-08, 15:02 local
+HOUR = 3600
+
+
+def table(df):
+    return sorted(tuple(None if v is None else round(v, 6) for v in r) for r in df.collect())
+
+
+def whole(spark, store):
+    t = jobs.load_tables(spark, store)
+    return table(verify.feed_skill(t["forecast"], t["observation"]))
+
+
+def deltas(spark, store):
+    rows = sinks.read_parts(spark, f"{jobs.open_store(spark, store)}/pair_sums")
+    return {r.tdate: r.deltas for r in rows.select("tdate", "deltas").distinct().collect()}
+
+
+def kept(spark, store):
+    notes = sinks.read_parts(spark, f"{jobs.open_store(spark, store)}/{scoring.NOTES}")
+    return notes.select("run").distinct().count()
+
+
+def deliver(root, n, records):
+    """A delivery whose files are newer than those of delivery ``n - 1``."""
+    write_file(root, f"2017/03/{10 + n // 24:02d}/{n % 24:02d}/feed-1-{n}", records)
+
+
+def observed(city, hour, temp, forecasts=()):
+    return record(city, E + hour * HOUR, str(temp), str(temp - 1), "23%", "10.0",
+                  [(E + (hour + k) * HOUR, t, t, 30, 12) for k, t in forecasts])
+
+
+def test_random_updates(spark, workdir):
+    """Late rows, rows that replace others, values that are no numbers, new locations: after each
+    delivery the differences give what scoring everything gives."""
+    rng, root, store, seen = random.Random(5), workdir + "/landing", workdir + "/store", []
+    for n in range(5):
+        records = []
+        for _ in range(6):
+            h = rng.randrange(0, 14)
+            records.append(observed(rng.choice(["Avon", "Vail", "Rifle"]), h, 40 + rng.randrange(20),
+                                    [(k, rng.choice([None, 35 + rng.randrange(30)])) for k in range(1, 10)]))
+        deliver(root, rng.choice([n, 20 - n]), records)
+        jobs.normalize_job(spark, root, store, TOKENS)
+        got = jobs.analyze_pending(spark, store, full_share=9)
+        assert table(got) == whole(spark, store)
+        seen.append(deltas(spark, store))
+        assert kept(spark, store) == 0
+    assert max(seen[-1].values()) >= 2
+    assert table(jobs.analyze_job(spark, store)) == whole(spark, store) and not any(deltas(spark, store).values())
+
+
+@pytest.fixture()
+def day(spark, workdir):
+    """A store with one day of two locations, scored in full."""
+    root, store = workdir + "/landing", workdir + "/store"
+    deliver(root, 0, [observed(c, h, 50 + h, [(k, 50 + k) for k in range(1, 4)])
+                      for c in ("Avon", "Vail") for h in range(-12, 8)])
+    jobs.normalize_job(spark, root, store, TOKENS)
+    jobs.analyze_pending(spark, store)
+    return root, store
+
+
+def test_a_late_row_touches_its_own_hours(spark, day, monkeypatch):
+    root, store = day
+    deliver(root, 1, [observed("Avon", -6, 70)])
+    jobs.normalize_job(spark, root, store, TOKENS)
+    real, asked = verify.feed_sums_by_date, []
+
+    def recorded(forecast, observation, date_col="tdate", hours=None):
+        asked.append((forecast.count() if hours is None else hours.collect()))
+        return real(forecast, observation, date_col, hours)
+
+    monkeypatch.setattr(verify, "feed_sums_by_date", recorded)
+    got = table(jobs.analyze_pending(spark, store))
+    monkeypatch.undo()
+    hour = (E - E % HOUR - 6 * HOUR) - 6 * HOUR  # as the local clock shows it
+    assert asked[0] == 0 and [[(r.tdate, r.city, r.ts) for r in h] for h in asked[1:]] == [
+        [("2017-03-08", "Avon", hour)]] * 2
+    assert got == whole(spark, store) and deltas(spark, store) == {"2017-03-08": 1}
+
+
+def test_many_touched_hours_are_scored_in_full(spark, day):
+    root, store = day
+    deliver(root, 1, [observed("Avon", h, 70) for h in range(-12, 8)])
+    jobs.normalize_job(spark, root, store, TOKENS)
+    assert table(jobs.analyze_pending(spark, store)) == whole(spark, store)
+    assert not any(deltas(spark, store).values())
+
+
+@pytest.mark.parametrize("gone", ["forecast", "observation"])
+def test_without_the_folders_scored_from_all_is_scored(spark, day, gone):
+    root, store = day
+    path = jobs.table_path(spark, store, gone)
+    old = sinks.folders(spark, path)["2017-03-08"]
+    deliver(root, 1, [observed("Avon", -6, 70, [(1, 44)])])
+    jobs.normalize_job(spark, root, store, TOKENS)
+    assert sinks.folders(spark, path)["2017-03-08"] != old
+    fs.delete(spark, f"{path}/{old}")
+    assert table(jobs.analyze_pending(spark, store)) == whole(spark, store)
+    assert deltas(spark, store)["2017-03-08"] == 0
+
+
+def test_differences_are_bounded(spark, day, monkeypatch):
+    root, store = day
+    monkeypatch.setattr(scoring, "MOST_DELTAS", 1)
+    for n, want in ((1, 1), (2, 0)):
+        deliver(root, n, [observed("Avon", -6, 70 + n)])
+        jobs.normalize_job(spark, root, store, TOKENS)
+        assert table(jobs.analyze_pending(spark, store)) == whole(spark, store)
+        assert deltas(spark, store)["2017-03-08"] == want
+
+
+def test_a_run_that_died_is_counted_once(spark, day, workdir, monkeypatch):
+    """A run dies when its tables are written; another run's analysis takes the same date in; the first
+    is redone. Its notes stay until they are old, and cancel out."""
+    root, store = day
+    deliver(root, 1, [observed("Avon", -6, 70, [(1, 44)])])
+    with monkeypatch.context() as m:
+        def dies(*args):
+            raise RuntimeError("lost")
+        m.setattr(sinks, "mark", dies)
+        with pytest.raises(RuntimeError):
+            jobs.normalize_job(spark, root, store, TOKENS)
+    deliver(workdir + "/other", 2, [observed("Vail", -5, 60)])
+    jobs.normalize_job(spark, workdir + "/other", store, TOKENS)
+    assert table(jobs.analyze_pending(spark, store)) == whole(spark, store)
+    jobs.normalize_job(spark, root, store, TOKENS)
+    assert table(jobs.analyze_pending(spark, store)) == whole(spark, store)
+    assert kept(spark, store) == 1
+    scoring.forget_lost(spark, jobs.open_store(spark, store), 86400)
+    assert kept(spark, store) == 1
+    scoring.forget_lost(spark, jobs.open_store(spark, store), -5)
+    assert kept(spark, store) == 0
+
+
+def test_an_analysis_during_a_merge_keeps_its_notes(spark, day, monkeypatch):
+    """An analysis runs after the notes of a merge were written and before its tables are."""
+    root, store = day
+    deliver(root, 1, [observed("Avon", -6, 70, [(1, 44)])])
+    real = scoring.note
+
+    def note(*args):
+        real(*args)
+        jobs.analyze_pending(spark, store)
+
+    monkeypatch.setattr(scoring, "note", note)
+    jobs.normalize_job(spark, root, store, TOKENS)
+    assert kept(spark, store) == 1
+    assert table(jobs.analyze_pending(spark, store)) == whole(spark, store)
+    assert kept(spark, store) == 0 and deltas(spark, store)["2017-03-08"] == 1
+
+
+def test_sums_of_an_older_layout_are_scored_in_full(spark, day):
+    root, store = day
+    path = f"{jobs.open_store(spark, store)}/pair_sums"
+    old = jobs.staged(sinks.read_parts(spark, path).drop("f_part", "a_part", "deltas"), "older")
+    sinks.write_parts(old, path, "tdate")
+    deliver(root, 1, [observed("Avon", -6, 70)])
+    jobs.normalize_job(spark, root, store, TOKENS)
+    assert table(jobs.analyze_pending(spark, store)) == whole(spark, store)
+    assert deltas(spark, store)["2017-03-08"] == 0
+
+
+def test_other_hours_are_not_shuffled(spark, day):
+    """Both sides are cut to the touched hours by a broadcast before they are grouped."""
+    _, store = day
+    t = jobs.load_tables(spark, store)
+    hours = spark.createDataFrame([("Avon", E - E % HOUR)], "city string, ts bigint")
+    plan = verify.feed_sums_by_date(t["forecast"], t["observation"], hours=F.broadcast(hours)) \
+        ._jdf.queryExecution().executedPlan().toString()
+    first = plan[plan.rindex("HashAggregate"):]
+    assert "BroadcastHashJoin" in first and "LeftSemi" in first
