@@ -31,7 +31,7 @@ CENTROIDS = 64
 MOST_CENTROIDS = 512
 PROBES = 200
 RECALL = 0.95
-BLOCK = 16384  # most vectors, and most queries, that meet in one task
+BLOCK = 16384  # most vectors, and about as many queries, that meet in one task
 
 
 def usable(embedding: str = "embedding") -> Column:
@@ -101,6 +101,30 @@ class Index:
     counts: np.ndarray  # entries of each cell (first centroid, second centroid)
     depth: int  # entries a query visits at least
 
+    def blocks(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Cells laid out in blocks of at most ``size`` entries: the first block of each cell and how
+        many it has (more than one where a cell alone is larger). A block is a run of cells with
+        one first centroid, and the second ones in the order of their main direction, so that a
+        query, which visits similar cells, meets few blocks."""
+        first, parts = np.zeros(self.counts.shape, np.int64), np.ones(self.counts.shape, np.int64)
+        second = self.books[1] - self.books[1].mean(0)
+        order = np.argsort(second @ np.linalg.svd(second, full_matrices=False)[2][0], kind="stable") \
+            if second.size else np.arange(len(second))
+        block = -1
+        for c1 in range(len(self.counts)):
+            held = size  # a centroid's first cell begins a block
+            for c2 in order:
+                n = int(self.counts[c1, c2])
+                if n and held + n > size:
+                    block, held = block + 1, 0
+                first[c1, c2] = max(block, 0)
+                if n > size:
+                    parts[c1, c2] = -(-n // size)
+                    block += int(parts[c1, c2]) - 1
+                    n = size  # nothing more goes into its blocks
+                held += n
+        return first, parts
+
     def visit(self, query: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """Non-empty cells in order of summed score, best first, each with the
         number of entries visited before it. The heap holds the frontier of pairs
@@ -126,8 +150,8 @@ class Index:
 
 
 def top(scores: np.ndarray, ids: np.ndarray, q: np.ndarray, x: np.ndarray, k: int):
-    """Exact best ``k`` columns of each row: larger score first, ties to the
-    smaller id; entries of -inf are left out. Scores returned are dot products
+    """Columns of the exact best ``k`` of each row and their scores: larger score first, ties to
+    the smaller id; entries of -inf are left out. Scores returned are dot products
     of one pair at a time, so equal vectors score exactly the same."""
     n = scores.shape[1]
     for row in range(len(scores)):
@@ -139,7 +163,7 @@ def top(scores: np.ndarray, ids: np.ndarray, q: np.ndarray, x: np.ndarray, k: in
             near = np.flatnonzero(s > -np.inf)
         exact = (x[near] * q[row]).sum(1)
         best = np.lexsort((ids[near], -exact))[:k]
-        yield ids[near[best]], exact[best]
+        yield near[best], exact[best]
 
 
 def build(rows: DataFrame, k: int = 20, recall: float = RECALL, centroids: int | None = None) -> tuple:
@@ -174,15 +198,18 @@ def build(rows: DataFrame, k: int = 20, recall: float = RECALL, centroids: int |
 
     def brute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, probes = asked.value
-        for b in batches:
-            y, own = matrix(b["v"]), b["id"].to_numpy()
+        best: list[np.ndarray | None] = [None] * len(ids)  # of the task's batches: -score, id, c1, c2
+        for b in filter(len, batches):
+            y, own, c1, c2 = matrix(b["v"]), b["id"].to_numpy(), b["c1"].to_numpy(), b["c2"].to_numpy()
             s = probes @ y.T
             s[ids[:, None] == own[None, :]] = -np.inf
-            at = {int(v): i for i, v in enumerate(own)}
-            for p, (found, score) in enumerate(top(s, own, probes, y, k)):
-                place = [at[int(f)] for f in found]
-                yield pd.DataFrame({"probe": p, "id": found, "score": score,
-                                    "c1": b["c1"].to_numpy()[place], "c2": b["c2"].to_numpy()[place]})
+            for p, (at, score) in enumerate(top(s, own, probes, y, k)):
+                rows = np.rec.fromarrays([-score, own[at], c1[at], c2[at]], names="far,id,c1,c2")
+                both = rows if best[p] is None else np.concatenate([best[p], rows])
+                best[p] = both[np.lexsort((both["id"], both["far"]))[:k]]
+        for p, rows in enumerate(best):
+            if rows is not None:
+                yield pd.DataFrame({"probe": p, "id": rows["id"], "score": -rows["far"], "c1": rows["c1"], "c2": rows["c2"]})
 
     w = Window.partitionBy("probe").orderBy(F.desc("score"), "id")
     true = (entries.mapInPandas(brute, "probe int, id bigint, score double, c1 int, c2 int")
@@ -201,12 +228,13 @@ def build(rows: DataFrame, k: int = 20, recall: float = RECALL, centroids: int |
     return index, entries
 
 
-def search(index: Index | None, entries: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
+def search(index: Index | None, entries: DataFrame, is_query: Column, k: int = 20, size: int | None = None) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``k`` nearest found for each entry with
     ``is_query``, among all other entries, by largest inner product.
 
-    Queries and entries meet per first centroid, both dealt into blocks of
-    about ``BLOCK``, so a crowded centroid is many tasks. A query takes cells until
+    Queries go to the blocks that hold cells they visit, and entries lie in one block each, so an
+    entry is shuffled once. Only a block that more than ``size`` queries visit is copied, once
+    for each ``size`` (``BLOCK`` if None) of them, so a task holds about ``size`` of either. A query takes cells until
     they hold the index's depth, and at least ``k``, besides all entries of its own
     id, so fewer than ``k`` are found only where there are fewer.
 
@@ -220,42 +248,46 @@ def search(index: Index | None, entries: DataFrame, is_query: Column, k: int = 2
     schema = "query_id bigint, rank int, vec_id bigint, score double"
     if index is None:
         return spark.createDataFrame([], schema)
-    shared = spark.sparkContext.broadcast(index)
+    size = size or BLOCK
+    first, parts = index.blocks(size)
+    shared = spark.sparkContext.broadcast((index, first, parts))
     queries = entries.filter(is_query).select("id", "v")
     own = queries.groupBy("id").agg(F.count(F.lit(1)).alias("own")).filter("own > 1")
     queries = queries.join(own, "id", "left").select("id", "v", F.coalesce("own", F.lit(1)).alias("own"))
     queries = staged(queries.withColumn("ask", F.monotonically_increasing_id()), "ann-queries")
-    n_queries = queries.count()
-    if not n_queries:
-        return spark.createDataFrame([], schema)
-    query_blocks = -(-n_queries // BLOCK)
-    blocks = [int(-(-n // BLOCK)) or 1 for n in index.counts.sum(1)]
-    of_cell = F.element_at(F.array(*map(F.lit, blocks)), F.col("c1") + 1)
 
     def traverse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index = shared.value
+        index, first, parts = shared.value
         for b in batches:
             out = []
-            for ask, q, v, own in zip(b["ask"], b["id"], b["v"], b["own"]):
+            for ask, v, own in zip(b["ask"], b["v"], b["own"]):
                 cells: dict[int, np.ndarray] = {}
                 for c1, c2, seen in index.visit(np.frombuffer(v, "<f8")):
                     if seen - own >= max(index.depth, k):
                         break
-                    cells.setdefault(c1, np.zeros(len(index.books[1]), np.uint8))[c2] = 1
-                out += [(ask, q, v, c1, np.packbits(m).tobytes()) for c1, m in cells.items()]
-            yield pd.DataFrame(out, columns=["ask", "id", "v", "c1", "seen"])
-
-    asked = (queries.repartition(spark.sparkContext.defaultParallelism * 2, "ask")
-             .mapInPandas(traverse, "ask bigint, id bigint, v binary, c1 int, seen binary")
-             .withColumn("qb", F.pmod(F.xxhash64("ask"), F.lit(query_blocks)))
-             .withColumn("eb", F.explode(F.sequence(F.lit(0), of_cell - 1))))
-    listed = (entries.withColumn("eb", F.pmod(F.xxhash64("id", "v"), of_cell).cast("int"))
-              .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))))
+                    for block in range(first[c1, c2], first[c1, c2] + parts[c1, c2]):
+                        cells.setdefault(block, np.zeros(len(index.books[1]), np.uint8))[c2] = 1
+                out += [(ask, block, np.packbits(m).tobytes()) for block, m in cells.items()]
+            yield pd.DataFrame(out, columns=["ask", "block", "seen"])
+
+    # without the vectors, which are joined on where the rows are dealt
+    visits = staged(queries.repartition(spark.sparkContext.defaultParallelism * 2, "ask")
+                    .mapInPandas(traverse, "ask bigint, block bigint, seen binary"), "ann-visits")
+    turns = staged(visits.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("turns")), "ann-turns")
+    asked = (visits.join(turns, "block").withColumn("turn", F.pmod(F.xxhash64("ask"), F.col("turns")).cast("int"))
+             .join(queries.select("ask", "id", "v"), "ask").select("ask", "id", "v", "block", "turn", "seen"))
+    c1, c2 = np.nonzero(index.counts)  # at most MOST_CENTROIDS ** 2 cells
+    cells = spark.createDataFrame(pd.DataFrame({"c1": c1.astype(np.int32), "c2": c2.astype(np.int32),
+                                                "first": first[c1, c2], "parts": parts[c1, c2]}),
+                                  "c1 int, c2 int, first bigint, parts bigint")
+    listed = (entries.join(F.broadcast(cells), ["c1", "c2"])
+              .withColumn("block", F.col("first") + F.pmod(F.xxhash64("id", "v"), F.col("parts"))).join(turns, "block")
+              .select("id", "v", "c2", "block", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn")))
 
     def rerank(key, qs: pd.DataFrame, es: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(qs) and len(es):
-            n2 = len(shared.value.books[1])
+            n2 = len(shared.value[0].books[1])
             x, ids, c2 = matrix(es["v"]), es["id"].to_numpy(), es["c2"].to_numpy()
             step = max(1, (1 << 22) // len(x))  # bounds the block of scores
             for i in range(0, len(qs), step):
@@ -266,12 +298,10 @@ def search(index: Index | None, entries: DataFrame, is_query: Column, k: int = 2
                 s = q @ x.T
                 s[~seen[:, c2]] = -np.inf
                 s[own[:, None] == ids[None, :]] = -np.inf
-                out += [(ask[r], own[r], f, e) for r, (f, e) in enumerate(top(s, ids, q, x, k)) if len(f)]
+                out += [(ask[r], own[r], ids[at], e) for r, (at, e) in enumerate(top(s, ids, q, x, k)) if len(at)]
         return pd.DataFrame(out, columns=["ask", "query_id", "ids", "scores"])
 
-    by = ["c1", "eb", "qb"]
-    near = (asked.withColumn("qb", F.col("qb").cast("int")).groupBy(*by)
-            .cogroup(listed.select("id", "v", "c1", "c2", "eb", F.col("qb").cast("int").alias("qb")).groupBy(*by))
+    near = (asked.groupBy("block", "turn").cogroup(listed.groupBy("block", "turn"))
             .applyInPandas(rerank, "ask bigint, query_id bigint, ids array<bigint>, scores array<double>"))
     flat = near.select("ask", "query_id", F.explode(F.arrays_zip("ids", "scores")).alias("x")).select(
         "ask", "query_id", F.col("x.ids").alias("vec_id"), F.col("x.scores").alias("score"))

@@ -70,6 +70,44 @@ def test_heap_order_against_sorting():
     assert [n for _, _, n in got] == np.concatenate(([0], np.cumsum([counts[c] for c in want])))[:-1].tolist()
 
 
+def test_blocks_hold_each_cell_and_no_more_than_their_size():
+    rng = np.random.default_rng(3)
+    counts = rng.integers(0, 30, (9, 12)) * (rng.random((9, 12)) < 0.7)
+    counts[2, 3], counts[5, :] = 1000, 0
+    first, parts = mi.Index((rng.standard_normal((9, 3)), rng.standard_normal((12, 2))), counts, 10).blocks(100)
+    held, of = {}, {}
+    for c1, c2 in zip(*np.nonzero(counts)):
+        for b in range(first[c1, c2], first[c1, c2] + parts[c1, c2]):
+            held[b] = held.get(b, 0) + counts[c1, c2] / parts[c1, c2]
+            assert of.setdefault(b, c1) == c1
+    assert parts[2, 3] == 10 and max(held.values()) <= 100
+    assert sorted(held) == list(range(len(held))) and len(held) <= 2 * counts.sum() / 100 + 2 * 9
+    one, parts = mi.Index((np.zeros((1, 0)), np.zeros((1, 3))), np.array([[7]]), 1).blocks(100)
+    assert one.tolist() == [[0]] and parts.tolist() == [[1]]
+
+
+@pytest.mark.parametrize("size", [64, 4096])
+def test_an_entry_is_copied_only_to_the_turns_of_its_block(spark, monkeypatch, size):
+    """What is shuffled for the reranking: an entry once unless more than ``size`` queries visit its block."""
+    rows, real = {}, mi.staged
+
+    def kept(df, name):
+        rows[name] = real(df, name)
+        return rows[name]
+
+    monkeypatch.setattr(mi, "staged", kept)
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    index, entries = mi.build(mi.vectors(df))
+    mi.search(index, entries, F.col("id") % 20 == 0, size=size)
+    turns = {r.block: r.turns for r in rows["ann-turns"].collect()}
+    visits = {r.block: r["count"] for r in rows["ann-visits"].groupBy("block").count().collect()}
+    assert turns == {b: -(-n // size) for b, n in visits.items()}
+    assert (max(turns.values()) > 1) == (size == 64)
+    # a query goes once to a block, and to no more blocks than there are
+    assert rows["ann-visits"].count() == rows["ann-visits"].select("ask", "block").distinct().count()
+    assert max(turns) <= index.blocks(size)[0].max() + 1
+
+
 def test_edge_cases(spark):
     rows = [(0, [1.0, 0.0, 2.0]), (20, [0.0, 0.0, 0.0]), (40, None), (60, [1.0, None, 2.0]), (80, [float("nan"), 1.0, 1.0]),
             (100, [float("inf"), 1.0, 1.0]), (120, [1.0, 0.0, 2.0]), (7, [1.0, 0.0, 2.0]), (3, [-1.0, 0.5, 0.0]),
