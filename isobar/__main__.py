@@ -28,6 +28,8 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
         s.add_argument("--token", action="append", required=True, dest="tokens")
         if name != "speed":
             s.add_argument("--store", required=True)
+        if name in ("normalize", "rebuild", "hourly", "stream-normalize"):
+            s.add_argument("--keep-unknown", action="store_true", help="keep undeclared fields too")
         if name in ("normalize", "hourly"):  # all new files unless bounded
             s.add_argument("--max-files", type=int, default=None)
         if name in ("stream-normalize", "speed"):  # per micro-batch
@@ -49,13 +51,15 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     spark = spark or get_session(app=f"isobar-{a.job}")
 
     if a.job == "normalize":
-        res = jobs.normalize_job(spark, a.landing, a.store, a.tokens, max_files=a.max_files)
+        res = jobs.normalize_job(spark, a.landing, a.store, a.tokens, max_files=a.max_files,
+                                 keep_unknown=a.keep_unknown)
     elif a.job == "rebuild":
-        res = jobs.rebuild_job(spark, a.landing, a.store, a.tokens)
+        res = jobs.rebuild_job(spark, a.landing, a.store, a.tokens, a.keep_unknown)
     elif a.job == "hourly":
-        res = jobs.hourly_run(spark, a.landing, a.store, a.out, a.tokens, max_files=a.max_files)
+        res = jobs.hourly_run(spark, a.landing, a.store, a.out, a.tokens, max_files=a.max_files,
+                              keep_unknown=a.keep_unknown)
     elif a.job == "stream-normalize":
-        jobs.stream_normalize_job(spark, a.landing, a.store, a.checkpoint, a.tokens, a.max_files)
+        jobs.stream_normalize_job(spark, a.landing, a.store, a.checkpoint, a.tokens, a.max_files, a.keep_unknown)
         res = {"stream": "drained"}
     elif a.job == "speed":
         res = {"stream": "drained", "updated": jobs.speed_job(

@@ -1,0 +1,95 @@
+"""Fields that the declared record does not name are kept."""
+
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from isobar.plans import jobs
+from isobar.sources import sinks, unknown
+from tests.feed_fixture import FILE_A, FILE_B, FILE_D, TOKENS, avon_files, record, write_file
+
+E = 1489006920
+
+
+def brute(value, declared, place="$", element=None):
+    """Undeclared fields of a parsed record."""
+    from pyspark.sql.types import ArrayType, StructType
+
+    out, known = [], {f.name: f.dataType for f in declared.fields}
+    for k, v in value.items() if isinstance(value, dict) else ():
+        t = known.get(k)
+        if k not in known:
+            out.append((place, element, k, json.dumps(v, sort_keys=True)))
+        elif isinstance(t, StructType):
+            out += brute(v, t, f"{place}.{k}", element)
+        elif isinstance(t, ArrayType) and isinstance(t.elementType, StructType) and isinstance(v, list):
+            for i, e in enumerate(v):
+                out += brute(e, t.elementType, f"{place}.{k}", i)
+    return out
+
+
+def plain(rows):
+    return sorted(((r.place, r.element, r.key, json.dumps(json.loads(r.text), sort_keys=True)) for r in rows), key=repr)
+
+
+def read_back(df):
+    return df.withColumn("text", F.expr("to_json(value)")).drop("value").collect()
+
+
+def added():
+    r = record("Avon", E, "50.0", "49.0", "23%", "10.0", [(E + 3600, 51, 50, 25, 12), (E + 7200, 49, 47, 30, 11)])
+    r["pollen"] = {"grass": 3, "kinds": ["a", None]}
+    r["odd 'key'.with[signs]"] = None
+    r["current_observation"]["soil_temp_f"] = 41.5
+    r["current_observation"]["display_location"]["grid"] = "B7"
+    r["hourly_forecast"][1]["gust"] = {"english": "21"}
+    r["hourly_forecast"][1]["temp"]["kelvin"] = 283
+    r["almanac"] = "not an object"
+    r["sun_phase"] = None
+    return r
+
+
+def test_every_undeclared_field_is_a_row(spark, workdir):
+    from isobar.sources.raw import raw_schema
+
+    records = [added(), {}, {"current_observation": [1], "hourly_forecast": {"x": 1}, "new": True}, [1, 2], 7, None]
+    path = write_file(workdir, FILE_A, records)
+    with open(path, "a") as fh:
+        fh.write('{"broken\n\n' + json.dumps(records[0]) + "\n")
+    got = read_back(unknown.read(spark, [path]))
+    want = [x for r in records for x in brute(r, raw_schema())]
+    assert len(want) >= 8 and plain(got) == sorted(want, key=repr)
+    assert {r.source for r in got} == {2017030815} and {r.day for r in got} == {"20170308"}
+    assert unknown.read(spark, [write_file(workdir, FILE_B, [])]).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["batch", "stream", "rebuild"])
+def test_an_added_field_is_read_without_a_rebuild(spark, workdir, kind):
+    landing, store = os.path.join(workdir, "land ing"), workdir + "/store"
+    run = {"batch": lambda: jobs.normalize_job(spark, landing, store, TOKENS, keep_unknown=True),
+           "stream": lambda: jobs.stream_normalize_job(spark, landing, store, workdir + "/ck", TOKENS, keep_unknown=True),
+           "rebuild": lambda: jobs.rebuild_job(spark, landing, store, TOKENS, keep_unknown=True)}[kind]
+    for name in (FILE_A, FILE_B, FILE_D):
+        records = avon_files()[name]
+        for i, r in enumerate(records):
+            r["pm25"] = 10 * i + len(name)
+        write_file(landing, name, records)
+        run()
+        if name == FILE_A:
+            assert jobs.unknown_fields(spark, store).filter("key = 'pm25'").count() == 3
+    rows = jobs.unknown_fields(spark, store).filter("key = 'pm25'").select(
+        "path", F.try_variant_get("value", "$", "int").alias("pm25")).collect()
+    want = [(n, 10 * i + len(n)) for n in (FILE_A, FILE_B) for i in range(len(avon_files()[n]))]
+    assert sorted((r.path[-len(FILE_A):], r.pm25) for r in rows) == sorted((n[-len(FILE_A):], v) for n, v in want)
+
+
+def test_a_file_read_again_is_kept_once(spark, workdir):
+    path = write_file(workdir, FILE_A, [added(), added()])
+    base = workdir + "/g"
+    for _ in range(2):
+        jobs._keep_unknown(spark, base, unknown.read(spark, [path]))
+    kept = sinks.read_parts(spark, f"{base}/unknown")
+    assert plain(read_back(kept)) == plain(read_back(unknown.read(spark, [path])))
+    assert kept.filter("key = 'soil_temp_f'").count() == 1
