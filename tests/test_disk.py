@@ -70,3 +70,11 @@ def test_rebuild_deals_whole_issues_and_drops_its_stage(spark, sf, workdir, monk
     out = jobs.keys.enforce(jobs.normalize.forecast(raw, 7), jobs._keys_for_write("forecast"), "source")
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" in plan and "hashpartitioning" not in plan
+
+
+def test_stream_leaves_no_staged_batch_and_scores_alike(spark, sf, workdir, monkeypatch):
+    want = _rows(queries.landed_skill(spark, sf))
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    assert _rows(queries.stream_normalised(spark, sf)) == want
+    assert not glob.glob(_scratch(spark, "stream-batch").removeprefix("file:"))
+    assert _rows(queries.landed_skill(spark, sf)) == want
