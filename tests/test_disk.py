@@ -78,3 +78,16 @@ def test_stream_leaves_no_staged_batch_and_scores_alike(spark, sf, workdir, monk
     assert _rows(queries.stream_normalised(spark, sf)) == want
     assert not glob.glob(_scratch(spark, "stream-batch").removeprefix("file:"))
     assert _rows(queries.landed_skill(spark, sf)) == want
+
+
+def test_deliveries_keep_only_the_newest_state(spark, sf, workdir, monkeypatch):
+    stores, tidy = [], jobs.tidy
+    monkeypatch.setattr(jobs, "tidy", lambda s, store, **k: (stores.append(store), tidy(s, store, **k)))
+    want = _rows(queries.incremental_skill(spark, sf))
+    monkeypatch.setattr(session, "TASK_ROWS", 300)
+    assert _rows(queries.incremental_skill(spark, sf)) == want
+    path = jobs.table_path(spark, stores[-1], "forecast")
+    there = {p.removeprefix("file:")[len(path.removeprefix("file:")) + 1:]
+             for p in glob.glob(f"{path.removeprefix('file:')}/ver=*/fdate=*")}
+    assert there == set(sinks.folders(spark, path).values())
+    assert not glob.glob(_scratch(spark, "normalise-batch").removeprefix("file:"))
